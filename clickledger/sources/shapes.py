@@ -11,6 +11,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..rules.measures import MEASURES
 from ..session import prepare
 
 DRIVER_TABLES = (
@@ -284,11 +285,6 @@ SHAPES["valid_leads"] = """
 SELECT event_id AS lead_id FROM {events} WHERE event_type = 'purchase' AND event_id % 2 = 0
 """
 
-MEASURES = (
-    "leads valid_leads qualified_leads offers orders booked_number completed_number potential_nmv gmv "
-    "nmv booked_nmv completed_nmv uncancelled_nmv created_margin completed_margin uncancelled_margin"
-).split()
-
 # The measures rise with their position in the list; every lead has them all.
 SHAPES["lead_measures"] = f"""
 SELECT
