@@ -20,7 +20,7 @@ class HotKeyRule:
 
     A key is hot beyond `max_rows`. At most `max_keys` of them, the biggest first, are handled
     apart: every other key then has at most max(max_rows, all rows / max_keys) rows, and the list
-    brought to the driver stays small. Inputs planned below `min_bytes` are not searched.
+    brought to the driver stays small. Plans reading less than `min_bytes` are not searched.
     """
 
     max_rows: int = 5_000_000
@@ -33,9 +33,13 @@ DEFAULT_RULE = HotKeyRule()
 BROADCAST_ROWS = 500_000
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; for a scan this is the size of the files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def input_bytes(df: DataFrame) -> int:
+    """Size of all inputs of a plan; for scans this is the size of the files after pruning."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        total += int(leaves.next().stats().sizeInBytes())
+    return total
 
 
 def hot_keys(
@@ -46,7 +50,7 @@ def hot_keys(
     With `ts`, each comes with a slice width in microseconds that cuts its rows, if spread evenly in
     time, into pieces of about `max_rows`.
     """
-    if plan_bytes(df) < rule.min_bytes:
+    if input_bytes(df) < rule.min_bytes:
         return None
     stats = [F.count(F.lit(1)).alias("_n")]
     if ts:
@@ -113,11 +117,11 @@ def lookup(
 ) -> DataFrame:
     """Join `rows` to a table that has each key once, also where one key holds most of the rows.
 
-    Inputs planned small are left to the optimizer. Else a table of at most BROADCAST_ROWS rows is
+    Plans reading little are left to the optimizer. Else a table of at most BROADCAST_ROWS rows is
     broadcast; beyond that the rows of the hot keys alone meet a broadcast of just their few table
     rows, and the others join by shuffle.
     """
-    if plan_bytes(rows) < rule.min_bytes:
+    if input_bytes(rows) < rule.min_bytes:
         return rows.join(table, keys, how)
     if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return rows.join(F.broadcast(table), keys, how)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # All of these can be set on a running session.
 SETTINGS = {
@@ -40,11 +41,20 @@ def local_session(name: str, cores: str = "*", shuffle_partitions: int = 8) -> S
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a temporary one only where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
+        folder = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a step that several later steps read, and read it back from the shared folder.
+
+    The file survives lost executors, cuts the lineage and gives the optimizer true sizes.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

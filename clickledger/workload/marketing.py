@@ -17,7 +17,7 @@ def session_map(t: Tables) -> DataFrame:
 
 
 def bounds(t: Tables) -> DataFrame:
-    return sessions.session_bounds(session_map(t), t.web_events)
+    return sessions.session_bounds(t.step("session_map", session_map), t.web_events)
 
 
 def adgroup_map(t: Tables) -> DataFrame:
@@ -42,12 +42,12 @@ def load_end(t: Tables):
 
 def onsite(t: Tables) -> DataFrame:
     return conversions.onsite_conversions(
-        t.web_events, session_map(t), t.valid_leads, load_end(t)
+        t.web_events, t.step("session_map", session_map), t.valid_leads, load_end(t)
     )
 
 
-def paths(t: Tables, facts: DataFrame | None = None) -> DataFrame:
-    return conversions.conversion_path(onsite(t), session_facts(t) if facts is None else facts)
+def paths(t: Tables) -> DataFrame:
+    return conversions.conversion_path(onsite(t), t.step("session_facts", session_facts))
 
 
 def lead_summary(t: Tables) -> DataFrame:
@@ -60,8 +60,9 @@ def lead_summary(t: Tables) -> DataFrame:
 
 
 def attributed(t: Tables) -> DataFrame:
-    facts = session_facts(t)
-    return returns.attributed_return(lead_summary(t), paths(t, facts), facts)
+    return returns.attributed_return(
+        lead_summary(t), t.step("paths", paths), t.step("session_facts", session_facts)
+    )
 
 
 def ad_spend(t: Tables) -> DataFrame:

@@ -5,6 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import written
 from ..sources.shapes import table
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -30,10 +31,20 @@ def query(name: str, check: str | None = None):
 
 
 class Tables:
-    """Input tables of one data folder by attribute."""
+    """Input tables of one data folder by attribute, and steps that several later steps read."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
+        self._steps: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return table(self._spark, self._dir, name)
+        # one DataFrame per table; __getattr__ is asked only once per name
+        frame = table(self._spark, self._dir, name)
+        setattr(self, name, frame)
+        return frame
+
+    def step(self, name: str, make: Callable[[Tables], DataFrame]) -> DataFrame:
+        """A step written once and shared, as the warehouse keeps it as a table."""
+        if name not in self._steps:
+            self._steps[name] = written(make(self), name)
+        return self._steps[name]
