@@ -49,7 +49,8 @@ def append_unseen(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
 
 
 def unseen(stage: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    return stage.join(target.select(key).dropna().distinct(), key, "left_anti")
+    """Stage rows with a key the target lacks; rows without a key are left out."""
+    return stage.filter(F.col(key).isNotNull()).join(target.select(key).dropna().distinct(), key, "left_anti")
 
 
 def window_bounds(target: DataFrame, ts: str, load_log: DataFrame, job: str) -> tuple[Column, Column]:

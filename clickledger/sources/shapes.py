@@ -209,7 +209,7 @@ _STATUS = ["Qualified", "Unqualified", "Dublicate", "Untouched", "not contacted"
            "1st Call", "2nd Call done", "Open"]
 SHAPES["crm_leads"] = f"""
 SELECT
-  'L' || CAST(event_id - event_id % 3 AS STRING) AS id,
+  'L' || CAST(event_id AS STRING) AS id,
   CAST(event_id AS STRING) AS backend_opportunity_id,
   'owner' || CAST(event_id % 5 AS STRING) AS owner_id,
   {_pick("event_id", ["HouseBrand", "housebrand - intern", "Referral (intern)", "Inbound Call", "daa",
@@ -312,8 +312,8 @@ SELECT
   CASE WHEN l_partkey % 29 = 0 THEN NULL ELSE 'agent' || CAST(l_suppkey % 11 AS STRING) END AS sales_agent_id,
   lower(p_type) AS main_vertical,
   lower(p_type) AS vertical,
-  CAST(l_shipdate AS DATE) AS offer_closed_date,
-  CAST(l_shipdate AS DATE) AS offer_prepared_date,
+  CAST(CAST(l_shipdate AS TIMESTAMP) + INTERVAL '20' YEAR AS DATE) AS offer_closed_date,
+  CAST(CAST(l_shipdate AS TIMESTAMP) + INTERVAL '20' YEAR AS DATE) AS offer_prepared_date,
   l_extendedprice * l_discount AS final_margin,
   l_extendedprice * (1 - l_discount) AS nmv,
   CASE WHEN l_linenumber = 7 THEN 0.04 ELSE l_quantity / 50 END AS opportunity_part_ratio,
@@ -321,7 +321,8 @@ SELECT
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 """
 
-_ORDER_DAY = "CAST(o_orderdate AS TIMESTAMP)"
+# Sales are moved on by 20 years, so that the fixed first day of the study cuts through them.
+_ORDER_DAY = "CAST(o_orderdate AS TIMESTAMP) + INTERVAL '20' YEAR"
 SHAPES["opportunities"] = f"""
 SELECT
   CAST(o_orderkey AS STRING) AS opportunity_id,
