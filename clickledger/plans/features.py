@@ -107,7 +107,9 @@ def model_table(
     columns = SETS[edition, booking]
     rows = training_set(features, booking, edition, rule)
     rows = winsorize(rows, CLAMPED[booking], rule)
-    rows = zscore(rows, numeric_columns(rows, columns))
+    # a constant column has no scale; centred it is 0
+    numbers = numeric_columns(rows, columns)
+    rows = zscore(rows, numbers).fillna(0.0, subset=numbers)
     return rows.withColumns(
         {c: F.col(c).cast("double") for c in columns if dict(rows.dtypes)[c] == "boolean"}
     )

@@ -285,10 +285,14 @@ def opportunity_features(clean: DataFrame) -> DataFrame:
 
 
 def pair_corr(features: DataFrame, x: str, y: str) -> DataFrame:
-    """Correlation of two columns and how often they differ, over rows that have both."""
+    """Correlation of two columns and how often they differ, over rows that have both.
+
+    A constant column has no correlation, so the result is NULL then.
+    """
     both = features.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
     return both.agg(
-        F.corr(x, y).alias("corr"),
+        F.try_divide(F.covar_pop(x, y), spread).alias("corr"),
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(x) != F.col(y)).alias("different"),
     )

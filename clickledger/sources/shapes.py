@@ -335,13 +335,15 @@ SELECT
   CAST({_ORDER_DAY} + INTERVAL '960' HOUR AS DATE) AS wish_start_date,
   CASE WHEN o_orderkey % 5 <> 0 OR o_orderkey % 35 = 0 THEN
     CAST({_ORDER_DAY} + INTERVAL '240' HOUR AS DATE) END AS job_prepared_date,
-  CASE WHEN o_orderstatus = 'O' THEN CAST({_ORDER_DAY} + INTERVAL '1200' HOUR AS DATE) END AS cancellation_date,
+  CASE WHEN o_orderstatus = 'O' THEN CAST({_ORDER_DAY} + CASE o_custkey % 3
+    WHEN 0 THEN INTERVAL '1200' HOUR WHEN 1 THEN INTERVAL '1440' HOUR ELSE INTERVAL '300' HOUR END AS DATE)
+    END AS cancellation_date,
   CASE WHEN o_orderkey % 9 = 0 THEN CAST({_ORDER_DAY} + INTERVAL '720' HOUR AS DATE) END
     AS first_rematched_date,
   CASE WHEN o_orderstatus = 'F' OR o_orderkey % 41 = 0 THEN
     CAST({_ORDER_DAY} + INTERVAL '2400' HOUR AS DATE) END AS job_completed_date,
-  CASE WHEN o_orderkey % 4 = 0 THEN CAST({_ORDER_DAY} + INTERVAL '312' HOUR AS DATE) END
-    AS downpayment_invoice_date,
+  CASE WHEN o_orderkey % 4 = 0 THEN CAST({_ORDER_DAY} + CASE WHEN o_custkey % 5 = 0 THEN
+    INTERVAL '312' HOUR ELSE INTERVAL '240' HOUR END AS DATE) END AS downpayment_invoice_date,
   o_totalprice AS invoiced_amount,
   o_orderkey % 43 <> 0 AS bin_valid_opportunity,
   o_orderkey % 6 = 0 AS bin_upsold,
@@ -358,7 +360,7 @@ FROM {{orders}}
 SHAPES["invoices"] = """
 SELECT
   CAST(l_orderkey AS STRING) AS opportunity_id,
-  l_extendedprice * 0.9 AS net_invoiced_amount,
+  l_extendedprice * 0.9017 AS net_invoiced_amount,
   l_extendedprice * 0.5 AS partner_costs,
   l_extendedprice * l_tax AS additional_costs,
   CASE WHEN l_linenumber = 2 THEN l_discount * 100 ELSE 0 END AS csd,

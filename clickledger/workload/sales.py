@@ -69,7 +69,7 @@ def _(spark, sf_dir):
 
 @query("opportunity_mart", "mart_text")
 def _(spark, sf_dir):
-    return _text(mart(Tables(spark, sf_dir)), dict.fromkeys(_MONEY, 4))
+    return _text(mart(Tables(spark, sf_dir)), dict.fromkeys(_MONEY, 6))
 
 
 @query("pivot_verticals", "wide_shares_rounded")
@@ -94,7 +94,7 @@ def _(spark, sf_dir):
 @query("clean_opportunities", "clean_text")
 def _(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    rounded = dict.fromkeys(_MONEY, 4) | dict.fromkeys(vertical_names(t), 6)
+    rounded = dict.fromkeys(_MONEY, 6) | dict.fromkeys(vertical_names(t), 6)
     return _text(op.clean_opportunities(study(t)), rounded)
 
 
@@ -256,8 +256,9 @@ def _(spark, sf_dir):
 
 @query("information_gain", "gains")
 def _(spark, sf_dir):
-    rows = feature_step(Tables(spark, sf_dir)).filter("bin_prepared").withColumn(
-        "label", F.col("bin_cancelled").cast("int")
+    # margins rounded, so that cuts fall between values and not into rounding noise
+    rows = feature_step(Tables(spark, sf_dir)).filter("bin_prepared").withColumns(
+        {"label": F.col("bin_cancelled").cast("int"), "margin": F.round("margin", 6)}
     )
     gains = ft.information_gain(rows, "label", ["vorlauf", "nmv", "margin", "is_image_uploaded"])
     return _text(gains, {"information_gain": 8, "chi_squared": 8})
