@@ -210,3 +210,18 @@ CHECKS["path_places"] = """
 SELECT conversion_path_id, conversion_type, session_id, domain_userid, path_position, path_length
 FROM {paths}
 """
+CHECKS["streamed_sessions"] = """
+SELECT session_id, event_id, collector_tstamp, session_event_index, is_external FROM {session_map}
+"""
+CHECKS["tracker_sessions"] = """
+WITH gaps AS (
+  SELECT domain_userid, collector_tstamp, CASE WHEN collector_tstamp - lag(collector_tstamp) OVER (
+    PARTITION BY domain_userid ORDER BY collector_tstamp) <= INTERVAL '1800' SECOND THEN 0 ELSE 1 END AS opens
+  FROM {web_events} WHERE domain_userid IS NOT NULL
+), numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY domain_userid ORDER BY collector_tstamp
+    ROWS UNBOUNDED PRECEDING) AS no FROM gaps
+)
+SELECT domain_userid, min(collector_tstamp) AS start_at, max(collector_tstamp) AS end_at, count(*) AS events
+FROM numbered GROUP BY domain_userid, no
+"""
