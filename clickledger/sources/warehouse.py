@@ -65,10 +65,14 @@ def swap_in(df: DataFrame, table: str, partition_by: list[str] | None = None) ->
 
 def write_slice(df: DataFrame, table: str) -> None:
     """Overwrite only the partitions the rows fall into, such as one kind of fact."""
-    columns = df.sparkSession.table(table).columns
-    df.select(*columns).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).insertInto(table)
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    # inserts into a catalog table follow the session's setting, not a writer option
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def snapshot(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
