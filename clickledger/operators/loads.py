@@ -8,14 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import berlin_day_start
+from .skew import DEFAULT_RULE, HotKeyRule, lookup
 
 EPOCH = datetime(1970, 1, 1)
 
 
-def upsert_by_key(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
+def upsert_by_key(
+    target: DataFrame, stage: DataFrame, key: str, rule: HotKeyRule = DEFAULT_RULE
+) -> DataFrame:
     """Drop target rows whose key is staged, then append the stage."""
     keys = stage.select(key).dropna().distinct()
-    return target.join(keys, key, "left_anti").unionByName(stage, allowMissingColumns=True)
+    kept = lookup(target, keys, [key], "left_anti", rule)
+    return kept.unionByName(stage, allowMissingColumns=True)
 
 
 def replace_tail(target: DataFrame, stage: DataFrame, ts: str) -> DataFrame:
@@ -42,15 +46,20 @@ def replace_slice(
     return kept.unionByName(stage, allowMissingColumns=True)
 
 
-def append_unseen(target: DataFrame, stage: DataFrame, key: str) -> DataFrame:
+def append_unseen(
+    target: DataFrame, stage: DataFrame, key: str, rule: HotKeyRule = DEFAULT_RULE
+) -> DataFrame:
     """Append stage rows whose key the target lacks. NULL keys in the target match nothing."""
-    new = unseen(stage, target, key)
+    new = unseen(stage, target, key, rule)
     return target.unionByName(new, allowMissingColumns=True)
 
 
-def unseen(stage: DataFrame, target: DataFrame, key: str) -> DataFrame:
+def unseen(
+    stage: DataFrame, target: DataFrame, key: str, rule: HotKeyRule = DEFAULT_RULE
+) -> DataFrame:
     """Stage rows with a key the target lacks; rows without a key are left out."""
-    return stage.filter(F.col(key).isNotNull()).join(target.select(key).dropna().distinct(), key, "left_anti")
+    known = target.select(key).dropna().distinct()
+    return lookup(stage.filter(F.col(key).isNotNull()), known, [key], "left_anti", rule)
 
 
 def window_bounds(target: DataFrame, ts: str, load_log: DataFrame, job: str) -> tuple[Column, Column]:

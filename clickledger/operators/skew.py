@@ -117,19 +117,28 @@ def lookup(
 ) -> DataFrame:
     """Join `rows` to a table that has each key once, also where one key holds most of the rows.
 
-    Plans reading little are left to the optimizer. Else a table of at most BROADCAST_ROWS rows is
-    broadcast; beyond that the rows of the hot keys alone meet a broadcast of just their few table
-    rows, and the others join by shuffle.
+    `how` is left, inner, left_semi or left_anti. Plans reading little are left to the optimizer. Else
+    a table of at most BROADCAST_ROWS rows is broadcast. Beyond that the rows of the hot keys alone
+    meet a broadcast of just their few table rows, rows without a key skip the join, and all others
+    join by shuffle.
     """
     if input_bytes(rows) < rule.min_bytes:
         return rows.join(table, keys, how)
     if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return rows.join(F.broadcast(table), keys, how)
-    hot = hot_keys(rows, keys, rule=rule)
+    keyed = rows.dropna(subset=keys)
+    hot = hot_keys(keyed, keys, rule=rule)
     if hot is None:
-        return rows.join(table, keys, how)
-    hot = F.broadcast(hot)
-    few = F.broadcast(table.join(hot, keys, "left_semi"))
-    return rows.join(hot, keys, "left_anti").join(table, keys, how).unionByName(
-        rows.join(hot, keys, "left_semi").join(few, keys, how)
-    )
+        parts = [keyed.join(table, keys, how)]
+    else:
+        # at most HotKeyRule.max_keys rows each
+        hot = F.broadcast(hot)
+        few = F.broadcast(table.join(hot, keys, "left_semi"))
+        parts = [
+            keyed.join(hot, keys, "left_anti").join(table, keys, how),
+            keyed.join(hot, keys, "left_semi").join(few, keys, how),
+        ]
+    if how in ("left", "left_anti"):
+        keyless = rows.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+        parts.append(keyless)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -147,7 +147,7 @@ WITH ranked AS (
   SELECT *, CASE WHEN is_direct AND path_position <> 1 THEN 0::DOUBLE ELSE position_based END AS custom_prep
   FROM weighted
 )
-SELECT *, round(custom_prep / sum(custom_prep) OVER (PARTITION BY conversion_path_id), 4) AS custom
+SELECT *, round(round(custom_prep / sum(custom_prep) OVER (PARTITION BY conversion_path_id), 10), 4) AS custom
 FROM prepared
 """
 

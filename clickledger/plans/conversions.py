@@ -85,7 +85,9 @@ def _paths(points: DataFrame, chunk: list[str]) -> DataFrame:
     reached = group_totals(reached, PATH, chunk, {"path_length": F.lit(1)})
     reached = reached.withColumns(path_weights(F.col("path_position"), F.col("path_length")))
     reached = group_totals(reached, PATH, chunk, {"_custom_total": F.col("custom_prep")})
-    return reached.withColumn("custom", F.round(F.col("custom_prep") / F.col("_custom_total"), 4))
+    # rounded twice, so that a tie in the fourth digit does not hang on the order of the sum
+    share = F.round(F.col("custom_prep") / F.col("_custom_total"), 10)
+    return reached.withColumn("custom", F.round(share, 4))
 
 
 def path_weights(position: Column, length: Column) -> dict[str, Column]:

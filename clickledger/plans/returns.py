@@ -29,9 +29,7 @@ def weighted_sums(weights: dict[str, Column], measures: list[str]) -> list[Colum
     ]
 
 
-def attributed_return(
-    leads: DataFrame, paths: DataFrame, sessions: DataFrame, rule: HotKeyRule = DEFAULT_RULE
-) -> DataFrame:
+def attributed_return(leads: DataFrame, paths: DataFrame, sessions: DataFrame) -> DataFrame:
     """Lead measures spread over the sessions of their path by the custom and the last-click model.
 
     A lead without a path keeps its full value on its own channel key. The lead price is not
@@ -53,8 +51,9 @@ def attributed_return(
         .withColumn("session_id", F.when(F.col("_known"), F.col("session_id")))
         .drop("_known")
     )
-    # two parts, so that the side with one row per session is the one a skewed join can split
-    with_path = lookup(touches, leads, ["conversion_path_id"], "inner", rule)
+    # an inner join, of which AQE can split either side where one path is very long; a left join from
+    # the leads would have to keep the long side whole
+    with_path = touches.join(leads, "conversion_path_id")
     without = leads.join(
         touches.select("conversion_path_id").distinct(), "conversion_path_id", "left_anti"
     )

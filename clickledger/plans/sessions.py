@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import berlin_local, to_did
 from ..operators.chunked import carried_last, running_count
 from ..operators.dedupe import one_per_key
+from ..operators.loads import unseen
 from ..operators.skew import (
     DEFAULT_RULE,
     HotKeyRule,
@@ -135,44 +136,61 @@ def sessionize(
     )
 
 
+# what a session takes over from its first event
+LANDING = ["refr_medium", "page_url", "page_title", "page_urlpath", "page_urlhost", "page_referrer",
+           "mkt_medium", "geo_country", "geo_city", "dvce_type"]
+
+
 def session_bounds(
     session_map: DataFrame,
     events: DataFrame,
     start_at: Column | None = None,
     end_at: Column | None = None,
+    landing: list[str] | None = None,
 ) -> DataFrame:
-    """First and last event and the event counts of each session. Bounds are exclusive here."""
+    """First and last event and the event counts of each session. Bounds are exclusive here.
+
+    `landing` names columns of the first event to bring along, so that nobody has to join all events
+    again to look it up.
+    """
     mapped = session_map
     if start_at is not None:
         mapped = mapped.filter(F.col("collector_tstamp") > start_at)
     if end_at is not None:
         mapped = mapped.filter(F.col("collector_tstamp") < end_at)
-    kinds = events.select(*IDENTITY, "event")
+    extra = landing or []
+    raw = events.select(*IDENTITY, "event", *extra, F.lit(True).alias("_found"))
     joined = mapped.select("session_id", "domain_userid", "derived_ranking", *IDENTITY).join(
-        kinds.withColumn("_found", F.lit(True)), IDENTITY, "left"
+        raw, IDENTITY, "left"
     )
 
-    def edge(pick, column: str) -> Column:
+    def edge(pick, columns: list[str]) -> Column:
         # an event missing from the raw table leaves NULLs, as the join does
-        return pick(F.struct(F.when(F.col("_found"), F.col(column)).alias("v")), "derived_ranking")
+        return pick(
+            F.struct(*[F.when(F.col("_found"), F.col(c)).alias(c) for c in columns]), "derived_ranking"
+        )
 
-    return joined.groupBy("session_id", "domain_userid").agg(
-        *[edge(F.min_by, c).getField("v").alias(f"start_{c}") for c in IDENTITY],
-        *[edge(F.max_by, c).getField("v").alias(f"end_{c}") for c in IDENTITY],
+    bounds = joined.groupBy("session_id", "domain_userid").agg(
+        edge(F.min_by, [*IDENTITY, *extra]).alias("_first"),
+        edge(F.max_by, IDENTITY).alias("_last"),
         F.count("_found").alias("events"),
         F.count_if(F.col("event") == "transaction").alias("transactions"),
         F.count_if(F.col("event") == "page_view").alias("page_views"),
     )
-
-
-# what a session takes over from its first event
-LANDING = ["refr_medium", "page_url", "page_title", "page_urlpath", "page_urlhost", "page_referrer",
-           "mkt_medium", "geo_country", "geo_city", "dvce_type"]
+    return bounds.select(
+        "session_id",
+        "domain_userid",
+        *[F.col(f"_first.{c}").alias(f"start_{c}") for c in IDENTITY],
+        *[F.col(f"_last.{c}").alias(f"end_{c}") for c in IDENTITY],
+        "events",
+        "transactions",
+        "page_views",
+        *[F.col(f"_first.{c}").alias(c) for c in extra],
+    )
 
 
 def session_facts(
     bounds: DataFrame,
-    events: DataFrame,
     channel_rows: DataFrame,
     tv_peaks: DataFrame,
     iso_codes: DataFrame,
@@ -181,24 +199,20 @@ def session_facts(
 ) -> DataFrame:
     """One row per session with landing page, place, device, channel key, duration and bounce.
 
-    Channel key: the marketing channel of the first event, else a TV spot in the same minute, else
-    'timeout' after an internal referrer, else direct.
+    `bounds` must bring the LANDING columns. Channel key: the marketing channel of the first event,
+    else a TV spot in the same minute, else 'timeout' after an internal referrer, else direct.
     """
     fresh = bounds
     if loaded is not None:
-        fresh = fresh.filter(F.col("session_id").isNotNull()).join(
-            loaded.select("session_id").dropna(), "session_id", "left_anti"
-        )
+        fresh = unseen(bounds, loaded, "session_id", rule)
     start = [f"start_{c}" for c in IDENTITY]
-    landing = events.select(*[F.col(c).alias(f"start_{c}") for c in IDENTITY], *LANDING)
     utm = channel_rows.select(
         *[F.col(c).alias(f"start_{c}") for c in IDENTITY], F.col("utm_id").alias("_utm")
     )
     peaks = tv_peaks.select(F.col("minute").alias("_minute"), F.col("utm_id").alias("_tv"))
     codes = iso_codes.select(F.lower("country").alias("_country"), "iso_code")
     rows = (
-        fresh.join(landing, start, "left")
-        .join(utm, start, "left")
+        fresh.join(utm, start, "left")
         .withColumn("_minute", F.date_trunc("minute", "start_collector_tstamp"))
         .withColumn("_country", F.lower("geo_country"))
     )

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # session windows of a busy user are merged before the shuffle
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # the JVM does not compile methods beyond 8000 bytes; stages with long rule ladders that would
     # exceed it use Spark's split projections, which it does compile
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -16,8 +16,10 @@ def session_map(t: Tables) -> DataFrame:
     return sessions.sessionize(t.web_events)
 
 
-def bounds(t: Tables) -> DataFrame:
-    return sessions.session_bounds(t.step("session_map", session_map), t.web_events)
+def bounds(t: Tables, landing: list[str] | None = None) -> DataFrame:
+    return sessions.session_bounds(
+        t.step("session_map", session_map), t.web_events, landing=landing
+    )
 
 
 def adgroup_map(t: Tables) -> DataFrame:
@@ -30,7 +32,7 @@ def prepared(t: Tables) -> DataFrame:
 
 def session_facts(t: Tables) -> DataFrame:
     return sessions.session_facts(
-        bounds(t), t.web_events, prepared(t), t.tv_peaks, t.iso_country_codes
+        bounds(t, sessions.LANDING), prepared(t), t.tv_peaks, t.iso_country_codes
     )
 
 
