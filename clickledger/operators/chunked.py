@@ -16,16 +16,26 @@ def _orders(columns: list[str], backward: bool) -> list[Column]:
 
 
 def running_count(
-    df: DataFrame, keys: list[str], order: list[str], chunk: list[str], name: str
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    chunk: list[str],
+    name: str,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Position of each row within its key, from 1."""
+    """Position of each row within its key, from 1; a row counts `weight` times and takes its last place."""
     inside = Window.partitionBy(*keys, *chunk).orderBy(*_orders(order, False))
+    if weight:
+        near = F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+        size = F.sum(weight)
+    else:
+        near, size = F.row_number().over(inside), F.count(F.lit(1))
     if not chunk:
-        return df.withColumn(name, F.row_number().over(inside))
+        return df.withColumn(name, near)
     ahead = Window.partitionBy(*keys).orderBy(*_orders(chunk, False))
     offsets = (
         df.groupBy(*keys, *chunk)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(size.alias("_n"))
         .select(
             *keys,
             *chunk,
@@ -36,7 +46,7 @@ def running_count(
     )
     return (
         df.join(offsets, [*keys, *chunk])
-        .withColumn(name, (F.row_number().over(inside) + F.col("_ahead")).cast("long"))
+        .withColumn(name, (near + F.col("_ahead")).cast("long"))
         .drop("_ahead")
     )
 

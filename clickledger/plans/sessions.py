@@ -115,9 +115,24 @@ def sessionize(
     )
     hot = hot_keys(hits, USER_DAY, "collector_tstamp", rule)
     hits = with_slices(hits, USER_DAY, "collector_tstamp", hot)
+    weight = None
+    if hot is not None:
+        # exact copies share their time, so no slice parts them; they shrink to one row before any
+        # shuffle, and still count in the ranking
+        weight = "copies"
+        once = F.lit(1).cast("long").alias(weight)
+        hits = (
+            hits.filter(F.col("slice") == 0)
+            .select("*", once)
+            .unionByName(
+                hits.filter(F.col("slice") > 0)
+                .groupBy(*hits.columns)
+                .agg(F.count(F.lit(1)).alias(weight))
+            )
+        )
     # ranked before copies are dropped, so a dropped copy leaves a gap
     hits = running_count(
-        hits, ["domain_userid"], ORDER, ["locale_date", "slice"], "derived_ranking"
+        hits, ["domain_userid"], ORDER, ["locale_date", "slice"], "derived_ranking", weight
     )
     hits = one_per_key(
         hits,
@@ -159,7 +174,14 @@ def session_bounds(
     if end_at is not None:
         mapped = mapped.filter(F.col("collector_tstamp") < end_at)
     extra = landing or []
-    raw = events.select(*IDENTITY, "event", *extra, F.lit(True).alias("_found"))
+    # copies of an event are the same in all but number; they shrink to one row before the shuffle
+    raw = (
+        events.groupBy(*IDENTITY)
+        .agg(
+            F.any_value(F.struct("event", *extra)).alias("_hit"), F.count(F.lit(1)).alias("_copies")
+        )
+        .select(*IDENTITY, "_hit.*", "_copies")
+    )
     joined = mapped.select("session_id", "domain_userid", "derived_ranking", *IDENTITY).join(
         raw, IDENTITY, "left"
     )
@@ -167,15 +189,19 @@ def session_bounds(
     def edge(pick, columns: list[str]) -> Column:
         # an event missing from the raw table leaves NULLs, as the join does
         return pick(
-            F.struct(*[F.when(F.col("_found"), F.col(c)).alias(c) for c in columns]), "derived_ranking"
+            F.struct(*[F.when(F.col("_copies") > 0, F.col(c)).alias(c) for c in columns]),
+            "derived_ranking",
         )
 
+    def copies(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("_copies"))), F.lit(0))
+
     bounds = joined.groupBy("session_id", "domain_userid").agg(
         edge(F.min_by, [*IDENTITY, *extra]).alias("_first"),
         edge(F.max_by, IDENTITY).alias("_last"),
-        F.count("_found").alias("events"),
-        F.count_if(F.col("event") == "transaction").alias("transactions"),
-        F.count_if(F.col("event") == "page_view").alias("page_views"),
+        copies(F.lit(True)).alias("events"),
+        copies(F.col("event") == "transaction").alias("transactions"),
+        copies(F.col("event") == "page_view").alias("page_views"),
     )
     return bounds.select(
         "session_id",
@@ -209,6 +235,7 @@ def session_facts(
     utm = channel_rows.select(
         *[F.col(c).alias(f"start_{c}") for c in IDENTITY], F.col("utm_id").alias("_utm")
     )
+    utm = one_per_key(utm, start, [F.col("_utm").asc_nulls_last()])
     peaks = tv_peaks.select(F.col("minute").alias("_minute"), F.col("utm_id").alias("_tv"))
     codes = iso_codes.select(F.lower("country").alias("_country"), "iso_code")
     rows = (

@@ -93,7 +93,8 @@ def busy_events(spark):
                 "page_referrer": f"r{i % 2}",
             }
         )
-    return make_events(spark, *given)
+    # exact copies, which share their time
+    return make_events(spark, *given, *[given[40]] * 7, given[41])
 
 
 def test_hot_users_give_the_same_sessions(spark):
@@ -107,6 +108,13 @@ def test_every_event_has_one_session(spark):
     assert out.filter(F.col("session_id").isNull()).count() == 0
 
 
+def test_bounds_count_exact_copies(spark):
+    view = at("10:00", event_id="x")
+    events = make_events(spark, view, view, view, at("10:01", event="click"))
+    got = rows(session_bounds(sessionize(events), events, landing=["page_url"]))
+    assert [(r["events"], r["page_views"], r["page_url"]) for r in got] == [(4, 3, "https://x.com/")]
+
+
 def test_bounds(spark):
     events = make_events(
         spark, at("10:00"), at("10:01", event="transaction"), at("10:05", event="click"), at("11:00", refr_medium=None)
