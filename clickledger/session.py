@@ -47,19 +47,37 @@ def local_session(name: str, cores: str = "*", shuffle_partitions: int = 8) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where none is set (tests)."""
+    """The shared folder named by the cluster.
+
+    Only a local master may go without: it gets a temporary folder. Elsewhere each executor would
+    write to its own disk, so a missing setting is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master}")
         folder = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def steps_dir(spark: SparkSession) -> str:
+    """The folder of all steps written by this application."""
+    return f"{shared_dir(spark)}/clickledger-{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a step that several later steps read, and read it back from the shared folder.
 
     The file survives lost executors, cuts the lineage and gives the optimizer true sizes.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{steps_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_steps(spark: SparkSession) -> None:
+    """Remove this application's steps; call it when the results built on them are stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(steps_dir(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
