@@ -65,3 +65,17 @@ SELECT t.doc_id, len(t.words)::BIGINT AS n_words, coalesce(len(g.removed), 0)::B
        sha256(array_to_string([w FOR w, i IN t.words IF g.removed IS NULL OR NOT list_contains(g.removed, i)], ' ')) AS kept_sha256
 FROM texts t LEFT JOIN gone g USING (doc_id)
 """
+
+CHECKS["op5_warc"] = """
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), sized AS (
+    SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest FROM payloads
+), holders AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS holder FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < holder THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < holder THEN holder END AS refers_to
+FROM holders
+"""

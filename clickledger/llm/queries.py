@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from . import checks
 from .minhash import near_duplicates
 from .mixing import mix_sources
+from .personal_data import KINDS as PERSONAL_KINDS
+from .personal_data import find_personal_data
 from .quality import judge
 from .secret_scan import KINDS as SECRET_KINDS
 from .secret_scan import find_secrets
 from .substrings import drop_repeats
+from .warc import archive_folder, read_archive, write_archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,19 +30,17 @@ def _joined(spans: Column) -> Column:
     )
 
 
-def _digest_of_spans(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
-    """Counts by kind of the base spans, their digest, and all spans."""
-    spans = F.col("found")
-    own = F.filter(spans, lambda x: x["kind"].isin(*base))
+def _digest_of_spans(found: DataFrame, kinds: tuple[str, ...], base: Column) -> DataFrame:
+    """Counts by kind and digest of the base spans, and all spans."""
 
     def count(kind: str) -> Column:
-        return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        return F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select(
         "doc_id",
-        *map(count, base),
-        F.sha2(_joined(own), 256).alias("base_sha256"),
-        _joined(spans).alias("spans"),
+        *map(count, kinds),
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.col("found")).alias("spans"),
     )
 
 
@@ -49,7 +50,9 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _digest_of_spans(find_secrets(_table(spark, sf_dir, "documents")), SECRET_KINDS[:3])
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+    fixed = SECRET_KINDS[:3]
+    return _digest_of_spans(found, fixed, F.filter("found", lambda x: x["kind"].isin(*fixed)))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,12 +64,22 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return read_archive(write_archive(pages, archive_folder(pages)))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(_table(spark, sf_dir, "documents"))
+    return _digest_of_spans(found, PERSONAL_KINDS, F.filter("found", lambda x: ~x["hidden"]))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mixing, op2_secret_scan, op3_quality, op4_substring_dedup, op7_near_dedup)
+    for f in (op1_mixing, op2_secret_scan, op3_quality, op4_substring_dedup, op5_warc, op6_personal_data, op7_near_dedup)
 }
 CHECKS: dict[str, str] = {name: sql for name, sql in checks.CHECKS.items() if name in QUERIES}
