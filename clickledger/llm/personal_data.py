@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import batch_limits, batches
 
@@ -255,8 +256,8 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[done:]])
 
 
-def find_personal_data(docs: DataFrame, mask: bool = False) -> DataFrame:
-    """Personal data of each document: doc_id and `found`, its spans by start (code points, end
+def find_personal_data(docs: DataFrame, mask: bool = False, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Personal data of each document: the columns of `keep` and `found`, its spans by start (code points, end
     exclusive; `hidden` where only the normal form shows it), and with `mask` also `masked`.
 
     One row per row of `docs`, equal rows included; NULL doc_id stays NULL; a NULL text has no spans and
@@ -269,7 +270,7 @@ def find_personal_data(docs: DataFrame, mask: bool = False) -> DataFrame:
     )
 
     def scan(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in batches(frames, ["doc_id", "text"]):
+        for *kept, texts in batches(frames, [*keep, "_text"]):
             found, clean = [], []
             for text in texts.to_pylist():
                 plain, hidden = scan_text(text or "")
@@ -277,9 +278,10 @@ def find_personal_data(docs: DataFrame, mask: bool = False) -> DataFrame:
                 found.append([dict(zip(("start", "kind", "end", "hidden"), (s, KINDS[k], e, h))) for s, k, e, h in both])
                 if mask:
                     clean.append(None if text is None else masked(text, plain + hidden))
-            columns = [ids, pa.array(found, kind), *([pa.array(clean, pa.string())] if mask else [])]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "found", "masked"][: len(columns)])
+            columns = [*kept, pa.array(found, kind), *([pa.array(clean, pa.string())] if mask else [])]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "found", "masked"][: len(columns)])
 
-    narrow = docs.select("doc_id", "text")
+    narrow = docs.select(*keep, F.col("text").alias("_text"))
+    own = "".join(f"{name} {kind}, " for name, kind in narrow.dtypes[:-1])
     more = ", masked string" if mask else ""
-    return narrow.mapInArrow(scan, f"doc_id {dict(narrow.dtypes)['doc_id']}, found {SPANS}{more}")
+    return narrow.mapInArrow(scan, f"{own}found {SPANS}{more}")

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import checks
+from .language import held_out, identify, train
 from .minhash import near_duplicates
 from .mixing import mix_sources
+from .neighbours import nearest
+from .packing import pack
 from .personal_data import KINDS as PERSONAL_KINDS
 from .personal_data import find_personal_data
 from .quality import judge
@@ -78,8 +81,33 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = identify(docs, train(docs), spans=False)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mixing, op2_secret_scan, op3_quality, op4_substring_dedup, op5_warc, op6_personal_data, op7_near_dedup)
+    for f in (
+        op1_mixing,
+        op2_secret_scan,
+        op3_quality,
+        op4_substring_dedup,
+        op5_warc,
+        op6_personal_data,
+        op7_near_dedup,
+        op8_nearest,
+        op9_packing,
+        op10_language,
+    )
 }
 CHECKS: dict[str, str] = {name: sql for name, sql in checks.CHECKS.items() if name in QUERIES}
