@@ -53,7 +53,7 @@ class Levels:
 
     random: float = 0.001
     discovery: float = 0.01
-    turns: float = 0.15
+    turns: float = 0.12
 
 
 def _normal_tail(z: float) -> float:
@@ -119,13 +119,18 @@ def ordinary_p(text: str, turns: float) -> float:
     # a capital before small letters starts a word and is no change
     changes = [a != b and (a, b) != ("u", "l") for a, b in zip(marks, marks[1:])]
     n, seen = len(changes), sum(changes)
-    mean = n * turns
-    if seen <= mean:
+    if seen <= n * turns:
         return 1.0
-    # Chernoff's bound of the binomial tail: exact in the exponent, so it falls with the length
-    share = seen / n
-    rest = (1 - share) * math.log((1 - share) / (1 - turns)) if share < 1 else 0.0
-    return math.exp(-n * (share * math.log(share / turns) + rest))
+    # the upper tail of a binomial distribution, by terms that shrink beyond its mean
+    term = math.exp(
+        math.lgamma(n + 1) - math.lgamma(seen + 1) - math.lgamma(n - seen + 1)
+        + seen * math.log(turns) + (n - seen) * math.log(1 - turns)
+    )
+    total, k = term, seen
+    while k < n and term > total * 1e-12:
+        term *= (n - k) / (k + 1) * turns / (1 - turns)
+        total, k = total + term, k + 1
+    return min(1.0, total)
 
 
 def looks_random(text: str, level: float) -> bool:
