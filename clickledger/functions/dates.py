@@ -5,17 +5,36 @@ from pyspark.sql import functions as F
 
 BERLIN = "Europe/Berlin"
 
-# Text forms accepted besides what Spark's own cast reads. Day/month order of the
-# dotted and slashed forms is month first, as lenient parsers read them.
+# Text forms accepted besides what Spark's own cast reads. Dotted and slashed dates are
+# read month first, as lenient parsers do, and day first where that gives no date.
 TIMESTAMP_FORMS = (
     "yyyyMMdd",
     "yyyyMMdd'T'HHmmss",
+    "yyyy/M/d",
+    "yyyy/M/d H:mm:ss",
     "M/d/yyyy",
+    "M/d/yyyy H:mm",
     "M/d/yyyy H:mm:ss",
+    "M/d/yyyy h:mm a",
+    "M/d/yyyy h:mm:ss a",
     "M.d.yyyy",
+    "M.d.yyyy H:mm",
+    "M.d.yyyy H:mm:ss",
+    "d/M/yyyy",
+    "d/M/yyyy H:mm",
+    "d/M/yyyy H:mm:ss",
+    "d.M.yyyy",
+    "d.M.yyyy H:mm",
+    "d.M.yyyy H:mm:ss",
     "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "MMM d yyyy",
+    "MMMM d yyyy",
     "d MMM yyyy",
+    "d MMMM yyyy",
     "d MMM yyyy H:mm:ss",
+    "d MMM yyyy H:mm:ss xx",
+    "d MMM yyyy H:mm:ss zzz",
 )
 
 
@@ -47,6 +66,8 @@ def int_string_to_timestamp(text: Column) -> Column:
 
 def lenient_timestamp(text: Column) -> Column:
     """The first accepted reading of a timestamp text, else NULL."""
+    # the day of the week before a date says nothing new
+    bare = F.regexp_replace(F.trim(text), r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
     readings = [text.try_cast("timestamp")]
-    readings += [F.try_to_timestamp(text, F.lit(form)) for form in TIMESTAMP_FORMS]
+    readings += [F.try_to_timestamp(bare, F.lit(form)) for form in TIMESTAMP_FORMS]
     return F.coalesce(*readings)

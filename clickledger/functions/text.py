@@ -30,8 +30,12 @@ def to_int_code(word: Column, depth: int | None = None) -> Column:
 
 
 def decode_url(text: Column) -> Column:
-    """Percent decoding that keeps '+'; a text with a broken escape stays as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+    """Percent decoding that keeps '+' and every '%' that starts no escape."""
+    return F.try_url_decode(F.replace(_whole_escapes(text), F.lit("+"), F.lit("%2B")))
+
+
+def _whole_escapes(text: Column) -> Column:
+    return F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")
 
 
 def _query(url: Column) -> Column:
@@ -39,7 +43,7 @@ def _query(url: Column) -> Column:
 
 
 def _decode_part(text: Column) -> Column:
-    return F.coalesce(F.try_url_decode(text), F.replace(text, F.lit("+"), F.lit(" ")))
+    return F.try_url_decode(_whole_escapes(text))
 
 
 def query_param(url: Column, name: str) -> Column:
@@ -62,10 +66,23 @@ def query_map(url: Column) -> Column:
     return F.aggregate(pairs, empty, put)
 
 
+# a quoted string, perhaps marked as unicode text
+_STRING = r"""(?s:u?'(?:[^'\\]|\\.)*'|u?"(?:[^"\\]|\\.)*")"""
+
+
 def value_from_key(key: str, literal: Column) -> Column:
-    """The value of one key in a JSON object or a Python dict literal (single quotes, True, None)."""
-    text = F.regexp_replace(literal, r":\s*None\b", ": null")
-    text = F.regexp_replace(text, r":\s*(True|False)\b", ': "$1"')
+    """The value of one key in a JSON object or a Python dict literal (u'...' strings, True, None).
+
+    The text is parted into strings and what is between them; only there words are literals.
+    """
+    parts = F.regexp_extract_all(literal, F.lit(f"({_STRING}|(?:(?!{_STRING}).)+)"), F.lit(1))
+
+    def plain(part: Column) -> Column:
+        between = F.regexp_replace(part, r"\bNone\b", "null")
+        between = F.regexp_replace(between, r"\b(True|False)\b", '"$1"')
+        return F.when(part.rlike(f"^{_STRING}$"), F.regexp_replace(part, "^u", "")).otherwise(between)
+
+    text = F.array_join(F.transform(parts, plain), "")
     return F.from_json(text, "map<string,string>")[key]
 
 

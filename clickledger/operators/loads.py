@@ -81,7 +81,7 @@ def changed_keys(
     """Keys of all feeds touched since the last load minus an overlap, duplicates kept out."""
     since = loaded.select((F.max(loaded_at) - F.expr(f"INTERVAL {overlap}")).alias("since")).scalar()
     parts = [
-        feed.filter(F.col(ts) > since).select(F.col(key).cast("long").alias("lead_id"))
+        feed.filter(F.col(ts) > since).select(F.col(key).try_cast("long").alias("lead_id"))
         for feed, key, ts in feeds
     ]
     keys = parts[0]

@@ -4,11 +4,11 @@ CHECKS = {}
 _CUT = "TIMESTAMP '2024-01-20'"
 CHECKS["target_events"] = f"""
 SELECT event_id, collector_tstamp, domain_userid, event, value FROM {{web_events}}
-WHERE collector_tstamp < {_CUT} AND CAST(event_id AS INT) % 50 <> 0
+WHERE collector_tstamp < {_CUT}
 """
 CHECKS["stage_events"] = f"""
 SELECT event_id, collector_tstamp, domain_userid, event, value + 1000 AS value FROM {{web_events}}
-WHERE collector_tstamp >= {_CUT} - INTERVAL '1' DAY AND CAST(event_id AS INT) % 50 <> 0
+WHERE collector_tstamp >= {_CUT} - INTERVAL '1' DAY
 """
 CHECKS["upserted"] = """
 SELECT * FROM {target_events} WHERE event_id NOT IN (SELECT event_id FROM {stage_events})

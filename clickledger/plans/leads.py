@@ -117,7 +117,7 @@ def lead_dim(
     )
     p = p.join(o, "sf_opportunity_id", "left")
     c = conversions.select(
-        F.col("tr_orderid").cast("long").alias("lead_id"),
+        F.col("tr_orderid").try_cast("long").alias("lead_id"),
         "session_id",
         "conversion_type",
         "conversion_path_id",
@@ -141,7 +141,7 @@ def lead_dim(
     if lead_scores is not None:
         p = p.join(
             lead_scores.select(
-                F.col("opportunity_id").cast("long").alias("hb_lead_id"),
+                F.col("opportunity_id").try_cast("long").alias("hb_lead_id"),
                 F.col("created_at").alias("lead_score_created_at"),
             ),
             "hb_lead_id",

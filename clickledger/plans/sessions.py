@@ -174,13 +174,23 @@ def session_bounds(
     if end_at is not None:
         mapped = mapped.filter(F.col("collector_tstamp") < end_at)
     extra = landing or []
-    # copies of an event are the same in all but number; they shrink to one row before the shuffle
+    # rows that share an identity shrink to one before the shuffle, but each counts as what it is
+    hit = [F.min(F.struct("event", *extra)).alias("_hit")] if extra else []
     raw = (
         events.groupBy(*IDENTITY)
         .agg(
-            F.any_value(F.struct("event", *extra)).alias("_hit"), F.count(F.lit(1)).alias("_copies")
+            *hit,
+            F.count(F.lit(1)).alias("_copies"),
+            F.count_if(F.col("event") == "transaction").alias("_transactions"),
+            F.count_if(F.col("event") == "page_view").alias("_page_views"),
+        )
+        .select(
+            *IDENTITY,
+            *[F.col(f"_hit.{c}").alias(c) for c in extra],
+            "_copies",
+            "_transactions",
+            "_page_views",
         )
-        .select(*IDENTITY, "_hit.*", "_copies")
     )
     joined = mapped.select("session_id", "domain_userid", "derived_ranking", *IDENTITY).join(
         raw, IDENTITY, "left"
@@ -193,15 +203,15 @@ def session_bounds(
             "derived_ranking",
         )
 
-    def copies(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("_copies"))), F.lit(0))
+    def total(counts: str) -> Column:
+        return F.coalesce(F.sum(counts), F.lit(0))
 
     bounds = joined.groupBy("session_id", "domain_userid").agg(
         edge(F.min_by, [*IDENTITY, *extra]).alias("_first"),
         edge(F.max_by, IDENTITY).alias("_last"),
-        copies(F.lit(True)).alias("events"),
-        copies(F.col("event") == "transaction").alias("transactions"),
-        copies(F.col("event") == "page_view").alias("page_views"),
+        total("_copies").alias("events"),
+        total("_transactions").alias("transactions"),
+        total("_page_views").alias("page_views"),
     )
     return bounds.select(
         "session_id",

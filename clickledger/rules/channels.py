@@ -10,6 +10,8 @@ from .ladder import any_of, ladder, mapped, part, rolled_up
 
 # The company's own name as it stands in campaign codes, lead sources and ad account names.
 HOUSE_BRAND = "housebrand"
+# how the brand's own lead sources begin
+HOUSE_BRAND_PREFIX = "housebrand"
 
 # Referrers that are no visit from outside (CRM, payment, sign-in).
 EXCLUDED_HOSTS = [

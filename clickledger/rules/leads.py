@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .channels import HOUSE_BRAND, LEAD_PROVIDERS
+from .channels import HOUSE_BRAND, HOUSE_BRAND_PREFIX, LEAD_PROVIDERS
 from .ladder import any_of, ladder, mapped, part
 
 # Fixed values of the CRM.
@@ -41,8 +41,10 @@ def is_internal_source(source: Column, house_brand: str = HOUSE_BRAND) -> Column
     return F.coalesce(F.lower(source), F.lit("")).isin(inside)
 
 
-def source_of(source: Column, house_brand: str = HOUSE_BRAND) -> Column:
-    own = F.lower(source).like(f"{house_brand[:6]}%") | (source == "Referral (intern)")
+def source_of(
+    source: Column, house_brand: str = HOUSE_BRAND, prefix: str = HOUSE_BRAND_PREFIX
+) -> Column:
+    own = F.lower(source).startswith(prefix) | (source == "Referral (intern)")
     return F.when(own, house_brand).otherwise(F.coalesce(F.lower(source), F.lit("")))
 
 

@@ -50,10 +50,12 @@ def rebuild(df: DataFrame, table: str, partition_by: list[str] | None = None) ->
 def swap_in(df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
     """Replace a table by rows that may be computed from it.
 
-    The new content is complete on disk before the old one goes, so a failed run changes nothing.
+    The new content is complete on disk before the old one goes. A run that fails between the two
+    renames leaves the table under its old content's name; the next run, or `recover`, puts it back.
     """
     spark = df.sparkSession
     staged, old = f"{table}__new", f"{table}__old"
+    recover(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
     rebuild(df, staged, partition_by)
     spark.sql(f"DROP TABLE IF EXISTS {old}")
@@ -63,16 +65,24 @@ def swap_in(df: DataFrame, table: str, partition_by: list[str] | None = None) ->
     spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
-def write_slice(df: DataFrame, table: str) -> None:
-    """Overwrite only the partitions the rows fall into, such as one kind of fact."""
-    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    # inserts into a catalog table follow the session's setting, not a writer option
-    spark.conf.set(mode, "dynamic")
-    try:
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+def recover(spark: SparkSession, table: str) -> None:
+    """Undo a swap that was cut off between its renames."""
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(f"{table}__old"):
+        spark.sql(f"ALTER TABLE {table}__old RENAME TO {table}")
+
+
+def write_slice(df: DataFrame, table: str, column: str, value: str) -> None:
+    """Replace one partition, such as one kind of fact, by the rows with that value.
+
+    An empty stage clears it; other partitions stay as they are.
+    """
+    spark = df.sparkSession
+    names = [c for c in spark.table(table).columns if c != column]
+    rows = df.filter(F.col(column) == value).select(*names)
+    quoted = value.replace("'", "\\'")
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = '{quoted}') SELECT * FROM {{rows}}", rows=rows
+    )
 
 
 def snapshot(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
@@ -101,6 +111,6 @@ def publish(jobs: dict[str, Callable[[], DataFrame]], spark: SparkSession) -> Da
             audit.append(("event", category, f"{category} ", 0, seen.get["n"], 1, table, "na", "na"))
         except Exception as error:
             audit.append(
-                ("error", category, f"{category} Error", 1, 0, 1, table, repr(error)[:4000], str(error)[:4000])
+                ("error", category, f"{category} Error", 1, 0, 1, table, repr(error), str(error))
             )
     return spark.createDataFrame(audit, AUDIT_SCHEMA)

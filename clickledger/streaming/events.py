@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,14 +42,22 @@ def sessionize_stream(
         stored = spark.read.schema(arrived.schema).parquet(store)
         written = stored.filter(F.col("batch") == number)
         # one row per calendar day
-        days = [r.berlin_day for r in written.select("berlin_day").distinct().collect()]
-        if not days:
+        if written.isEmpty():
             return
-        touched = stored.filter(F.col("berlin_day").isin(days)).drop("batch")
+        # the newest copy of an event decides its day, so days that hold an earlier copy change, too
+        ids = written.select("event_id", "event_fingerprint").distinct()
+        copies = stored.join(ids, ["event_id", "event_fingerprint"], "left_semi")
+        days = [r.berlin_day for r in copies.select("berlin_day").distinct().collect()]
+        again = stored.filter(F.col("berlin_day").isin(days)).drop("batch")
+        # a copy of theirs may lie on a third day; it decides, but that day's rows stay as they are
+        touched = _newest_copies(again, stored.drop("batch"))
         sessions = _with_day(sessionize(touched, rule=rule))
         sessions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "berlin_day"
         ).parquet(target)
+        filled = {r.berlin_day for r in touched.select("berlin_day").distinct().collect()}
+        for day in set(days) - filled:  # nothing of it is left to overwrite it with
+            _remove(spark, f"{target}/berlin_day={day}")
 
     return (
         events.writeStream.foreachBatch(load)
@@ -59,6 +67,24 @@ def sessionize_stream(
     )
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _newest_copies(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows without those that have a newer copy on a later day."""
+    key = ["event_id", "event_fingerprint"]
+    last = (
+        stored.groupBy(*key)
+        .agg(F.max("berlin_day").alias("last_day"), F.min("berlin_day").alias("first_day"))
+        .filter("first_day < last_day")
+        .select(*key, "last_day")
+    )
+    later = rows.join(last, key, "left")
+    return later.filter(F.col("last_day").isNull() | (F.col("berlin_day") == F.col("last_day"))).drop("last_day")
+
+
 def without_copies(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """A stream without repeated events. It keeps the first copy; batch runs keep the newest."""
     return events.withWatermark("collector_tstamp", lateness).dropDuplicatesWithinWatermark(
@@ -104,12 +130,20 @@ def timeout_sessions(events: DataFrame, rule: HotKeyRule = DEFAULT_RULE) -> Data
 
 
 def publish_stream(
-    rows: DataFrame, table: str, checkpoint: str, query: Callable[[DataFrame], DataFrame]
+    rows: DataFrame, table: str, store: str, checkpoint: str, query: Callable[[DataFrame], DataFrame]
 ) -> StreamingQuery:
-    """Replace a published table by the stamped result of a query over each batch."""
+    """Replace a published table by the stamped result of a query over all rows that arrived so far.
 
-    def load(batch: DataFrame, _: int) -> None:
-        swap_in(snapshot(query(batch)), table)
+    Batches are kept in `store` under their number, so a batch that is repeated overwrites itself.
+    """
+
+    def load(batch: DataFrame, number: int) -> None:
+        arrived = batch.withColumn("batch", F.lit(number))
+        arrived.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "batch"
+        ).parquet(store)
+        stored = batch.sparkSession.read.schema(arrived.schema).parquet(store)
+        swap_in(snapshot(query(stored.drop("batch"))), table)
 
     return (
         rows.writeStream.foreachBatch(load)

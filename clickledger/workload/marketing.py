@@ -54,7 +54,7 @@ def paths(t: Tables) -> DataFrame:
 
 def lead_summary(t: Tables) -> DataFrame:
     placed = onsite(t).select(
-        F.col("tr_orderid").cast("long").alias("lead_id"), "conversion_path_id"
+        F.col("tr_orderid").try_cast("long").alias("lead_id"), "conversion_path_id"
     )
     return t.lead_measures.join(placed, "lead_id", "left").withColumn(
         "lead_created_did", F.unix_date(F.to_date("lead_created_at"))

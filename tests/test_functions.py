@@ -45,6 +45,7 @@ def test_decode_url(spark):
     decoded = fn.decode_url(F.col("x"))
     assert one(spark, decoded, x="k%C3%BCche+a%2Bb") == "küche+a+b"
     assert one(spark, decoded, x="100%_x") == "100%_x"
+    assert one(spark, decoded, x="k%C3%BCche%") == "küche%" and one(spark, decoded, x="%zz%41") == "%zzA"
     assert one(spark, decoded, x=None) is None
 
 
@@ -55,6 +56,7 @@ def test_query_parameters(spark):
     assert one(spark, fn.query_param(F.col("u"), "source"), u=url) is None
     assert one(spark, fn.query_map(F.col("u")), u=url) == {"x": "1", "utm_source": "b c d"}
     assert one(spark, fn.query_map(F.col("u")), u="https://a.com/") == {}
+    assert one(spark, fn.query_param(F.col("u"), "a"), u="https://a.com/?a=k%C3%BCche%+b") == "küche% b"
 
 
 def test_value_from_key(spark):
@@ -62,6 +64,9 @@ def test_value_from_key(spark):
     assert one(spark, fn.value_from_key("b", F.col("x")), x="{'a': 'v', 'b': None}") is None
     assert one(spark, fn.value_from_key("b", F.col("x")), x="{'a': 1, 'b': True}") == "True"
     assert one(spark, fn.value_from_key("c", F.col("x")), x='{"a": 1}') is None
+    assert one(spark, fn.value_from_key("k", F.col("x")), x="{u'k': u'v', u'n': None}") == "v"
+    assert one(spark, fn.value_from_key("k", F.col("x")), x="{'k': 'so: True story', 'u': False}") == "so: True story"
+    assert one(spark, fn.value_from_key("u", F.col("x")), x="{'k': 'so: None', 'u': False}") == "False"
 
 
 def test_timestamps(spark):
@@ -73,6 +78,9 @@ def test_timestamps(spark):
     assert one(spark, text, x="04/05/2018") == ts("2018-04-05 00:00:00")
     assert one(spark, text, x="Mar 4, 2018") == ts("2018-03-04 00:00:00")
     assert one(spark, text, x="nonsense") is None
+    for form in ["25/12/2018", "25.12.2018", "2018/12/25", "25 December 2018", "December 25, 2018", "Tue, 25 Dec 2018 00:00:00 +0000",
+                 "Tue, 25 Dec 2018 00:00:00 GMT", "12/25/2018 12:00:00 AM", "25/12/2018 0:00"]:
+        assert one(spark, text, x=form) == ts("2018-12-25 00:00:00"), form
 
 
 def test_small_text_and_numbers(spark):

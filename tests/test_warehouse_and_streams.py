@@ -1,8 +1,10 @@
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickledger.plans.sessions import sessionize
+from clickledger.session import shared_dir
 from clickledger.sources import warehouse
 from clickledger.streaming.events import publish_stream, sessionize_stream, timeout_windows, without_copies
 
@@ -26,8 +28,21 @@ def test_slice_overwrites_only_its_partitions(spark):
     table = name()
     facts = spark.createDataFrame([(1, "lead"), (2, "mkt_spend")], "v int, fact_subtype string")
     warehouse.rebuild(facts, table, ["fact_subtype"])
-    warehouse.write_slice(spark.createDataFrame([("mkt_spend", 7), ("mkt_spend", 8)], "fact_subtype string, v int"), table)
+    stage = spark.createDataFrame([("mkt_spend", 7), ("mkt_spend", 8)], "fact_subtype string, v int")
+    warehouse.write_slice(stage, table, "fact_subtype", "mkt_spend")
     assert values(spark.table(table), "v", "v") == [1, 7, 8]
+    warehouse.write_slice(stage.filter("false"), table, "fact_subtype", "mkt_spend")
+    assert values(spark.table(table), "v", "v") == [1]
+
+
+def test_a_swap_cut_off_between_its_renames_is_undone(spark):
+    table = name()
+    warehouse.rebuild(spark.range(2), f"{table}__old")
+    warehouse.recover(spark, table)
+    assert spark.table(table).count() == 2
+    warehouse.rebuild(spark.range(5), f"{table}__old")
+    warehouse.swap_in(spark.table(table).limit(1), table)
+    assert spark.table(table).count() == 1 and not spark.catalog.tableExists(f"{table}__old")
 
 
 def test_publish_audits_each_table(spark):
@@ -73,6 +88,21 @@ def test_late_events_in_a_stream_end_like_a_batch(spark, tmp_path):
     assert dict(zip(values(streamed, "event_id", "event_id"), values(streamed, "session_id", "event_id")))["b"] == "20240110_d"
 
 
+def test_a_copy_on_a_later_day_moves_its_event(spark, tmp_path):
+    paths = [str(tmp_path / p) for p in ("in", "store", "out", "progress")]
+    deliveries = [
+        [{"at": "2024-01-10 10:00:00", "event_id": "a"}, {"at": "2024-01-10 11:00:00", "event_id": "b"}],
+        [{"at": "2024-01-11 10:00:00", "event_id": "a"}, {"at": "2024-01-12 10:00:00", "event_id": "c"}],
+        [{"at": "2024-01-13 10:00:00", "event_id": "a"}, {"at": "2024-01-10 12:00:00", "event_id": "d"}],
+    ]
+    for delivery in deliveries:
+        deliver(paths[0], make_events(spark, *delivery))
+        sessionize_stream(stream_of(spark, paths[0]), *paths[1:]).awaitTermination()
+    keep = ["session_id", "event_id", "collector_tstamp", "session_event_index", "is_external"]
+    streamed = spark.read.parquet(paths[2]).select(*keep)
+    assert same(streamed, sessionize(make_events(spark, *sum(deliveries, []))).select(*keep))
+
+
 def run_to_table(spark, stream, tmp_path, mode="append"):
     out = str(tmp_path / name())
     (stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", out + "_p")
@@ -96,9 +126,21 @@ def test_stream_timeout_windows(spark, tmp_path):
 
 def test_published_stream(spark, tmp_path):
     table = name()
-    deliver(str(tmp_path / "in"), make_events(spark, *FIRST))
-    publish_stream(
-        stream_of(spark, str(tmp_path / "in")), table, str(tmp_path / "p"), lambda b: b.groupBy("event").count()
-    ).awaitTermination()
-    got = rows(spark.table(table))
-    assert got[0]["count"] == 4 and got[0]["loaded_at"] is not None
+    for delivery, total in ((FIRST, 4), (LATE, 6)):
+        deliver(str(tmp_path / "in"), make_events(spark, *delivery))
+        publish_stream(
+            stream_of(spark, str(tmp_path / "in")), table, str(tmp_path / "s"), str(tmp_path / "p"),
+            lambda b: b.groupBy("event").count(),
+        ).awaitTermination()
+        spark.catalog.refreshTable(table)  # another session swapped it
+        got = rows(spark.table(table))
+        assert got[0]["count"] == total and got[0]["loaded_at"] is not None
+
+
+def test_steps_need_a_shared_folder_off_local_masters(spark, monkeypatch):
+    class Far:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("Context", (), {"master": "spark://far:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Far)
