@@ -23,7 +23,7 @@ def bounds(t: Tables, landing: list[str] | None = None) -> DataFrame:
 
 
 def adgroup_map(t: Tables) -> DataFrame:
-    return adgroups.adgroup_utm_map(t.click_report, t.web_events)
+    return t.step("adgroup_map", lambda t: adgroups.adgroup_utm_map(t.click_report, t.web_events))
 
 
 def prepared(t: Tables) -> DataFrame:
@@ -32,7 +32,7 @@ def prepared(t: Tables) -> DataFrame:
 
 def session_facts(t: Tables) -> DataFrame:
     return sessions.session_facts(
-        bounds(t, sessions.LANDING), prepared(t), t.tv_peaks, t.iso_country_codes
+        bounds(t, sessions.LANDING), t.step("prepared", prepared), t.tv_peaks, t.iso_country_codes
     )
 
 
@@ -72,7 +72,7 @@ def ad_spend(t: Tables) -> DataFrame:
 
 
 def channel_dimension(t: Tables) -> DataFrame:
-    return channels.channel_dimension(prepared(t))
+    return channels.channel_dimension(t.step("prepared", prepared))
 
 
 def _rounded(df: DataFrame, columns: list[str], digits: int) -> DataFrame:
@@ -89,6 +89,19 @@ def _(spark, sf_dir):
     return bounds(Tables(spark, sf_dir))
 
 
+@query("session_bounds_copies", "bounds_of_copies")
+def _(spark, sf_dir):
+    """Bounds where rows of one identity repeat, as they are or as another kind of event."""
+    t = Tables(spark, sf_dir)
+    number = F.col("event_id").cast("int") % 20
+    other = F.when(F.col("event") == "page_view", "transaction").otherwise("page_view")
+    events = (
+        t.web_events.unionByName(t.web_events.filter(number == 3))
+        .unionByName(t.web_events.filter(number == 7).withColumn("event", other))
+    )
+    return sessions.session_bounds(t.step("session_map", session_map), events)
+
+
 @query("session_facts", "facts_of_sessions")
 def _(spark, sf_dir):
     return session_facts(Tables(spark, sf_dir))
