@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from .channels import HOUSE_BRAND, HOUSE_BRAND_PREFIX, LEAD_PROVIDERS
 from .ladder import any_of, ladder, mapped, part
 
-# Fixed values of the CRM.
-LEAD_QUEUE = "00G58000000ItwVEAS"
-PARTNER_LEAD = "01258000000VNacAAG"
+# Ids and words of the CRM at hand; replace them by those of another one.
+LEAD_QUEUE = "lead-queue"
+PARTNER_LEAD = "record-partner-lead"
 RECORD_TYPES = {
     PARTNER_LEAD: "Partner Lead",
-    "01258000000VCHvAAO": "Lead",
-    "01258000000VCHuAAO": "Existing Customer",
+    "record-lead": "Lead",
+    "record-customer": "Existing Customer",
 }
 INVALID_SUBSTATUS = ["Duplicate", "Fake request"]
 UNREACHED_SUBSTATUS = [*INVALID_SUBSTATUS, "Expired in lead queue"]

@@ -228,7 +228,7 @@ SELECT
   {_pick("event_id", ["Hamburg", None, " Essen"])} AS job_city,
   CASE WHEN event_id % 4 = 0 THEN NULL ELSE ' 10-' || CAST(event_id % 977 AS STRING) END AS postal_code,
   '99 ' || CAST(event_id % 97 AS STRING) AS job_postal_code,
-  {_pick("event_id", ["01258000000VNacAAG", "01258000000VCHvAAO", "01258000000VCHuAAO", "other"])}
+  {_pick("event_id", ["record-partner-lead", "record-lead", "record-customer", "other"])}
     AS record_type_id,
   {_pick("event_id", ["painting", "Tiling", "flooring", "wall_tiling", None, "varnish"])} AS main_vertical,
   CAST(ts AS TIMESTAMP) AS created_date,
@@ -268,7 +268,7 @@ SHAPES["agent_touches"] = "UNION ALL".join(
     f"""
 SELECT
   event_id + {step} AS lead_id,
-  CASE WHEN (event_id + {step}) % 13 = 0 THEN '00G58000000ItwVEAS'
+  CASE WHEN (event_id + {step}) % 13 = 0 THEN 'lead-queue'
     ELSE 'agent' || CAST((event_id + user_id) % 11 AS STRING) END AS agent_id,
   CAST(ts AS TIMESTAMP) AS lead_touchpoint_at
 FROM {{events}} WHERE event_type IN ('click', 'purchase')

@@ -67,7 +67,7 @@ def test_lead_states(spark):
         {"id": "C", "backend_opportunity_id": "3", "status": "Unqualified", "substatus": "ok", "country": "Germany",
          "job_city": " Bonn", "postal_code": "12-3 A"},
         {"id": "D", "backend_opportunity_id": "4", "is_trainings_lead": True},
-        {"id": "E", "backend_opportunity_id": "5", "record_type_id": "01258000000VNacAAG"},
+        {"id": "E", "backend_opportunity_id": "5", "record_type_id": "record-partner-lead"},
         {"id": "F", "backend_opportunity_id": None},
     ]
     got = rows(lead_rows(spark, given), "lead_id")
@@ -82,7 +82,7 @@ def test_lead_states(spark):
 
 def test_agents_ignore_the_queue(spark):
     touches = [
-        (1, "00G58000000ItwVEAS", ts("2024-01-01 00:00:00")),
+        (1, "lead-queue", ts("2024-01-01 00:00:00")),
         (1, "a", ts("2024-01-02 00:00:00")),
         (1, "b", ts("2024-01-03 00:00:00")),
     ]
