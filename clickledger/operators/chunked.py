@@ -2,7 +2,9 @@
 
 `chunk` names columns that cut the rows of a key into ordered pieces. Each piece gets its own window;
 one summary row per piece is combined per key and joined back. With an empty chunk the functions are
-the plain Spark window. All summaries are partial aggregates with one row per piece.
+the plain Spark window. All summaries are partial aggregates with one row per piece. Rows are written
+before they are summed and joined to their own sums, so a chain of steps grows by a step each, not
+twofold.
 """
 
 from __future__ import annotations
@@ -10,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def _orders(columns: list[str], backward: bool) -> list[Column]:
     return [F.col(c).desc() if backward else F.col(c).asc() for c in columns]
@@ -32,6 +36,7 @@ def running_count(
         near, size = F.row_number().over(inside), F.count(F.lit(1))
     if not chunk:
         return df.withColumn(name, near)
+    df = written(df, "pieces")
     ahead = Window.partitionBy(*keys).orderBy(*_orders(chunk, False))
     offsets = (
         df.groupBy(*keys, *chunk)
@@ -70,6 +75,7 @@ def carried_last(
     near = F.last(value, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, edge))
     if not chunk:
         return df.withColumn(name, near)
+    df = written(df, "pieces")
     position = F.when(value.isNotNull(), F.struct(*order))
     pick = F.min_by if backward else F.max_by
     across = Window.partitionBy(*keys).orderBy(*_orders(chunk, backward))
@@ -98,6 +104,7 @@ def group_totals(
     if not chunk:
         whole = Window.partitionBy(*keys)
         return df.withColumns({name: F.sum(c).over(whole) for name, c in totals.items()})
+    df = written(df, "pieces")
     whole = Window.partitionBy(*keys)
     sums = (
         df.groupBy(*keys, *chunk)

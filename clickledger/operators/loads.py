@@ -8,17 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import berlin_day_start
-from .skew import DEFAULT_RULE, HotKeyRule, lookup
+from .skew import lookup
 
 EPOCH = datetime(1970, 1, 1)
 
 
 def upsert_by_key(
-    target: DataFrame, stage: DataFrame, key: str, rule: HotKeyRule = DEFAULT_RULE
+    target: DataFrame, stage: DataFrame, key: str
 ) -> DataFrame:
     """Drop target rows whose key is staged, then append the stage."""
     keys = stage.select(key).dropna().distinct()
-    kept = lookup(target, keys, [key], "left_anti", rule)
+    kept = lookup(target, keys, [key], "left_anti")
     return kept.unionByName(stage, allowMissingColumns=True)
 
 
@@ -47,19 +47,19 @@ def replace_slice(
 
 
 def append_unseen(
-    target: DataFrame, stage: DataFrame, key: str, rule: HotKeyRule = DEFAULT_RULE
+    target: DataFrame, stage: DataFrame, key: str
 ) -> DataFrame:
     """Append stage rows whose key the target lacks. NULL keys in the target match nothing."""
-    new = unseen(stage, target, key, rule)
+    new = unseen(stage, target, key)
     return target.unionByName(new, allowMissingColumns=True)
 
 
 def unseen(
-    stage: DataFrame, target: DataFrame, key: str, rule: HotKeyRule = DEFAULT_RULE
+    stage: DataFrame, target: DataFrame, key: str
 ) -> DataFrame:
     """Stage rows with a key the target lacks; rows without a key are left out."""
     known = target.select(key).dropna().distinct()
-    return lookup(stage.filter(F.col(key).isNotNull()), known, [key], "left_anti", rule)
+    return lookup(stage.filter(F.col(key).isNotNull()), known, [key], "left_anti")
 
 
 def window_bounds(target: DataFrame, ts: str, load_log: DataFrame, job: str) -> tuple[Column, Column]:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import DEFAULT_RULE, HotKeyRule, input_bytes
-
 Spec = dict[str, tuple[Column, float]]
 
 
@@ -15,19 +13,13 @@ def _value_band(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log2(1 + F.abs(value)) * 64).cast("long")
 
 
-def group_quantiles(
-    df: DataFrame, keys: list[str], spec: Spec, rule: HotKeyRule = DEFAULT_RULE
-) -> DataFrame:
+def group_quantiles(df: DataFrame, keys: list[str], spec: Spec) -> DataFrame:
     """Exact quantiles per group with linear interpolation; NULL values do not count.
 
     `spec` maps each output column to (value, probability). Spark's own `percentile` keeps all distinct
-    values of a group in one buffer, which fits small inputs. Beyond that equal values are counted
-    first, and positions are found per (group, value band), so no group meets in one task.
+    values of a group in one buffer. Here equal values are counted first, and positions are found per
+    (group, value band), so no group meets in one task.
     """
-    if input_bytes(df) < rule.min_bytes:
-        own = [F.percentile(v.cast("double"), p).alias(n) for n, (v, p) in spec.items()]
-        return df.groupBy(*keys).agg(*own) if keys else df.agg(*own)
-
     sources = {str(v): v for v, _ in spec.values()}
     number = {text: i for i, text in enumerate(sources)}
     cells = F.array(

@@ -1,8 +1,9 @@
-"""Finding and splitting keys that hold too many rows for one task.
+"""Keys that hold too many rows for one task.
 
-A window or a join sends all rows of one key to one task. Where a key can grow with the data, the
-plans ask here which keys are too big and cut those into time slices; all other rows keep the plain
-Spark plan. The answer never changes a result, only how its work is spread.
+A window sends all rows of a key to one task. Where a key can grow with the data, the plans look for
+keys with too many rows and cut those by row count into ordered slices; all other rows keep the plain
+window. The search runs at every size of the input, and its answer never changes a result, only how the
+work is spread. Joins need none of this: adaptive execution splits the rows of a skewed key.
 """
 
 from __future__ import annotations
@@ -13,79 +14,61 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 @dataclass(frozen=True)
 class HotKeyRule:
-    """When a key counts as hot.
-
-    A key is hot beyond `max_rows`. At most `max_keys` of them, the biggest first, are handled
-    apart: every other key then has at most max(max_rows, all rows / max_keys) rows, and the list
-    brought to the driver stays small. Plans reading less than `min_bytes` are not searched.
-    """
+    """A key is hot beyond `max_rows`, which is also about the size of its slices."""
 
     max_rows: int = 5_000_000
-    max_keys: int = 10_000
-    min_bytes: int = 4 << 30
 
 
 DEFAULT_RULE = HotKeyRule()
-# rows a lookup table may have to be sent whole to every executor
-BROADCAST_ROWS = 500_000
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of all inputs of a plan; for scans this is the size of the files after pruning."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
-    total = 0
-    while leaves.hasNext():
-        total += int(leaves.next().stats().sizeInBytes())
-    return total
 
 
 def hot_keys(
-    df: DataFrame, keys: list[str], ts: str | None = None, rule: HotKeyRule = DEFAULT_RULE
+    df: DataFrame, keys: list[str], ts: str, rule: HotKeyRule = DEFAULT_RULE
 ) -> DataFrame | None:
-    """The hot keys of `df` as a small local table, or None if there are none.
+    """The hot keys of `df` with the times (microseconds) at which their slices begin, or None.
 
-    With `ts`, each comes with a slice width in microseconds that cuts its rows, if spread evenly in
-    time, into pieces of about `max_rows`.
+    The times are quantiles, so slices are even in rows however the rows lie in time. Keys are counted
+    by partial sums; only the rows of hot keys are looked at for their quantiles. The table stays in
+    the shared folder.
     """
-    if input_bytes(df) < rule.min_bytes:
-        return None
-    stats = [F.count(F.lit(1)).alias("_n")]
-    if ts:
-        stats += [F.unix_micros(F.min(ts)).alias("_lo"), F.unix_micros(F.max(ts)).alias("_hi")]
-    # partial sums run before the shuffle, so the hot keys cost nothing here
-    found = (
-        df.select(*keys, *([ts] if ts else []))
-        .dropna(subset=keys)
+    counts = (
+        df.select(*keys)
+        .dropna()
         .groupBy(*keys)
-        .agg(*stats)
+        .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > rule.max_rows)
-        .orderBy(F.desc("_n"))
-        .limit(rule.max_keys)
     )
-    if ts:
-        pieces = F.ceil(F.col("_n") / rule.max_rows)
-        width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces), F.lit(1))
-        found = found.withColumn("_width", width.cast("long"))
-    wanted = [*keys, "_width"] if ts else keys
-    rows = found.select(*wanted).collect()
-    if not rows:
+    counts = written(counts, "hot_counts")
+    most = counts.agg(F.max("_n")).first()[0]
+    if most is None:
         return None
-    return df.sparkSession.createDataFrame(rows, found.select(*wanted).schema)
+    pieces = -(-most // rule.max_rows)
+    shares = [i / pieces for i in range(1, pieces)]
+    at = F.unix_micros(ts)
+    bounds = (
+        df.join(counts, keys)
+        .groupBy(*keys)
+        .agg(F.percentile_approx(at, shares, 10 * pieces).alias("_bounds"))
+        .withColumn("_bounds", F.array_distinct("_bounds"))
+    )
+    return written(bounds, "hot_keys")
 
 
 def with_slices(df: DataFrame, keys: list[str], ts: str, hot: DataFrame | None) -> DataFrame:
     """Add `slice`: 0 for rows of ordinary keys, a rising number from 1 for rows of hot keys."""
     if hot is None:
         return df.withColumn("slice", F.lit(0).cast("long"))
-    number = F.floor(F.unix_micros(F.col(ts)) / F.col("_width")) + 1
-    # `hot` holds at most HotKeyRule.max_keys rows
+    at = F.unix_micros(F.col(ts))
+    number = F.size(F.filter("_bounds", lambda b: b < at)) + 1
     return (
-        df.join(F.broadcast(hot), keys, "left")
-        .withColumn("slice", F.coalesce(number, F.lit(0)).cast("long"))
-        .drop("_width")
+        df.join(hot, keys, "left")
+        .withColumn("slice", F.when(F.col("_bounds").isNull(), 0).otherwise(number).cast("long"))
+        .drop("_bounds")
     )
 
 
@@ -97,48 +80,22 @@ def per_heat(df: DataFrame, hot: DataFrame | None, step) -> DataFrame:
     """Run `step(rows, chunk)` plainly for ordinary rows and with chunk=['slice'] for hot ones."""
     if hot is None:
         return step(df.drop("slice"), [])
+    df = written(df, "sliced")
     ordinary = df.filter(F.col("slice") == 0).drop("slice")
     sliced = df.filter(F.col("slice") > 0)
     return union_all([step(ordinary, []), step(sliced, ["slice"]).drop("slice")])
 
 
-def spread_nulls(key: Column, by: Column, ways: int = 1024) -> Column:
-    """A join key in which NULLs (which match nothing) are spread over many partitions."""
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(by), F.lit(ways)).cast("string"))
+def spread_nulls(key: Column, by: Column) -> Column:
+    """A join key in which NULLs (which match nothing) are spread evenly, by a unique column."""
+    filler = F.concat(F.lit("\u0000"), F.xxhash64(by).cast("string"))
     return F.coalesce(key, filler)
 
 
-def lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: list[str],
-    how: str = "left",
-    rule: HotKeyRule = DEFAULT_RULE,
-) -> DataFrame:
-    """Join `rows` to a table that has each key once, also where one key holds most of the rows.
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join `rows` to a table that has each key once: left, inner, left_semi or left_anti.
 
-    `how` is left, inner, left_semi or left_anti. Plans reading little are left to the optimizer. Else
-    a table of at most BROADCAST_ROWS rows is broadcast. Beyond that the rows of the hot keys alone
-    meet a broadcast of just their few table rows, rows without a key skip the join, and all others
-    join by shuffle.
+    Whether the table is sent to all tasks, and how a key that holds most of the rows (or none, NULL)
+    is split, is decided by adaptive execution from the sizes it sees.
     """
-    if input_bytes(rows) < rule.min_bytes:
-        return rows.join(table, keys, how)
-    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(table), keys, how)
-    keyed = rows.dropna(subset=keys)
-    hot = hot_keys(keyed, keys, rule=rule)
-    if hot is None:
-        parts = [keyed.join(table, keys, how)]
-    else:
-        # at most HotKeyRule.max_keys rows each
-        hot = F.broadcast(hot)
-        few = F.broadcast(table.join(hot, keys, "left_semi"))
-        parts = [
-            keyed.join(hot, keys, "left_anti").join(table, keys, how),
-            keyed.join(hot, keys, "left_semi").join(few, keys, how),
-        ]
-    if how in ("left", "left_anti"):
-        keyless = rows.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
-        parts.append(keyless)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.join(table, keys, how)

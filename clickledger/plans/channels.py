@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import lower_not_null, to_int_code
 from ..operators.dedupe import one_per_key
-from ..operators.skew import DEFAULT_RULE, HotKeyRule, lookup, spread_nulls
+from ..operators.skew import lookup, spread_nulls
 from ..rules import channels as rules
 from ..rules.cities import city_style
 from ..rules.ladder import mapped, part
@@ -38,8 +38,7 @@ def channel_prep(
     clicks: DataFrame,
     adgroup_map: DataFrame,
     start_at: Column | None = None,
-    end_at: Column | None = None,
-    rule: HotKeyRule = DEFAULT_RULE,
+    end_at: Column | None = None
 ) -> DataFrame:
     """Tidy marketing parameters and the channel key of every event with a countable referrer.
 
@@ -88,7 +87,7 @@ def channel_prep(
         F.col("campaign").alias("_m_campaign"),
     )
     rows = rows.join(click, ["_click", "_date"], "left")
-    rows = lookup(rows, first_map, ["_string"], rule=rule)
+    rows = lookup(rows, first_map, ["_string"])
 
     clicked = F.col("_g_ad_group_id").isNotNull()
     tidy = rows.select(

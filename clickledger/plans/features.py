@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import group_quantiles
-from ..operators.skew import DEFAULT_RULE, HotKeyRule, lookup
+from ..operators.skew import lookup
 
 # subject -> name of its cancellation rate
 RATE_SUBJECTS = {
@@ -31,7 +31,7 @@ CLAMPED = {"pre": ["vorlauf", "nmv"], "post": ["vorlauf", "close2book", "nmv", "
 _NOBODY = "\u0000"
 
 
-def cancel_rates(features: DataFrame, rule: HotKeyRule = DEFAULT_RULE) -> DataFrame:
+def cancel_rates(features: DataFrame) -> DataFrame:
     """Cancellation rate of each row's partner, vertical combination and agent; a missing subject is one.
 
     Rates are counted per subject before the shuffle and looked up, so that rows never gather by
@@ -43,18 +43,17 @@ def cancel_rates(features: DataFrame, rule: HotKeyRule = DEFAULT_RULE) -> DataFr
         rates = keyed.groupBy("_subject").agg(
             (F.count_if("bin_cancelled") / F.count(F.lit(1))).alias(name)
         )
-        features = lookup(keyed, rates, ["_subject"], rule=rule).drop("_subject")
+        features = lookup(keyed, rates, ["_subject"]).drop("_subject")
     return features
 
 
 def training_set(
     features: DataFrame,
     booking: str,
-    edition: str = "notebook",
-    rule: HotKeyRule = DEFAULT_RULE,
+    edition: str = "notebook"
 ) -> DataFrame:
     """Predictors and label before ('pre') or after ('post') a partner was booked."""
-    rated = cancel_rates(features, rule)
+    rated = cancel_rates(features)
     label = F.col("bin_cancelled")
     if booking == "post":
         rows = rated.filter("bin_prepared")
@@ -72,12 +71,12 @@ def numeric_columns(df: DataFrame, columns: list[str]) -> list[str]:
     return [c for c in columns if kinds[c] not in ("boolean", "string")]
 
 
-def winsorize(df: DataFrame, columns: list[str], rule: HotKeyRule = DEFAULT_RULE) -> DataFrame:
+def winsorize(df: DataFrame, columns: list[str]) -> DataFrame:
     """Clamp values to the Tukey fences q1 - 1.5 IQR and q3 + 1.5 IQR of their column."""
     spec = {}
     for c in columns:
         spec |= {f"{c}_q1": (F.col(c), 0.25), f"{c}_q3": (F.col(c), 0.75)}
-    quartiles = group_quantiles(df, [], spec, rule)
+    quartiles = group_quantiles(df, [], spec)
     bounds = quartiles.select(F.struct(*spec).alias("b")).scalar()
 
     def clamped(c: str):
@@ -101,12 +100,12 @@ def zscore(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def model_table(
-    features: DataFrame, booking: str, edition: str = "notebook", rule: HotKeyRule = DEFAULT_RULE
+    features: DataFrame, booking: str, edition: str = "notebook"
 ) -> DataFrame:
     """A training set ready for a learner: clamped, complete, scaled, booleans as numbers."""
     columns = SETS[edition, booking]
-    rows = training_set(features, booking, edition, rule)
-    rows = winsorize(rows, CLAMPED[booking], rule)
+    rows = training_set(features, booking, edition)
+    rows = winsorize(rows, CLAMPED[booking])
     # a constant column has no scale; centred it is 0
     numbers = numeric_columns(rows, columns)
     rows = zscore(rows, numbers).fillna(0.0, subset=numbers)
@@ -116,7 +115,7 @@ def model_table(
 
 
 def information_gain(
-    df: DataFrame, label: str, columns: list[str], bins: int = 10, rule: HotKeyRule = DEFAULT_RULE
+    df: DataFrame, label: str, columns: list[str], bins: int = 10
 ) -> DataFrame:
     """Information gain (nats) and Cramer's V of each feature about the label.
 
@@ -128,7 +127,7 @@ def information_gain(
     spec = {
         f"{c}_{i}": (F.col(c), i / bins) for c in numbers for i in range(1, bins)
     }
-    edges = group_quantiles(whole, [], spec, rule).select(F.struct(*spec).alias("e")).scalar()
+    edges = group_quantiles(whole, [], spec).select(F.struct(*spec).alias("e")).scalar()
 
     def piece(c: str):
         if c not in numbers:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import strip_special, to_did, to_int_code
 from ..operators.loads import unseen
-from ..operators.skew import DEFAULT_RULE, HotKeyRule, lookup
+from ..operators.skew import lookup
 from ..rules import leads as rules
 from ..rules.channels import CHANNEL_GROUPS, HOUSE_BRAND
 from ..rules.cities import city_of, city_style
@@ -34,12 +34,12 @@ def first_last_touch(touches: DataFrame) -> DataFrame:
     )
 
 
-def _with_offers(leads: DataFrame, offers: DataFrame, rule: HotKeyRule) -> DataFrame:
+def _with_offers(leads: DataFrame, offers: DataFrame) -> DataFrame:
     """Each lead with each of its offers, or once with none."""
     offers = offers.select(
         F.col("sf_lead_id").alias("id"), "sf_opportunity_id", "sf_offer_id", "hb_lead_id", "qualified_at"
     )
-    offered = lookup(offers, leads, ["id"], "inner", rule)
+    offered = lookup(offers, leads, ["id"], "inner")
     without = leads.join(offers.select("id").dropna().distinct(), "id", "left_anti")
     return offered.unionByName(without, allowMissingColumns=True)
 
@@ -56,8 +56,7 @@ def lead_dim(
     changed: DataFrame | None = None,
     landing_pages: DataFrame | None = None,
     lead_scores: DataFrame | None = None,
-    house_brand: str = HOUSE_BRAND,
-    rule: HotKeyRule = DEFAULT_RULE,
+    house_brand: str = HOUSE_BRAND
 ) -> DataFrame:
     """One row per lead: states, agents, place, marketing key, opportunity and conversion.
 
@@ -76,7 +75,7 @@ def lead_dim(
     if changed is not None:
         keys = changed.select(F.col("lead_id").alias("_own"))
         counted = counted.withColumn("_own", own_id).join(keys, "_own", "left_semi").drop("_own")
-    rows = _with_offers(counted, offers, rule).withColumn(
+    rows = _with_offers(counted, offers).withColumn(
         "lead_id", F.coalesce(F.col("hb_lead_id").cast("long"), own_id)
     )
     # NULL times last; the ids only make the choice repeatable
@@ -101,7 +100,7 @@ def lead_dim(
     places = countries.select(
         F.col("leads_country").alias("country"), F.col("opportunities_country").alias("_mapped")
     )
-    p = lookup(p, places, ["country"], rule=rule)
+    p = lookup(p, places, ["country"])
     p = p.join(first_last_touch(touches), "lead_id", "left")
     o = opportunities.select(
         F.col("id").alias("sf_opportunity_id"),
@@ -133,7 +132,7 @@ def lead_dim(
         pages = landing_pages.select(
             F.col("campaign").alias("_campaign"), F.col("landing_page").alias("_landing"), "is_spinfire"
         )
-        p = lookup(p, pages, ["_campaign"], rule=rule)
+        p = lookup(p, pages, ["_campaign"])
     else:
         p = p.withColumns(
             {"_landing": F.lit(None).cast("string"), "is_spinfire": F.lit(None).cast("boolean")}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import to_did
 from ..operators.dedupe import one_per_key
-from ..operators.skew import DEFAULT_RULE, HotKeyRule, lookup
+from ..operators.skew import lookup
 
 # Fixed values of the study.
 FIRST_DAY = 17167  # 2017-01-01 as a day number
@@ -59,8 +59,7 @@ def opportunity_mart(
     partners: DataFrame,
     agents: DataFrame,
     zip_codes: DataFrame,
-    first_day: int = FIRST_DAY,
-    rule: HotKeyRule = DEFAULT_RULE,
+    first_day: int = FIRST_DAY
 ) -> DataFrame:
     """One row per opportunity with its offers, invoices, first sales agent, partner and place."""
     first_offers = one_per_key(
@@ -101,7 +100,7 @@ def opportunity_mart(
         (service, "ops_agent_id"),
         (statuses, "partner_id"),
     ):
-        rows = lookup(rows, table, [key], rule=rule)
+        rows = lookup(rows, table, [key])
     reason = F.col("cancellation_reason")
     return rows.select(
         "opportunity_id",

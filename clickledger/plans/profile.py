@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import ratio, round_half_even
 from ..operators.quantiles import group_quantiles
-from ..operators.skew import DEFAULT_RULE, HotKeyRule
 
 
 def last_year(as_of: date) -> Column:
@@ -30,8 +29,7 @@ def profile(
     book_to_cancel: bool = False,
     time_to_match: bool = True,
     reasons: bool = True,
-    cancelled_only: bool = False,
-    rule: HotKeyRule = DEFAULT_RULE,
+    cancelled_only: bool = False
 ) -> DataFrame:
     """Counts, rates and medians per subject, kept where it has more than `min_jobs` opportunities.
 
@@ -92,7 +90,7 @@ def profile(
         *[F.coalesce(F.sum(v), F.lit(0.0)).alias(n) for n, v in sums.items()],
         *([F.avg("close2book").alias("mean_close_to_book")] if time_to_match else []),
     )
-    middle = group_quantiles(rows, subjects, medians, rule).withColumnsRenamed(
+    middle = group_quantiles(rows, subjects, medians).withColumnsRenamed(
         {s: f"_of_{s}" for s in subjects}
     )
     wide = totals.join(
@@ -168,13 +166,13 @@ def by_country(features: DataFrame) -> DataFrame:
     )
 
 
-def summary_stats(figures: DataFrame, columns: list[str], rule: HotKeyRule = DEFAULT_RULE) -> DataFrame:
+def summary_stats(figures: DataFrame, columns: list[str]) -> DataFrame:
     """Minimum, quartiles, mean and maximum of each column, one row per column."""
     doubles = figures.select(*[F.col(c).cast("double").alias(c) for c in columns])
     long = doubles.unpivot([], columns, "measure", "value")
     value = F.col("value")
     quartiles = group_quantiles(
-        long, ["measure"], {"q1": (value, 0.25), "median": (value, 0.5), "q3": (value, 0.75)}, rule
+        long, ["measure"], {"q1": (value, 0.25), "median": (value, 0.5), "q3": (value, 0.75)}
     )
     edges = long.groupBy("measure").agg(
         F.min("value").alias("min"), F.avg("value").alias("mean"), F.max("value").alias("max")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import from_did
-from ..operators.skew import DEFAULT_RULE, HotKeyRule, lookup
+from ..operators.skew import lookup
 
 VALUES = ["sessions", "leads", "valid_leads", "cost"]
 
@@ -22,7 +22,7 @@ def dates(date_id_column: str, as_of: date) -> dict:
 
 
 def cumulative_marketing(
-    facts: DataFrame, channels: DataFrame, as_of: date, rule: HotKeyRule = DEFAULT_RULE
+    facts: DataFrame, channels: DataFrame, as_of: date
 ) -> DataFrame:
     """Daily values by medium and channel, running sums and previous day within each month.
 
@@ -36,7 +36,7 @@ def cumulative_marketing(
     recent = recent.filter(F.col("month") >= F.add_months(today, -2))
     names = channels.select("utm_id", "mkt_medium", "mkt_channel")
     daily = (
-        lookup(recent, names, ["utm_id"], rule=rule)
+        lookup(recent, names, ["utm_id"])
         .groupBy("date", "month", "months_ago", "mkt_medium", "mkt_channel")
         .agg(
             F.sum("sessions").alias("sessions"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import DEFAULT_RULE, HotKeyRule, lookup
+from ..operators.skew import lookup
 from ..rules.measures import MEASURES
 from .sessions import UNTRACKED
 
@@ -86,21 +86,21 @@ FACT_KEYS = (
 ).split()
 
 
-def with_channel(rows: DataFrame, channels: DataFrame, rule: HotKeyRule = DEFAULT_RULE) -> DataFrame:
+def with_channel(rows: DataFrame, channels: DataFrame) -> DataFrame:
     keys = channels.select(
         "utm_id",
         F.col("vertical_type_id").alias("_channel_vertical"),
         F.col("pbi_utm_id").alias("_pbi"),
     )
-    return lookup(rows, keys, ["utm_id"], rule=rule)
+    return lookup(rows, keys, ["utm_id"])
 
 
 def return_facts(
-    returns: DataFrame, channels: DataFrame, rule: HotKeyRule = DEFAULT_RULE
+    returns: DataFrame, channels: DataFrame
 ) -> DataFrame:
     """Rows of the marketing fact for attributed returns."""
     values = [c for c in returns.columns if c not in RETURN_KEYS]
-    return with_channel(returns, channels, rule).select(
+    return with_channel(returns, channels).select(
         F.col("lead_created_at").alias("event_at"),
         F.lit("conversion").alias("fact_type"),
         F.lit("lead").alias("fact_subtype"),

@@ -230,8 +230,7 @@ def session_facts(
     channel_rows: DataFrame,
     tv_peaks: DataFrame,
     iso_codes: DataFrame,
-    loaded: DataFrame | None = None,
-    rule: HotKeyRule = DEFAULT_RULE,
+    loaded: DataFrame | None = None
 ) -> DataFrame:
     """One row per session with landing page, place, device, channel key, duration and bounce.
 
@@ -240,7 +239,7 @@ def session_facts(
     """
     fresh = bounds
     if loaded is not None:
-        fresh = unseen(bounds, loaded, "session_id", rule)
+        fresh = unseen(bounds, loaded, "session_id")
     start = [f"start_{c}" for c in IDENTITY]
     utm = channel_rows.select(
         *[F.col(c).alias(f"start_{c}") for c in IDENTITY], F.col("utm_id").alias("_utm")
@@ -253,9 +252,9 @@ def session_facts(
         .withColumn("_minute", F.date_trunc("minute", "start_collector_tstamp"))
         .withColumn("_country", F.lower("geo_country"))
     )
-    rows = lookup(rows, one_per_key(peaks, ["_minute"], [F.col("_tv").asc()]), ["_minute"], rule=rule)
+    rows = lookup(rows, one_per_key(peaks, ["_minute"], [F.col("_tv").asc()]), ["_minute"])
     rows = lookup(
-        rows, one_per_key(codes, ["_country"], [F.col("iso_code").asc()]), ["_country"], rule=rule
+        rows, one_per_key(codes, ["_country"], [F.col("iso_code").asc()]), ["_country"]
     )
     rows = one_per_key(
         rows, ["session_id"], [F.col("domain_userid").asc(), F.col("_utm").asc_nulls_last()]

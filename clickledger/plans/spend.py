@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lower_not_null, to_did
-from ..operators.skew import DEFAULT_RULE, HotKeyRule, lookup
+from ..operators.skew import lookup
 from ..rules.channels import HOUSE_BRAND
 from ..rules.ladder import ladder, mapped, part
 from .channels import campaign_marks, network_source
@@ -30,8 +30,7 @@ def ad_spend(
     adset_report: DataFrame,
     adgroup_report: DataFrame,
     adgroup_map: DataFrame,
-    house_brand: str = HOUSE_BRAND,
-    rule: HotKeyRule = DEFAULT_RULE,
+    house_brand: str = HOUSE_BRAND
 ) -> DataFrame:
     """Cost of both ad platforms per campaign, term and day, in the shape the channel ladder reads."""
     account = F.lower("account_name")
@@ -60,7 +59,7 @@ def ad_spend(
         F.col("term").alias("_term"),
     )
     report = adgroup_report.withColumn("_join", F.concat("account_id", "campaign_id", "ad_group_id"))
-    report = lookup(report, known, ["_join"], rule=rule)
+    report = lookup(report, known, ["_join"])
     search = report.select(
         ladder(
             [
@@ -116,10 +115,10 @@ def cost_keys(event_at: Column, date_id: Column, subtype: str) -> list[Column]:
     ]
 
 
-def spend_facts(spend: DataFrame, channels: DataFrame, rule: HotKeyRule = DEFAULT_RULE) -> DataFrame:
+def spend_facts(spend: DataFrame, channels: DataFrame) -> DataFrame:
     """Rows of the marketing fact for advertising cost."""
     date = F.col("date")
-    return with_channel(spend, channels, rule).select(
+    return with_channel(spend, channels).select(
         *cost_keys(date.cast("timestamp"), to_did(date), "mkt_spend"),
         "utm_id",
         "geo_id",
@@ -184,10 +183,10 @@ def sheet_channels(prepared: DataFrame) -> DataFrame:
 
 
 def manual_spend(
-    prepared: DataFrame, channels: DataFrame, rule: HotKeyRule = DEFAULT_RULE
+    prepared: DataFrame, channels: DataFrame
 ) -> DataFrame:
     """Rows of the marketing fact for manually kept cost."""
-    return with_channel(prepared, channels, rule).select(
+    return with_channel(prepared, channels).select(
         *cost_keys(F.col("event_at"), F.col("date_id"), "mkt_spend_manual"),
         "geo_id",
         F.lit(0).alias("vertical_type_id"),

@@ -9,8 +9,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from clickledger.operators.skew import HotKeyRule  # noqa: E402
 from clickledger.session import local_session  # noqa: E402
 
-# every key with more than two rows is hot, whatever the input's size
-TINY = HotKeyRule(max_rows=2, min_bytes=0)
+# every key with more than two rows is hot
+TINY = HotKeyRule(max_rows=2)
 
 
 @pytest.fixture(scope="session")

@@ -7,7 +7,7 @@ from clickledger.operators import loads
 from clickledger.operators.chunked import carried_last, group_totals, running_count
 from clickledger.operators.dedupe import one_per_key
 from clickledger.operators.quantiles import group_quantiles
-from clickledger.operators.skew import hot_keys, lookup, with_slices
+from clickledger.operators.skew import HotKeyRule, hot_keys, lookup, with_slices
 from clickledger.plans.opportunities import pair_corr
 from clickledger.plans.repairs import distinct_sum, hashed_distinct_sum
 from clickledger.streaming.events import timeout_sessions
@@ -51,16 +51,28 @@ def test_hot_keys_and_slices(spark):
     assert hot_keys(df, ["k"], "t") is None
 
 
-def test_lookup_of_hot_and_missing_keys(spark, monkeypatch):
-    from clickledger.operators import skew
+def test_a_burst_is_cut_by_rows_not_by_time(spark):
+    """A third of all rows in one minute, and long stretches with hardly any."""
+    times = [f"2024-01-01 00:00:30.{i:06d}" for i in range(300)] + [f"2024-{m:02d}-01 00:00:00" for m in range(2, 13)]
+    df = spark.createDataFrame([("hot", ts(t)) for t in times], "k string, t timestamp")
+    sliced = with_slices(df, ["k"], "t", hot_keys(df, ["k"], "t", HotKeyRule(max_rows=20)))
+    assert max(values(sliced.groupBy("slice").count(), "count")) <= 25
 
+
+def test_hot_plans_grow_by_a_step_each(spark):
+    df, scans = numbers(spark), []
+    for k in range(4):
+        df = running_count(df, ["k"], ["o"], ["c"], f"n{k}")
+        scans.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+    assert scans == scans[:1] * 4
+
+
+def test_lookup_of_hot_and_missing_keys(spark):
     facts = spark.createDataFrame([(k, i) for i, k in enumerate("aaaaabc")] + [(None, 99)], "k string, n int")
     table = spark.createDataFrame([("a", 1), ("b", 2), ("d", 3)], "k string, w int")
     plain = facts.join(table, "k", "left")
-    assert same(plain, lookup(facts, table, ["k"], rule=TINY))
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", 1)
-    assert same(plain, lookup(facts, table, ["k"], rule=TINY))
-    assert same(facts.join(table, "k"), lookup(facts, table, ["k"], "inner", TINY))
+    assert same(plain, lookup(facts, table, ["k"]))
+    assert same(facts.join(table, "k"), lookup(facts, table, ["k"], "inner"))
 
 
 def test_one_per_key_limits_before_the_shuffle(spark):
@@ -70,11 +82,12 @@ def test_one_per_key_limits_before_the_shuffle(spark):
     assert values(df, "o", "k") == [max(r["o"] for r in rows(numbers(spark)) if r["k"] == k) for k in "ab"]
 
 
-def test_group_quantiles_both_ways(spark):
+def test_group_quantiles_as_percentiles(spark):
     df = numbers(spark).withColumn("x", F.when(F.col("o") % 7 != 0, F.col("x")))
     spec = {"q1": (F.col("x"), 0.25), "med": (F.col("x"), 0.5), "v9": (F.col("v"), 0.9)}
     for keys in (["k"], []):
-        plain, big = rows(group_quantiles(df, keys, spec), *keys), rows(group_quantiles(df, keys, spec, TINY), *keys)
+        own = [F.percentile(v.cast("double"), p).alias(n) for n, (v, p) in spec.items()]
+        plain, big = rows(df.groupBy(*keys).agg(*own), *keys), rows(group_quantiles(df, keys, spec), *keys)
         assert len(plain) == len(big)
         for a, b in zip(plain, big):
             assert all(math.isclose(a[n], b[n], abs_tol=1e-9) for n in spec)
@@ -82,7 +95,7 @@ def test_group_quantiles_both_ways(spark):
 
 def test_quantiles_of_a_null_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 5.0)], "k string, x double")
-    got = rows(group_quantiles(df, ["k"], {"m": (F.col("x"), 0.5)}, TINY), "k")
+    got = rows(group_quantiles(df, ["k"], {"m": (F.col("x"), 0.5)}), "k")
     assert [r["m"] for r in got] == [1.5, 5.0]
 
 
