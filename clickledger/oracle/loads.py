@@ -107,3 +107,22 @@ CHECKS["snapshots"] = """
 SELECT event, count(*) AS n, round(sum(value), 4) AS value, TIMESTAMP '2024-02-01' AS loaded_at
 FROM {web_events} GROUP BY 1
 """
+CHECKS["events_by_kind"] = """
+SELECT event, count(*) AS n, round(sum(value), 4) AS value FROM {web_events} GROUP BY event
+"""
+CHECKS["views_only"] = """
+SELECT event_id, event, value FROM {web_events} WHERE event = 'page_view'
+"""
+CHECKS["slices"] = """
+SELECT event_id, event, round(if(event = 'tr', 2 * value, value), 4) AS value FROM {web_events}
+WHERE event NOT IN ('transaction')
+"""
+CHECKS["audited"] = """
+SELECT if(good, 'event', 'error') AS event_type, 'Realtime Push' AS event_category, (NOT good)::INT AS is_error,
+  if(good, (SELECT count(*) FROM {web_events}), 0) AS rows_processed, 1 AS is_etl, good AS is_good,
+  NOT good AS names_the_fault
+FROM (VALUES (true), (false)) t(good)
+"""
+CHECKS["ids_once"] = """
+SELECT DISTINCT event_id, event_fingerprint, event FROM {web_events}
+"""

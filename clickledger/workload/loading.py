@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import loads
 from ..plans import repairs
+from ..sources import warehouse
 from ..sources.warehouse import snapshot
 from .marketing import onsite
 from .registry import Tables, query
@@ -135,3 +137,64 @@ def _(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("value"))
     )
     return snapshot(figures, F.lit(datetime(2024, 2, 1)))
+
+
+def _table() -> str:
+    return f"loading_{uuid.uuid4().hex}"
+
+
+def _kinds(t: Tables) -> DataFrame:
+    return t.web_events.select("event_id", "event", "value")
+
+
+@query("read_query", "events_by_kind")
+def _(spark, sf_dir):
+    name = _table()
+    warehouse.rebuild(_kinds(Tables(spark, sf_dir)), name)
+    return warehouse.read_query(
+        spark, f"SELECT event, count(*) AS n, round(sum(value), 4) AS value FROM {name} GROUP BY event"
+    )
+
+
+@query("rebuild_table", "views_only")
+def _(spark, sf_dir):
+    """A rebuilt table has its new content and columns only."""
+    name, rows = _table(), _kinds(Tables(spark, sf_dir))
+    warehouse.rebuild(rows.drop("value"), name)
+    warehouse.rebuild(rows.filter(F.col("event") == "page_view"), name, ["event"])
+    return spark.table(name).select("event_id", "event", "value")
+
+
+@query("swap_table", "views_only")
+def _(spark, sf_dir):
+    """Rows computed from the table that they replace."""
+    name = _table()
+    warehouse.rebuild(_kinds(Tables(spark, sf_dir)), name)
+    warehouse.swap_in(spark.table(name).filter(F.col("event") == "page_view"), name)
+    return spark.table(name)
+
+
+@query("slice_table", "slices")
+def _(spark, sf_dir):
+    """One slice gets other rows, one is cleared by an empty stage, the others stay."""
+    name, rows = _table(), _kinds(Tables(spark, sf_dir)).filter(F.col("event").isNotNull())
+    warehouse.rebuild(rows, name, ["event"])
+    orders = rows.filter(F.col("event") == "tr").withColumn("value", F.col("value") * 2)
+    warehouse.write_slice(orders, name, "event", "tr")
+    warehouse.write_slice(rows.filter("false"), name, "event", "transaction")
+    return spark.table(name).select("event_id", "event", F.round("value", 4).alias("value"))
+
+
+@query("audit_rows", "audited")
+def _(spark, sf_dir):
+    """One table is published, the other fails; both leave an audit row."""
+    t = Tables(spark, sf_dir)
+    good, bad = _table(), _table()
+    audit = warehouse.publish(
+        {good: lambda: _kinds(t), bad: lambda: t.web_events.select("no_such_column")}, spark
+    )
+    return audit.select(
+        "event_type", "event_category", "is_error", "rows_processed", "is_etl",
+        (F.col("rs_table") == good).alias("is_good"),
+        F.col("error_message").contains("no_such_column").alias("names_the_fault"),
+    )

@@ -40,3 +40,69 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     events = Tables(spark, sf_dir).web_events.filter(F.col("domain_userid").isNotNull())
     return streams.timeout_windows(events)
+
+
+def _deliver(spark, rows: DataFrame, folder: str) -> None:
+    rows.write.mode("append").parquet(folder)
+
+
+def _stream_of(spark, rows: DataFrame, folder: str) -> DataFrame:
+    return spark.readStream.schema(rows.schema).parquet(folder)
+
+
+def _halves(events: DataFrame) -> list[DataFrame]:
+    """Two deliveries in order of time, each with copies of its own."""
+    at = F.col("collector_tstamp")
+    middle = events.select(F.timestamp_micros(F.avg(F.unix_micros(at)).cast("long"))).scalar()
+    return [events.filter(at < middle), events.filter(at >= middle)]
+
+
+def _to_table(spark, stream: DataFrame, folder: str) -> None:
+    (
+        stream.writeStream.format("parquet")
+        .option("checkpointLocation", f"{folder}/progress")
+        .trigger(availableNow=True)
+        .start(f"{folder}/out")
+        .awaitTermination()
+    )
+
+
+@query("stream_copies", "ids_once")
+def _(spark, sf_dir):
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    events = Tables(spark, sf_dir).web_events.select("event_id", "event_fingerprint", "collector_tstamp", "event")
+    for part in _halves(events):
+        _deliver(spark, part, f"{folder}/in")
+        _to_table(spark, streams.without_copies(_stream_of(spark, part, f"{folder}/in")), folder)
+    return spark.read.parquet(f"{folder}/out").select("event_id", "event_fingerprint", "event")
+
+
+@query("stream_timeouts", "tracker_sessions")
+def _(spark, sf_dir):
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    events = (
+        Tables(spark, sf_dir).web_events.filter(F.col("domain_userid").isNotNull())
+        .select("domain_userid", "collector_tstamp")
+    )
+    last = events.agg(F.max("collector_tstamp").alias("at"))
+    # later events of nobody move the watermark past all windows
+    ends = [last.select(F.lit("").alias("domain_userid"), (F.col("at") + F.expr(f"INTERVAL {d} DAYS")).alias("collector_tstamp")) for d in (30, 60)]
+    for part in [*_halves(events), *ends]:
+        _deliver(spark, part.select("domain_userid", "collector_tstamp"), f"{folder}/in")
+        _to_table(spark, streams.timeout_windows(_stream_of(spark, events, f"{folder}/in")), folder)
+    return spark.read.parquet(f"{folder}/out").filter("domain_userid <> ''")
+
+
+@query("stream_snapshot", "events_by_kind")
+def _(spark, sf_dir):
+    name = uuid.uuid4().hex
+    folder, table = f"{shared_dir(spark)}/stream-{name}", f"snapshot_{name}"
+    events = Tables(spark, sf_dir).web_events.select("event", "value", "collector_tstamp")
+    for part in _halves(events):
+        _deliver(spark, part, f"{folder}/in")
+        streams.publish_stream(
+            _stream_of(spark, events, f"{folder}/in"), table, f"{folder}/store", f"{folder}/progress",
+            lambda rows: rows.groupBy("event").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("value")),
+        ).awaitTermination()
+    spark.catalog.refreshTable(table)
+    return spark.table(table).drop("loaded_at")
