@@ -147,20 +147,29 @@ def batches(frames: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list
 
 
 def ranked(
-    rows: DataFrame, group: list[str], place: str, name: str, piece_rows: int = 50_000
+    rows: DataFrame,
+    group: list[str],
+    place: str,
+    name: str,
+    piece_rows: int = 50_000,
+    sizes: Column | None = None,
 ) -> DataFrame:
     """Number the rows of each group from 1 in the order of `place`, however many rows a group has.
 
     `place` holds evenly spread text of hex digits (a digest). A group is cut along it into pieces of
     about `piece_rows` rows; each piece is numbered by itself and starts after the pieces before it.
-    Only counts by group and piece are gathered. `group` must hold no NULL. Rows with equal `place`
-    are numbered in any order.
+    Only counts by group and piece are gathered. `sizes` is the number of rows of a row's group where it
+    is known beforehand; else it is counted and joined. `group` must hold no NULL. Rows with equal
+    `place` are numbered in any order.
     """
     part = F.conv(F.substring(place, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
-    sizes = rows.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / piece_rows).alias("_pieces"))
-    cut = rows.join(sizes, group).withColumn(
-        "_piece", F.floor(part * F.col("_pieces")).cast("long")
-    )
+    if sizes is None:
+        counted = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+        sized = rows.join(counted, group)
+    else:
+        sized = rows.withColumn("_size", sizes)
+    pieces = F.ceil(F.col("_size") / piece_rows)
+    cut = sized.withColumn("_piece", F.floor(part * pieces).cast("long")).drop("_size")
     before = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         cut.groupBy(*group, "_piece")
@@ -171,5 +180,5 @@ def ranked(
     return (
         cut.join(starts, [*group, "_piece"])
         .withColumn(name, F.row_number().over(inside) + F.col("_start"))
-        .drop("_piece", "_pieces", "_start")
+        .drop("_piece", "_start")
     )

@@ -94,14 +94,19 @@ def pack(docs: DataFrame, shape: Shape = Shape(), with_text: bool = False) -> Da
         "packing-pieces",
     )
     counted = rows.filter("n_words > 0").groupBy("n_words").agg(F.count(F.lit(1)).alias("n"))
-    bounds = best_bounds({r["n_words"]: r["n"] for r in counted.collect()}, shape.buckets)
+    histogram = {r["n_words"]: r["n"] for r in counted.collect()}
+    bounds = best_bounds(histogram, shape.buckets)
     limits = F.array(*map(F.lit, bounds)).cast("array<bigint>")
     bound = F.element_at(F.filter(limits, lambda b: b >= F.col("n_words")), 1) if bounds else F.lit(None).cast("long")
     filled = rows.filter("n_words > 0").withColumn("bound", bound)
     per_batch = F.greatest(F.floor(F.lit(shape.budget) / F.col("bound")), F.lit(1))
     nth = F.col("nth") - 1
     more = ["text"] if with_text else []
-    batched = ranked(filled, ["bound"], "place", "nth").select(
+    sizes = F.lit(0).cast("long")
+    for low, high in zip([0, *bounds], bounds):
+        held = sum(n for size, n in histogram.items() if low < size <= high)
+        sizes = F.when(F.col("bound") == high, F.lit(held)).otherwise(sizes)
+    batched = ranked(filled, ["bound"], "place", "nth", 10_000, sizes).select(
         "doc_id",
         "piece",
         "n_words",
