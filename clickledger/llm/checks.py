@@ -6,6 +6,16 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 CHECKS: dict[str, str] = {}
 
+
+def _grams(n: int) -> str:
+    """Rows of doc_id, pos and gram (n words in a row) from `texts`, which has doc_id and words."""
+    following = ", ".join(f"lead(word, {k}) OVER text" for k in range(1, n))
+    return f"""SELECT doc_id, pos, gram FROM (
+        SELECT doc_id, pos, concat_ws(' ', word, {following}) AS gram, lead(word, {n - 1}) OVER text AS last
+        FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM texts)
+        WINDOW text AS (PARTITION BY doc_id ORDER BY pos)
+    ) WHERE last IS NOT NULL"""
+
 CHECKS["op1_mixing"] = rf"""
 WITH RECURSIVE sized AS (
     SELECT doc_id, source, len({WORDS})::BIGINT AS size,
@@ -49,15 +59,13 @@ FROM (SELECT *, least(floor(nth * rate + start) - floor((nth - 1) * rate + start
 CHECKS["op4_substring_dedup"] = rf"""
 WITH texts AS (
     SELECT doc_id, {WORDS} AS words FROM documents
-), starts AS (
-    SELECT doc_id, unnest(range(1, len(words) - 11)) AS pos, words FROM texts WHERE len(words) >= 13
 ), windows AS (
-    SELECT doc_id, pos, array_to_string(words[pos:pos + 12], ' ') AS words FROM starts
+    {_grams(13)}
 ), firsts AS (
-    SELECT words, min(doc_id) AS first FROM windows GROUP BY words HAVING min(doc_id) < max(doc_id)
+    SELECT gram, min(doc_id) AS first FROM windows GROUP BY gram HAVING min(doc_id) < max(doc_id)
 ), hits AS (
     SELECT w.doc_id, list(DISTINCT pos) AS places
-    FROM windows w JOIN firsts f USING (words) WHERE w.doc_id > f.first GROUP BY w.doc_id
+    FROM windows w JOIN firsts f USING (gram) WHERE w.doc_id > f.first GROUP BY w.doc_id
 ), gone AS (
     SELECT doc_id, list_distinct(flatten(list_transform(places, lambda p: range(p, p + 13)))) AS removed FROM hits
 )
@@ -79,3 +87,97 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id < holder THEN holder END AS refers_to
 FROM holders
 """
+
+# fixed values: the most common words of each language
+_COMMON = """MAP {
+  'de': ['der', 'die', 'und', 'in', 'den', 'von', 'zu', 'das', 'mit', 'sich', 'auf', 'ist'],
+  'en': ['the', 'of', 'and', 'to', 'a', 'in', 'is', 'that', 'for', 'with', 'was', 'on'],
+  'es': ['de', 'la', 'que', 'el', 'en', 'y', 'los', 'se', 'del', 'las', 'un', 'por'],
+  'fr': ['de', 'la', 'le', 'et', 'les', 'des', 'en', 'un', 'du', 'une', 'que', 'est'],
+  '*': ['der', 'die', 'und', 'the', 'of', 'and', 'de', 'la', 'que', 'de', 'la', 'le']}"""
+
+
+def _kept(pattern: str) -> str:
+    return f"length(regexp_replace(text, '{pattern}', '', 'g'))::BIGINT"
+
+
+_CLASSES = [
+    r"[^\x20\x09-\x0D]+", "[^A-Z]+", "[^0-9]+", """[^.,;:!?''"()-]+""",
+    r"[^#$%&*+/<=>@\[\]\\^_`{|}~]+", r"[\x00-\x7F]+",
+]
+_DISTANCE = """sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 - (count(*) - 1) / (8 * max(size) * ln(2)), 0))"""
+
+CHECKS["op3_quality"] = rf"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS words,
+           CASE WHEN lang IN ('de', 'en', 'es', 'fr') THEN lang ELSE '*' END AS language
+    FROM documents
+), windows AS (
+    SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM ({_grams(5)})
+), again AS (
+    SELECT doc_id, count(DISTINCT place) AS n FROM (
+        SELECT doc_id, unnest(range(pos, pos + 5)) AS place FROM windows WHERE n > 1) GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM texts
+), counted AS (
+    SELECT doc_id, language, len(words)::BIGINT AS n_words, length(text)::BIGINT AS n_chars,
+           [{", ".join(_kept(x) for x in _CLASSES)}] AS classes, {_kept("[^#*$%&|<>]+")} AS n_symbols,
+           [len(list_filter(words, lambda w: w = c)) FOR c IN ({_COMMON})[language]] AS common,
+           len(list_filter(words, lambda w: list_contains(({_COMMON})[language], w))) AS frequent,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+           coalesce(again.n, 0)::BIGINT AS n_repeat_words
+    FROM texts JOIN lines USING (doc_id) LEFT JOIN again USING (doc_id)
+), bins AS (
+    SELECT doc_id, language, 'classes' AS kind, unnest(range(7)) AS bin, n_chars AS size, n_chars >= 150 AS fit,
+           unnest(list_append(classes, n_chars - list_sum(classes))) AS n, n_chars >= 150 AND n_words >= 100 AS normal
+    FROM counted
+    UNION ALL
+    SELECT doc_id, language, 'words', unnest(range(13)), n_words, n_words >= 100,
+           unnest(list_append(common, n_words - frequent)), n_chars >= 150 AND n_words >= 100
+    FROM counted
+), shares AS (
+    SELECT *, CASE WHEN sum(n) OVER own > 0 THEN n / sum(n) OVER own ELSE 0 END AS p FROM bins
+    WINDOW own AS (PARTITION BY doc_id, kind)
+), usual AS (
+    SELECT language, kind, bin, avg(p) AS q FROM shares WHERE normal AND (language <> '*' OR kind = 'words') GROUP BY ALL
+    UNION ALL
+    SELECT '*', kind, bin, avg(p) FROM shares WHERE normal AND kind = 'classes' GROUP BY ALL
+), far AS (
+    SELECT doc_id, kind, {_DISTANCE} AS distance
+    FROM shares JOIN usual USING (language, kind, bin) WHERE fit GROUP BY doc_id, kind
+), judged AS (
+    SELECT doc_id, bool_and(distance <= CASE kind WHEN 'classes' THEN 0.26 ELSE 0.24 END) AS near FROM far GROUP BY doc_id
+)
+SELECT doc_id, n_words, n_chars - classes[1] AS word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND coalesce(near, true) AS kept
+FROM counted LEFT JOIN judged USING (doc_id)
+"""
+
+CHECKS["op7_near_dedup"] = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), sets AS (
+    SELECT doc_id, unnest(CASE WHEN len(words) = 1 THEN words ELSE list_distinct(
+        [words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) END) AS pair
+    FROM texts
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM sets a JOIN sets b ON a.pair = b.pair AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT doc_id, b FROM reached JOIN links ON a = other
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id,
+       doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

@@ -115,9 +115,13 @@ class Model:
 
 def training_rows(labelled: DataFrame, settings: Settings) -> DataFrame:
     """At most `documents` texts of each language: those whose ids hash lowest."""
-    narrow = labelled.filter("lang IS NOT NULL").select("doc_id", "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = narrow.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= settings.documents)
+    narrow = labelled.filter("lang IS NOT NULL").select("doc_id", "lang", F.xxhash64("doc_id").alias("place"))
+    sizes = narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # of a language with many documents only those can be picked that hash into its lowest share
+    share = F.col("place") / F.lit(2.0**64) + 0.5
+    likely = narrow.join(sizes, "lang").filter(share * F.col("n") <= 2 * settings.documents)
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    picked = likely.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= settings.documents)
     # a bounded number of ids per language
     ids = picked.select("doc_id").distinct()
     return labelled.join(ids, "doc_id", "left_semi").filter("lang IS NOT NULL").select("lang", "text")
