@@ -51,7 +51,7 @@ def _whole(words: Words) -> np.ndarray:
 
 
 def anchors(docs: DataFrame, span: int, gram: int) -> DataFrame:
-    """Rows of doc_id and key: the anchors of its windows, and the hash of its whole text."""
+    """Rows of doc_id, whole (hash of its text) and key: an anchor of its windows, or that hash."""
 
     def find(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in batches(frames, ["doc_id", "text"]):
@@ -60,30 +60,40 @@ def anchors(docs: DataFrame, span: int, gram: int) -> DataFrame:
             doc = words.doc[at]
             new = np.r_[True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])][: len(keys)]
             long = np.flatnonzero(np.diff(words.first) >= span)
-            doc, keys = np.r_[doc[new], long], np.r_[keys[new], _whole(words)[long]]
+            whole = _whole(words)
+            doc, keys = np.r_[doc[new], long], np.r_[keys[new], whole[long]]
             order = np.argsort(doc, kind="stable")
             sizes = np.bincount(doc, minlength=len(ids))
             lists = pa.LargeListArray.from_arrays(np.r_[0, np.cumsum(sizes)], keys[order].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [ids, lists.cast(pa.list_(pa.int64()))], ["doc_id", "keys"]
+                [ids, pa.array(whole.view(np.int64)), lists.cast(pa.list_(pa.int64()))],
+                ["doc_id", "whole", "keys"],
             )
 
-    found = docs.mapInArrow(find, f"doc_id {dict(docs.dtypes)['doc_id']}, keys array<bigint>")
-    return found.select("doc_id", F.explode("keys").alias("key"))
+    found = docs.mapInArrow(find, f"doc_id {dict(docs.dtypes)['doc_id']}, whole bigint, keys array<bigint>")
+    return found.select("doc_id", "whole", F.explode("keys").alias("key"))
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
-    """Per document the anchors that it shares with others, and the first document with its text."""
+    """Per document the anchors that it shares with other texts, and the first document with its text.
+
+    Anchors that only copies of one text share are left out; the copies are known as such.
+    """
+    # a whole text's hash is odd
+    whole = F.col("key").bitwiseAND(1) == 1
     first = (
         keys.groupBy("key")
-        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .filter("first < last")
-        .drop("last")
+        .agg(
+            F.min("doc_id").alias("first"),
+            F.max("doc_id").alias("last"),
+            F.min("whole").alias("low"),
+            F.max("whole").alias("high"),
+        )
+        .filter(F.when(whole, F.col("first") < F.col("last")).otherwise(F.col("low") < F.col("high")))
+        .select("key", F.when(whole, F.col("first")).alias("first"))
     )
-    # a whole text's hash is odd
-    whole = F.col("key").bitwiseAND(1) == 1
     return (
-        keys.join(first, "key")
+        keys.select("doc_id", "key").join(first, "key")
         .groupBy("doc_id")
         .agg(
             F.collect_set(F.when(~whole, F.col("key"))).alias("keys"),
@@ -95,7 +105,8 @@ def shared_keys(keys: DataFrame) -> DataFrame:
 def candidate_windows(docs: DataFrame, shared: DataFrame, span: int, gram: int) -> DataFrame:
     """Windows of shared anchors: doc_id, pos and the window's hash h1, h2.
 
-    Copies of a whole earlier text are left out: their windows add no first place.
+    A window that a document repeats has one row, with its first place. Copies of a whole earlier text
+    are left out: their windows add no first place.
     """
     wanted = shared.filter("copy_of IS NULL OR copy_of = doc_id").select("doc_id", "keys")
     texts = docs.join(wanted, "doc_id").select("doc_id", "text", "keys")
@@ -112,7 +123,11 @@ def candidate_windows(docs: DataFrame, shared: DataFrame, span: int, gram: int)
             tag = mixed(np.arange(len(ids), dtype=np.uint64) + np.uint64(1))
             hit = np.isin(own ^ tag[doc], known ^ tag[list_doc])
             at, doc = at[hit], doc[hit]
-            one, two = words.grams(span, _WINDOW)[at], words.grams(span, _CHECK)[at]
+            one = words.grams(span, _WINDOW)[at]
+            # a window that a document repeats stands there once, at its first place
+            new = np.sort(np.unique(one ^ tag[doc], return_index=True)[1])
+            at, doc, one = at[new], doc[new], one[new]
+            two = words.grams(span, _CHECK)[at]
             pick = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -145,6 +160,21 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
     )
 
 
+def all_places(words: Words, span: int, found: list[tuple[int, pa.StructScalar]]) -> dict[int, tuple]:
+    """For each text number of `found`, all places of its repeated windows, with their sources."""
+    hashes, out = words.grams(span, _WINDOW), {}
+    for doc, windows in found:
+        pos, ref, ref_pos = (np.asarray(windows.values.field(k)) for k in ("pos", "ref_doc", "ref_pos"))
+        own = hashes[words.first[doc] : words.first[doc + 1]]
+        order = np.argsort(own[pos])
+        known = own[pos][order]
+        near = order[np.minimum(np.searchsorted(known, own), len(known) - 1)]
+        at = np.flatnonzero(own[pos][near] == own)
+        at = at[at <= len(own) - span]
+        out[doc] = (at, ref[near[at]], ref_pos[near[at]])
+    return out
+
+
 def factors(pos: np.ndarray, ref: np.ndarray, ref_pos: np.ndarray, span: int) -> list[tuple]:
     """Greedy factors (start, words, ref_doc, ref_start) of sorted repeated windows."""
     if not len(pos):
@@ -185,13 +215,16 @@ def drop_repeats(docs: DataFrame, span: int = 13, gram: int = 5) -> DataFrame:
     def cut(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts, lists, copied in batches(frames, ["doc_id", "text", "windows", "copy_of"]):
             out: dict[str, list] = {k: [] for k in ("n_words", "n_removed", "factors", "kept_text", "kept_sha256")}
-            for text, found, copy in zip(texts, lists, copied.to_pylist()):
+            listed = [(k, x) for k, x in enumerate(lists) if x.is_valid]
+            pick = pa.array([k for k, _ in listed], pa.int64())
+            places = all_places(Words(texts.take(pick)), span, [(n, x) for n, (_, x) in enumerate(listed)])
+            places = {k: places[n] for n, (k, _) in enumerate(listed)}
+            for k, (text, copy) in enumerate(zip(texts, copied.to_pylist())):
                 words = (text.as_py() or "").encode().split()
                 if copy is not None:
                     parsed = [(0, len(words), copy, 0)]
-                elif found.is_valid:
-                    v = found.values
-                    parsed = factors(*(np.asarray(v.field(k)) for k in ("pos", "ref_doc", "ref_pos")), span)
+                elif k in places:
+                    parsed = factors(*places[k], span)
                 else:
                     parsed = []
                 kept, upto = [], 0
