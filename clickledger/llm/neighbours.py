@@ -144,16 +144,28 @@ def _units(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(1, keepdims=True))
 
 
-def fit_forest(points: DataFrame, how: Forest) -> list[Tree]:
-    """Fit the trees on the points whose hashes are lowest, at most `sample` of them."""
+def fit_forest(points: DataFrame, how: Forest, size: int) -> list[Tree]:
+    """Fit the trees on the points whose hashes are lowest, at most `sample` of all `size`."""
     rows = points.orderBy("digest").limit(how.sample).select("vector").toArrow()
     if not rows.num_rows:
         return []
     vectors = _units(_matrix(rows.column("vector").combine_chunks()))
-    levels = max(0, int(np.ceil(np.log2(points.count() / len(vectors)))))
+    levels = max(0, int(np.ceil(np.log2(size / len(vectors)))))
     return [fit_tree(vectors, how.leaf, levels, how.seed * 1000 + t) for t in range(how.trees)]
 
 
+def all_leaves(trees: list[Tree]) -> int:
+    return sum(len(tree.middles) << len(tree.below) for tree in trees)
+
+
+def leaves_for(trees: list[Tree], size: int, candidates: int) -> int:
+    """Leaves that hold so many of `size` points together, one of each tree at least.
+
+    Every tree holds all points, however far its leaves were parted.
+    """
+    return max(len(trees), -(-candidates * all_leaves(trees) // (size * len(trees))))
+
+
 def nearest(
     vectors: DataFrame, queries: Column, id_column: str = "vec_id", vector_column: str = "embedding",
     k: int = 5, how: Forest = Forest(),
@@ -190,13 +202,13 @@ def nearest(
         .groupBy("digest").agg(F.collect_set("id").alias("ids"))
         .join(names, "digest").select("point", "ids")
     )
-    trees = fit_forest(points, how)
+    size = points.count()
+    trees = fit_forest(points, how, size)
     empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     if not trees:
         return empty
     shared = spark.sparkContext.broadcast(trees)
-    # leaves are about two thirds full
-    leaves = max(how.trees, how.candidates * 3 // (how.leaf * 2))
+    leaves = leaves_for(trees, size, how.candidates)
 
     def meet(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value

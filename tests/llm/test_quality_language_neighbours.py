@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from clickledger.llm import language
-from clickledger.llm.neighbours import Forest, nearest
+from clickledger.llm.neighbours import Forest, fit_tree, leaves_for, nearest, place, visits
 from clickledger.llm.quality import js_distance, judge
 
 from .conftest import FOLDER, by_id
@@ -147,3 +147,15 @@ def test_equal_zero_and_broken_vectors(spark):
     assert got[0] == [1, 2, 3, 4, 5] and got[50] == [0, 1, 2, 3, 4] and set(got) == {0, 50, 100, 200}
     assert len(set(got[200])) == 5
     assert nearest(table.filter("false"), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_candidates_do_not_drop_where_leaves_are_halved():
+    draw = np.random.default_rng(1)
+    points = draw.normal(size=(4001, 16))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    for size, levels in ((2000, 0), (2001, 1), (4000, 1), (4001, 2)):
+        trees = [fit_tree(points[:2000], 32, levels, t) for t in range(8)]
+        held = [Counter(place(t, points[:size]).tolist()) for t in trees]
+        leaves = leaves_for(trees, size, 3000)
+        seen = [sum(held[t][code] for t, code in visits(trees, p, leaves)) for p in points[:20]]
+        assert 0.85 * 3000 < np.mean(seen) < 1.3 * 3000, (size, np.mean(seen))
