@@ -5,8 +5,10 @@ fitted on a bounded sample of points: a node parts its points by the plane halfw
 them. Below the sample's leaves, tables larger than the sample go on parting by random planes through
 the leaf's middle, so leaves stay small at any size of the table. Every point is put in its leaf of
 every tree. A query keeps one priority queue over the nodes of all trees, ordered by the squared distances to
-the planes that part it from them, and visits leaves from the front of it until they hold its share of
-candidates. Points and visiting queries meet at the leaves, where exact cosines decide.
+the planes that part it from them, and visits leaves from the front of it. How many is measured on the
+table itself: the nearest points of some of the queries are found by brute force, and the number of leaves
+is raised until enough of them lie in the leaves visited. Points and visiting queries meet at the leaves,
+where exact cosines decide.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +29,16 @@ from .common import batch_limits, batches, step
 @dataclass(frozen=True)
 class Forest:
     """`sample`: points that the trees are fitted on, at most. `leaf`: points of the sample in a leaf at
-    most. `candidates`: points that the leaves visited for a query are expected to hold together."""
+    most. `candidates`: points that the leaves visited for a query are expected to hold together, at least;
+    more are visited until the `checked` queries that are compared with brute force find a share of `recall`
+    of their nearest points."""
 
     trees: int = 16
     leaf: int = 64
     sample: int = 50_000
     candidates: int = 45_000
+    recall: float = 0.95
+    checked: int = 200
     seed: int = 5
 
 
@@ -102,14 +109,14 @@ def place(tree: Tree, points: np.ndarray) -> np.ndarray:
     return code
 
 
-def visits(trees: list[Tree], point: np.ndarray, leaves: int) -> list[tuple[int, int]]:
+def visits(trees: list[Tree], point: np.ndarray, leaves: int) -> Iterator[tuple[int, int]]:
     """The first leaves (tree, leaf) from one queue over all trees, nearest planes first."""
     # (squared distances to the planes crossed, tree, node or leaf, level below the leaf, leaf code)
     queue = [(0.0, t, 0 if len(tree.planes) else -1, 0, 0) for t, tree in enumerate(trees)]
     heapq.heapify(queue)
     sides = [tree.planes @ point - tree.limits if len(tree.planes) else None for tree in trees]
-    found = []
-    while queue and len(found) < leaves:
+    found = 0
+    while queue and found < leaves:
         far, t, at, level, code = heapq.heappop(queue)
         tree = trees[t]
         while at >= 0:
@@ -124,8 +131,8 @@ def visits(trees: list[Tree], point: np.ndarray, leaves: int) -> list[tuple[int,
             level += 1
             heapq.heappush(queue, (far + margin * margin, t, at, level, code * 2 + int(margin <= 0)))
             code = code * 2 + int(margin > 0)
-        found.append((t, code))
-    return found
+        found += 1
+        yield t, code
 
 
 def _usable(vector: Column) -> Column:
@@ -166,6 +173,89 @@ def leaves_for(trees: list[Tree], size: int, candidates: int) -> int:
     return max(len(trees), -(-candidates * all_leaves(trees) // (size * len(trees))))
 
 
+def nearest_by_force(points: DataFrame, asked: pa.Table, k: int) -> list[np.ndarray]:
+    """Unit vectors of the `k` nearest other points of each asked point, by comparing it with all."""
+    names = np.asarray(asked.column("point"))
+    own = _units(_matrix(asked.column("vector").combine_chunks()))
+    shared = points.sparkSession.sparkContext.broadcast((names, own))
+
+    def best(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, own = shared.value
+        score = np.full((len(names), k), -np.inf)
+        held = np.zeros((len(names), k, own.shape[1]))
+        for point, vector in batches(frames, ["point", "vector"]):
+            units = _units(_matrix(vector))
+            new = own @ units.T
+            new[names[:, None] == np.asarray(point)[None, :]] = -np.inf
+            both = np.concatenate([score, new], 1)
+            top = np.argsort(-both, axis=1, kind="stable")[:, :k]
+            score = np.take_along_axis(both, top, 1)
+            before = np.take_along_axis(held, np.minimum(top, k - 1)[:, :, None], 1)
+            held = np.where((top < k)[:, :, None], before, units[np.maximum(top - k, 0)])
+        q, n = np.nonzero(score > -np.inf)
+        vectors = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(q) + 1) * own.shape[1], pa.int32()), pa.array(held[q, n].ravel())
+        )
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(score[q, n]), vectors], ["number", "score", "vector"])
+
+    found = points.select("point", "vector").mapInArrow(best, "number bigint, score double, vector array<double>")
+    order = Window.partitionBy("number").orderBy(F.desc("score"))
+    rows = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).toArrow()
+    numbers = np.asarray(rows.column("number"))
+    matrix = _matrix(rows.column("vector").combine_chunks()) if len(rows) else np.empty((0, own.shape[1]))
+    return [matrix[numbers == i] for i in range(len(names))]
+
+
+def enough_leaves(points: DataFrame, shared, trees: list[Tree], k: int, how: Forest, least: int) -> int:
+    """Leaves to visit, `least` or more, that hold a share of `recall` of the nearest points.
+
+    Measured on the asking points whose hashes are lowest. The number visited is doubled until it is enough,
+    and is then cut to what the share took; with all leaves every point is found.
+    """
+    every = all_leaves(trees)
+    if least >= every:
+        return every
+    asked = points.filter("asks").orderBy("digest").limit(how.checked).select("point", "vector").toArrow()
+    if not asked.num_rows:
+        return least
+    own = _units(_matrix(asked.column("vector").combine_chunks()))
+    wanted = []
+    for near in nearest_by_force(points, asked, k):
+        at: dict[tuple[int, int], list[int]] = {}
+        for t, tree in enumerate(trees):
+            for n, code in enumerate(place(tree, near).tolist()):
+                at.setdefault((t, code), []).append(n)
+        wanted.append((len(near), at))
+    total = sum(n for n, _ in wanted)
+    context = points.sparkSession.sparkContext
+    sought = context.broadcast((own, wanted))
+    queries = points.sparkSession.range(0, len(own), 1, len(own))
+    leaves = least
+    while True:
+        limit = min(leaves, every)
+
+        def seek(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            trees, (own, wanted) = shared.value, sought.value
+            for (numbers,) in batches(frames, ["id"]):
+                took = []
+                for i in numbers.to_pylist():
+                    left, at = set(range(wanted[i][0])), wanted[i][1]
+                    for k, leaf in enumerate(visits(trees, own[i], limit), 1):
+                        new = left.intersection(at.get(leaf, ()))
+                        took += [k] * len(new)
+                        left -= new
+                        if not left:
+                            break
+                yield pa.RecordBatch.from_arrays([pa.array(took, pa.int64())], ["took"])
+
+        took = sorted(r["took"] for r in queries.mapInArrow(seek, "took bigint").collect())
+        need = int(np.ceil(how.recall * total))
+        if len(took) >= need or limit == every:
+            sought.destroy()
+            return max(least, took[need - 1]) if 0 < need <= len(took) else limit
+        leaves *= 2
+
+
 def nearest(
     vectors: DataFrame, queries: Column, id_column: str = "vec_id", vector_column: str = "embedding",
     k: int = 5, how: Forest = Forest(),
@@ -208,7 +298,20 @@ def nearest(
     if not trees:
         return empty
     shared = spark.sparkContext.broadcast(trees)
-    leaves = leaves_for(trees, size, how.candidates)
+    leaves = enough_leaves(points, shared, trees, k, how, leaves_for(trees, size, how.candidates))
+
+    def rows_at(tree: np.ndarray, leaf: np.ndarray, row: np.ndarray, query: bool, point: pa.Array, vector: pa.Array) -> pa.RecordBatch:
+        pick = pa.array(row)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(tree.astype(np.int32)),
+                pa.array(leaf),
+                pa.array(np.full(len(row), query)),
+                point.take(pick),
+                vector.take(pick),
+            ],
+            ["tree", "leaf", "query", "point", "vector"],
+        )
 
     def meet(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
@@ -217,22 +320,11 @@ def nearest(
             tree = np.repeat(np.arange(len(trees)), len(point))
             leaf = np.concatenate([place(t, units) for t in trees])
             row = np.tile(np.arange(len(point)), len(trees))
-            asking = [(i, *v) for i in np.flatnonzero(np.asarray(asks.to_pylist(), bool)) for v in visits(trees, units[i], leaves)]
-            more = np.array(asking, np.int64).reshape(-1, 3)
-            kind = np.r_[np.zeros(len(row), bool), np.ones(len(more), bool)]
-            row, tree, leaf = np.r_[row, more[:, 0]], np.r_[tree, more[:, 1]], np.r_[leaf, more[:, 2]]
             for a in range(0, len(row), 20_000):
-                pick = pa.array(row[a : a + 20_000])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(tree[a : a + 20_000].astype(np.int32)),
-                        pa.array(leaf[a : a + 20_000]),
-                        pa.array(kind[a : a + 20_000]),
-                        point.take(pick),
-                        vector.take(pick),
-                    ],
-                    ["tree", "leaf", "query", "point", "vector"],
-                )
+                yield rows_at(tree[a : a + 20_000], leaf[a : a + 20_000], row[a : a + 20_000], False, point, vector)
+            asking = ((*v, i) for i in np.flatnonzero(np.asarray(asks.to_pylist(), bool)) for v in visits(trees, units[i], leaves))
+            while some := list(islice(asking, 20_000)):
+                yield rows_at(*np.array(some, np.int64).T, True, point, vector)
 
     def score(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, held in _by_leaf(frames):

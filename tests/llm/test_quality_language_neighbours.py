@@ -159,3 +159,20 @@ def test_candidates_do_not_drop_where_leaves_are_halved():
         leaves = leaves_for(trees, size, 3000)
         seen = [sum(held[t][code] for t, code in visits(trees, p, leaves)) for p in points[:20]]
         assert 0.85 * 3000 < np.mean(seen) < 1.3 * 3000, (size, np.mean(seen))
+
+
+def test_leaves_are_raised_until_the_share_is_found(spark):
+    draw = np.random.default_rng(2)
+    m = draw.normal(size=(3000, 32))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    # the first candidates are far too few, as a fixed number is for a large table
+    got = {}
+    for r in nearest(table, F.col("vec_id") % 50 == 0, how=Forest(trees=4, leaf=16, candidates=100)).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    hits = 0
+    for i in range(0, 3000, 50):
+        cosines = m @ m[i]
+        cosines[i] = -2
+        hits += len(got[i] & set(np.argsort(-cosines)[:5].tolist()))
+    assert hits >= 0.95 * 5 * 60
