@@ -1,7 +1,7 @@
 """Near-duplicate documents by min-max hashing.
 
-A document is its set of word pairs. Each hash function permutes all pairs; a signature keeps both the
-smallest and the largest pair under it, so `2 * functions` values cost one evaluation each pair and
+A document is its set of shingles, runs of `width` words: pairs, unless the caller asks for longer ones. Each
+hash function permutes all shingles; a signature keeps both the smallest and the largest under it, so `2 * functions` values cost one evaluation each pair and
 function. Each value agrees between two documents with the chance of their Jaccard similarity. The
 values are cut in bands; documents that agree on a whole band meet in a bucket. With the defaults (32
 bands of 5) a pair at similarity 0.8 meets in none with a chance of 3e-6, higher ones with less.
@@ -9,7 +9,7 @@ bands of 5) a pair at similarity 0.8 meets in none with a chance of 3e-6, higher
 Every link is confirmed on the full sets. Buckets are not paired out. Equal sets are one class first;
 then the members of a bucket are compared with its first member, and what is linked so becomes one
 component. Only buckets in which two components are left are looked at again: their texts meet in
-blocks of bounded size, where an index of the blocks' word pairs gives the exact similarity of members
+blocks of bounded size, where an index of the blocks' shingles gives the exact similarity of members
 of different components.
 """
 
@@ -41,20 +41,22 @@ class Bands:
         return draw[0] * np.uint64(2) + np.uint64(1), draw[1]
 
 
-def word_pairs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the word pairs of all texts, A-Z as a-z, and the place where each text's begin.
+def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of `width` words of all texts, A-Z as a-z, and the place where each text's begin.
 
-    A text of one word has that word as its only entry.
+    A text of fewer words has all of them as its only entry.
     """
     words = Words(texts, lower=True)
     sizes = np.diff(words.first)
-    pairs = words.grams(2, _PAIR)
-    keep = np.ones(len(pairs), bool)
-    keep[words.first[1:][sizes > 0] - 1] = False  # no pair starts at a last word
-    single = words.first[:-1][sizes == 1]
-    pairs[single] = mixed(words.hash[single] ^ _ALONE)
-    keep[single] = True
-    return pairs[keep], np.r_[0, np.cumsum(np.where(sizes > 1, sizes - 1, sizes))]
+    runs = words.grams(width, _PAIR)
+    # no run starts at the last words of a text
+    keep = words.first[1:][words.doc] - np.arange(len(runs)) >= width
+    for n in range(1, width):
+        short = words.first[:-1][sizes == n]
+        if len(short):
+            runs[short] = mixed(words.hash[short] ^ _ALONE) if n == 1 else words.grams(n, _PAIR)[short]
+            keep[short] = True
+    return runs[keep], np.r_[0, np.cumsum(np.where(sizes < width, np.minimum(sizes, 1), sizes - width + 1))]
 
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -63,13 +65,13 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
         return total[first[1:]] - total[first[:-1]]
 
 
-def signatures(docs: DataFrame, how: Bands) -> DataFrame:
+def signatures(docs: DataFrame, how: Bands, width: int) -> DataFrame:
     """Rows of doc_id, n_shingles, set_1 and set_2 (hash of the set), and the hashes of its bands."""
 
     def sign(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, shifts = how.functions()
         for ids, texts in batches(frames, ["doc_id", "text"]):
-            pairs, first = word_pairs(texts)
+            pairs, first = shingles(texts, width)
             distinct = [np.unique(pairs[a:b]) for a, b in zip(first, first[1:])]
             sizes = np.array([len(d) for d in distinct], np.int64)
             pairs, first = np.concatenate([*distinct, np.empty(0, np.uint64)]), np.r_[0, np.cumsum(sizes)]
@@ -107,12 +109,12 @@ def signatures(docs: DataFrame, how: Bands) -> DataFrame:
     )
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) whose full sets have a similarity of `percent` or more."""
 
     def compare(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, left, right in batches(frames, ["a", "b", "left", "right"]):
-            (x, at), (y, to) = word_pairs(left), word_pairs(right)
+            (x, at), (y, to) = shingles(left, width), shingles(right, width)
             good = np.zeros(len(a), bool)
             last, other = None, None
             for i in range(len(a)):
@@ -169,10 +171,12 @@ def block_links(sets: list[np.ndarray], groups: list[int], sides: list[int], per
     return found
 
 
-def links_within(members: DataFrame, labels: DataFrame, docs: DataFrame, percent: int, block: int) -> DataFrame:
+def links_within(
+    members: DataFrame, labels: DataFrame, docs: DataFrame, percent: int, block: int, width: int
+) -> DataFrame:
     """Links (a, b) between members of a bucket that are still in different components.
 
-    A bucket is cut in pieces of about `block` word pairs; each two pieces meet in one row, and each
+    A bucket is cut in pieces of about `block` shingles; each two pieces meet in one row, and each
     piece with itself.
     """
     placed = (
@@ -217,7 +221,7 @@ def links_within(members: DataFrame, labels: DataFrame, docs: DataFrame, percent
             for row in rows:
                 block = row.values
                 ids, groups, sides = (block.field(k).to_pylist() for k in ("doc_id", "component", "side"))
-                pairs, first = word_pairs(block.field("text"))
+                pairs, first = shingles(block.field("text"), width)
                 sets = [np.unique(pairs[x:y]) for x, y in zip(first, first[1:])]
                 for x, y in block_links(sets, groups, sides, percent):
                     a.append(ids[x])
@@ -227,18 +231,20 @@ def links_within(members: DataFrame, labels: DataFrame, docs: DataFrame, percent
     return blocks.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, how: Bands = Bands(), block: int = 1_000_000) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, percent: int = 80, how: Bands = Bands(), block: int = 1_000_000, width: int = 2
+) -> DataFrame:
     """Component of each document: doc_id, n_shingles, component_id (smallest linked doc_id), kept.
 
-    One row per row of `docs`. doc_id must be an integer; other columns than doc_id and text are
-    ignored, whatever their names. Texts are taken whole. A NULL text, or one without words, has an
+    One row per row of `docs`. Sets hold shingles of `width` words. doc_id must be an integer; other columns
+    than doc_id and text are ignored, whatever their names. Texts are taken whole. A NULL text, or one without words, has an
     empty set and is linked with nothing. Rows of one doc_id are one document given again (one text)
     and get the same result. A row without doc_id is not compared: component_id is NULL, kept is true.
     An empty table gives no rows.
     """
     batch_limits(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = step(signatures(texts, how), "minmax-signatures")
+    signed = step(signatures(texts, how, width), "minmax-signatures")
     known = signed.filter("doc_id IS NOT NULL")
     same = (
         known.filter("n_shingles > 0").groupBy("set_1", "set_2").agg(F.min("doc_id").alias("class_id"))
@@ -263,9 +269,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, how: Bands = Bands(), bl
     members = step(banded.join(centers, "band"), "minmax-members")
     real = texts.filter("doc_id IS NOT NULL")
     stars = members.filter("doc_id > center").select(F.col("doc_id").alias("a"), F.col("center").alias("b"))
-    links = step(confirmed(stars.distinct(), real, percent), "minmax-links")
+    links = step(confirmed(stars.distinct(), real, percent, width), "minmax-links")
     labels = components(links)
-    more = step(links_within(members, labels, real, percent, block), "minmax-links")
+    more = step(links_within(members, labels, real, percent, block, width), "minmax-links")
     labels = components(links.union(more))
     return (
         classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")

@@ -12,6 +12,8 @@ from clickledger.llm.mixing import emit, mix_sources
 from clickledger.llm.packing import pack
 from clickledger.llm.personal_data import find_personal_data
 
+# fixed value: words in a shingle; the pairs of op7_near_dedup are looser
+SHINGLE = 5
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -29,10 +31,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id.
 
-    Rows without an id were not compared and stay.
+    Near duplicates share 0.8 of their five-word shingles. Rows without an id were not compared and stay.
     """
     own = docs.select(*DOCUMENT)
-    kept = near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    kept = near_duplicates(docs, width=SHINGLE).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     one = own.join(kept, "doc_id").dropDuplicates(["doc_id"]).select(*DOCUMENT)
     return one.unionByName(own.filter("doc_id IS NULL"))
 

@@ -131,3 +131,20 @@ def test_awkward_repeats(awkward, nothing):
     assert got[1] == (4, 0) and got[2] == got[3] == got[4] == (0, 0)
     assert got[5] == (100_000, 0) and got[6] == (100_001, 100_000)
     assert drop_repeats(nothing).count() == 0
+
+
+def test_pipeline_keeps_texts_that_are_near_by_pairs_only(spark):
+    """10 of 400 words replaced: similarity 0.91 by word pairs, under 0.8 by five words; with 3 replaced it is 0.93."""
+    from corpus_pipeline import near_dedup
+
+    base = [f"w{k}" for k in range(400)]
+    lightly, revised = list(base), list(base)
+    for k in range(3):
+        lightly[100 * k + 50] = f"x{k}"
+    for k in range(10):
+        revised[40 * k + 20] = f"y{k}"
+    texts = {1: base, 2: lightly, 3: revised, 4: ["three", "short", "words"], 5: ["Three", "short", "words"], 6: ["short", "words"]}
+    rows = [(i, " ".join(w), "en", "a", 0) for i, w in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in near_dedup(spark, docs, "").collect()} == {1, 3, 4, 6}
+    assert {r["doc_id"] for r in near_duplicates(docs).filter("kept").collect()} == {1, 4, 6}
