@@ -121,3 +121,30 @@ def test_long_runs_take_linear_time():
     for text in ["a" * 300_000 + "@", "9" * 300_000, "1." * 100_000, "+1" + " " * 200_000, "0-" * 100_000]:
         personal_data.scan_text(text)
         secret_scan.scan_text(text, secret_scan.Levels())
+
+
+def test_random_strings_of_small_alphabets_and_long_documents():
+    draw, levels, alphabets = random.Random(7), secret_scan.Levels(), dict(secret_scan.ALPHABETS)
+
+    def secret(name, n):
+        while True:
+            text = "".join(draw.choices(alphabets[name], k=n))
+            if any(c.isdigit() for c in text) and any(c.isalpha() for c in text):
+                return text
+
+    for name, n, most in (("base32", 16, 0.5), ("base32", 32, 0.15), ("base36", 20, 0.2), ("base62", 20, 0.12), ("base64url", 40, 0.06)):
+        missed = sum(not secret_scan.random_spans(secret(name, n), levels) for _ in range(300))
+        assert missed <= most * 300, (name, n, missed)
+    plain = [f"{a}_{b}_version_{k}" for k, (a, b) in enumerate([("window", "summary"), ("customer", "address"), ("release", "notes")] * 60)]
+    secrets = [secret("base62", 40) for _ in range(5)]
+    text = " ".join([*plain, *secrets])
+    assert {text[s:e] for s, e in secret_scan.random_spans(text, levels)} == set(secrets)
+
+
+def test_strings_the_battery_rejects_are_not_in_the_family():
+    draw, levels = random.Random(8), secret_scan.Levels()
+    found = "".join(draw.choices(string.ascii_letters + string.digits, k=24))
+    rejected = [f"{'a' * 30}{k}" for k in range(400)]
+    assert not any(secret_scan.looks_random(x, levels.random) for x in rejected)
+    text = " ".join([*rejected, found])
+    assert [text[s:e] for s, e in secret_scan.random_spans(text, levels)] == [found]
