@@ -65,6 +65,23 @@ SPACED = re.compile(
     re.I,
 )
 _SPACED_PART = re.compile(r"\x20{1,2}at\x20{1,2}|\x20{0,2}@\x20{0,2}|\x20{1,2}dot\x20{1,2}", re.I)
+# with plain dots, a sign that stands apart, or an "at" after a word that announces an address
+APART = re.compile(
+    r"(?<=[A-Za-z0-9_%+-])\x20{1,2}@\x20{1,2}[A-Za-z0-9-]+(?:(?:\.|\x20\.\x20)[A-Za-z0-9-]+){0,4}?(?:\.|\x20\.\x20)[a-z]{2,24}(?![\w-])"
+)
+_APART_PART = re.compile(r"\x20{1,2}@\x20{1,2}|\x20\.\x20")
+ANNOUNCED = re.compile(
+    r"(?<!\w)(?:e-?mail|contact|write\x20to|reach)(?::\x20?|\x20{1,2})(?!(?:me|us|him|her|them|you|it|is|to)\x20)"
+    r"[A-Za-z0-9._%+-]{1,64}(?P<at>\x20{1,2}at\x20{1,2})[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}(?![\w-])"
+    r"|(?<!\w)mail\x20{1,2}(?!(?:me|us|him|her|them|you|it|is|to)\x20)"
+    r"[A-Za-z0-9._%+-]{1,64}(?P<at2>\x20{1,2}at\x20{1,2})[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}(?![\w-])",
+    re.I,
+)
+# spelled and plain digits in one run
+MIXED = re.compile(
+    rf"(?:(?<!\w)plus[\s,.-]{{1,3}})?(?<!\w)(?:{_DIGIT}|[0-9]{{1,19}})(?!\w)(?:[\s,.-]{{1,3}}(?:{_DIGIT}|[0-9]{{1,19}})(?!\w)){{3,}}", re.I
+)
+_MIXED_PART = re.compile(rf"plus|{_DIGIT}|[0-9]+", re.I)
 DOTTED_NUMBERS = re.compile(r"(?<![0-9])[0-9]{1,3}(?:\x20{1,2}dot\x20{1,2}[0-9]{1,3}){3}(?![0-9])", re.I)
 # a local part may have spelled dots too: first dot last at ...
 _DOT_BEFORE = re.compile(r"(?<=[A-Za-z0-9_%+-])\x20{1,2}dot\x20{1,2}(?=[A-Za-z0-9._%+-]{1,64}@)", re.I)
@@ -184,6 +201,30 @@ def _spelled(text: str) -> list[Piece]:
     return pieces
 
 
+def _mixed(text: str) -> list[Piece]:
+    """Runs that mix three or more spelled digits with plain ones and have as many as a phone or card."""
+    pieces = []
+    for m in MIXED.finditer(text):
+        parts = [w.group().lower() for w in _MIXED_PART.finditer(m.group())]
+        new = "".join("+" if w == "plus" else DIGIT_WORDS.get(w, w) for w in parts)
+        spelled = sum(w in DIGIT_WORDS for w in parts)
+        if spelled >= 3 and any(w.isdigit() for w in parts) and 10 <= len(_only_digits(new)) <= 19:
+            pieces.append((m.start(), m.end(), new))
+    return pieces
+
+
+def _apart(text: str) -> list[Piece]:
+    return [
+        (m.start() + p.start(), m.start() + p.end(), p.group().strip())
+        for m in APART.finditer(text)
+        for p in _APART_PART.finditer(m.group())
+    ]
+
+
+def _announced(text: str) -> list[Piece]:
+    return [(*m.span("at" if m["at"] else "at2"), "@") for m in ANNOUNCED.finditer(text)]
+
+
 def _dotted(text: str) -> list[Piece]:
     dot = re.compile(r"\x20{1,2}dot\x20{1,2}", re.I)
     return [
@@ -204,12 +245,20 @@ def normalise(text: str) -> Mapped:
     if _BRACKETS.search(mapped.text):
         mapped.rewrite(_bracketed(mapped.text))
     low = mapped.text.lower()
+    if " @ " in low:
+        mapped.rewrite(_apart(mapped.text))
+    if " at " in low and any(w in low for w in ("mail", "contact", "write to", "reach")):
+        mapped.rewrite(_announced(mapped.text))
     if " dot " in low:
         mapped.rewrite(_spaced(mapped.text))
-        mapped.rewrite([(m.start(), m.end(), ".") for m in _DOT_BEFORE.finditer(mapped.text)])
+        # each round restores the last spelled dot of a local part
+        while pieces := [(m.start(), m.end(), ".") for m in _DOT_BEFORE.finditer(mapped.text)]:
+            mapped.rewrite(pieces)
         mapped.rewrite(_dotted(mapped.text))
-    if _may_spell(low):
-        mapped.rewrite(_spelled(mapped.text))
+    if any(w in low for w in _TELLING):
+        mapped.rewrite(_mixed(mapped.text))
+        if _may_spell(low):
+            mapped.rewrite(_spelled(mapped.text))
     return mapped
 
 

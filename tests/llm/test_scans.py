@@ -148,3 +148,22 @@ def test_strings_the_battery_rejects_are_not_in_the_family():
     assert not any(secret_scan.looks_random(x, levels.random) for x in rejected)
     text = " ".join([*rejected, found])
     assert [text[s:e] for s, e in secret_scan.random_spans(text, levels)] == [found]
+
+
+@pytest.mark.parametrize(
+    "text,kind,source",
+    [
+        ("or jane @ example . com please", "email", "jane @ example . com"),
+        ("please mail jane at example.com today", "email", "jane at example.com"),
+        ("call +1 four one five 555 0199 now", "phone", "+1 four one five 555 0199"),
+        ("so a dot b dot c at host dot com there", "email", "a dot b dot c at host dot com"),
+    ],
+)
+def test_partly_plain_disguises(text, kind, source):
+    _, hidden = personal_data.scan_text(text)
+    assert [(personal_data.KINDS[k], text[s:e]) for s, k, e in hidden] == [(kind, source)]
+
+
+def test_plain_writing_near_the_new_forms():
+    for text in ["look at example.com today", "mail me at example.com", "we met @ home. then left", "one two three 1999 or so"]:
+        assert personal_data.scan_text(text) == ([], [])
