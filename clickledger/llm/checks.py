@@ -181,3 +181,93 @@ SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS co
        doc_id = min(other) AS kept
 FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
+
+
+def _centroid_rounds() -> str:
+    """Ten rounds of moving the centroids, as steps c0 to c10 with number and vector."""
+    steps = []
+    for k in range(10):
+        steps.append(f"""a{k} AS MATERIALIZED (
+    SELECT row, arg_min(c.number, (c.far, c.number)) AS number FROM (
+        SELECT row, number, list_sum(list_transform(list_zip(v, centre),
+               lambda x: (x[1] - x[2])::HUGEINT * (x[1] - x[2]))) AS far
+        FROM whole, c{k}) c GROUP BY row
+), m{k} AS (
+    SELECT number, list(mean ORDER BY place) AS centre FROM (
+        SELECT number, place, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS mean
+        FROM (SELECT number, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM whole JOIN a{k} USING (row))
+        GROUP BY number, place) GROUP BY number
+), c{k + 1} AS MATERIALIZED (
+    SELECT number, coalesce(m.centre, c.centre) AS centre FROM c{k} c LEFT JOIN m{k} m USING (number)
+)""")
+    return ", ".join(steps)
+
+
+CHECKS["op11_centroids"] = f"""
+WITH whole AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS number, v AS centre
+    FROM whole ORDER BY number LIMIT 8
+), {_centroid_rounds()}, last AS (
+    SELECT row, min(far) AS distance, arg_min(number, (far, number)) AS number FROM (
+        SELECT row, number, list_sum(list_transform(list_zip(v, centre),
+               lambda x: (x[1] - x[2])::HUGEINT * (x[1] - x[2]))) AS far
+        FROM whole, c10) GROUP BY row
+)
+SELECT vec_id, number::INT AS cluster, distance::BIGINT AS distance,
+       sum(distance) OVER (PARTITION BY number)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(centre, ',')) AS centroid_sha256
+FROM last JOIN whole USING (row) JOIN c10 USING (number)
+"""
+
+# h of a document: CRC-32 of the id's digits, bit by bit
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+CHECKS["op12_runs"] = rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id, {WORDS} AS words, {_CRC32} AS h FROM documents
+), cut AS (
+    SELECT *, (h // 10) % nullif(len(words), 0) AS a, 3 + (h // 10) % 8 AS k FROM texts
+), changed AS MATERIALIZED (
+    SELECT row, doc_id, CASE WHEN h % 10 = 0 AND len(words) > 0
+        THEN [words[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(words) - a) // k) END + 1] FOR i IN range(len(words))]
+        ELSE words END AS words
+    FROM cut
+), placed AS (
+    SELECT row, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM changed
+), grams AS (
+    SELECT row, pos, md5(concat_ws(' ', word, {", ".join(f"lead(word, {k}) OVER text" for k in range(1, 16))})) AS gram,
+           lead(word, 15) OVER text AS last
+    FROM placed WINDOW text AS (PARTITION BY row ORDER BY pos)
+), twins AS (
+    -- a run repeats at least sixteen words one period on
+    SELECT x.row, x.pos, y.pos - x.pos AS q
+    FROM (SELECT * FROM grams WHERE last IS NOT NULL) x JOIN (SELECT * FROM grams WHERE last IS NOT NULL) y
+      ON x.row = y.row AND x.gram = y.gram AND x.pos < y.pos
+), islands AS (
+    SELECT row, q, min(pos) AS s, max(pos) + 16 + q AS e
+    FROM (SELECT *, pos - row_number() OVER (PARTITION BY row, q ORDER BY pos) AS island FROM twins)
+    GROUP BY row, q, island HAVING max(pos) + 16 + q - min(pos) >= greatest(24, 3 * q)
+), runs AS MATERIALIZED (
+    SELECT * FROM islands x WHERE NOT EXISTS (
+        SELECT 1 FROM islands y WHERE y.row = x.row AND y.q < x.q AND x.q % y.q = 0 AND y.s <= x.s AND y.e >= x.e)
+), gone AS (
+    SELECT row, list_distinct(flatten(list(range(s + q, e)))) AS places FROM runs GROUP BY row
+), strongest AS (
+    SELECT row, q, s, e FROM runs QUALIFY row_number() OVER (PARTITION BY row ORDER BY (e - s)::DOUBLE / q DESC, s, q) = 1
+), listed AS (
+    SELECT row, count(*) AS n, string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS lines
+    FROM runs GROUP BY row
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_runs, s::BIGINT AS start, (e - s)::BIGINT AS length, q::BIGINT AS period,
+       (1000 * (e - s) // q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(CASE WHEN places IS NULL THEN array_to_string(words, ' ') ELSE
+           array_to_string([w FOR w, i IN words IF NOT list_contains(places, i - 1)], ' ') END) AS collapsed_sha256
+FROM changed LEFT JOIN listed USING (row) LEFT JOIN strongest USING (row) LEFT JOIN gone USING (row)
+"""

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import checks
+from .centroids import cluster
+from .common import word_array
 from .language import held_out, identify, train
 from .minhash import near_duplicates
 from .mixing import mix_sources
@@ -16,9 +18,11 @@ from .packing import pack
 from .personal_data import KINDS as PERSONAL_KINDS
 from .personal_data import find_personal_data
 from .quality import judge
+from .runs import find_runs
 from .secret_scan import KINDS as SECRET_KINDS
 from .secret_scan import find_secrets
 from .substrings import drop_repeats
+from .vantage import near_fingerprints
 from .warc import archive_folder, read_archive, write_archive
 
 
@@ -95,6 +99,50 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = F.sha2(F.concat(F.lit("3:"), F.col("vec_id").cast("string")), 256)
+    return cluster(_table(spark, sf_dir, "embeddings"), k=8, rounds=10, order=order)
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which every tenth by its digest goes on in a period from some word on."""
+    words, digest = word_array(F.col("text")), F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", words.alias("words"), digest.alias("h"))
+    rows = rows.withColumns({"g": F.floor(F.col("h") / 10), "n": F.size("words").cast("long")})
+    rows = rows.withColumn("a", F.col("g") % F.greatest(F.col("n"), F.lit(1)))
+    rows = rows.withColumn("p", F.floor((F.col("n") - F.col("a")) / (F.col("g") % 8 + 3)) + 1)
+    after = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("n") - F.col("a") - 1, F.lit(0)))
+    again = F.concat(
+        F.slice("words", 1, F.col("a").cast("int")),
+        F.transform(after, lambda i: F.get("words", (F.col("a") + i % F.col("p")).cast("int"))),
+    )
+    chosen = (F.col("h") % 10 == 0) & (F.col("n") > 0)
+    return rows.select("doc_id", F.when(chosen, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(_with_periods(_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("strongest.length * 1000 div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_fingerprints(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -108,6 +156,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_nearest,
         op9_packing,
         op10_language,
+        op11_centroids,
+        op12_runs,
+        op13_simhash,
     )
 }
 CHECKS: dict[str, str] = {name: sql for name, sql in checks.CHECKS.items() if name in QUERIES}
