@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_query(spark: SparkSession, sql: str) -> DataFrame:
@@ -50,25 +52,66 @@ def rebuild(df: DataFrame, table: str, partition_by: list[str] | None = None) ->
 def swap_in(df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
     """Replace a table by rows that may be computed from it.
 
-    The new content is complete on disk before the old one goes. A run that fails between the two
-    renames leaves the table under its old content's name; the next run, or `recover`, puts it back.
+    The name is a view over a numbered version. A new version is complete on disk before one statement points the view to it, so
+    a reader finds the old content or the new one at any time, and a run that dies leaves the old one. The version before stays for readers
+    that have begun; older ones, and versions that no run finished, go. A plain table of that name becomes the first version.
     """
     spark = df.sparkSession
-    staged, old = f"{table}__new", f"{table}__old"
     recover(spark, table)
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    rebuild(df, staged, partition_by)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    current, known = _current_version(spark, table), _versions(spark, table)
+    new = _new_version(table, known)
+    rebuild(df, new, partition_by)
+    if current is None and spark.catalog.tableExists(table):
+        # dies a run between these two statements, `recover` points the name to the new version
+        current = _new_version(table, [])
+        spark.sql(f"ALTER TABLE {table} RENAME TO {current}")
+    _point(spark, table, new)
+    for old in known:
+        if old != current:
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def _new_version(table: str, known: list[str]) -> str:
+    """A numbered name; files that a failed run left under an unfinished one are in nobody's way."""
+    number = max([_number(v) for v in known], default=0) + 1
+    return f"{table}__v{number}_{uuid.uuid4().hex[:8]}"
+
+
+def _number(version: str) -> int:
+    return int(version.rsplit("__v", 1)[1].split("_")[0])
+
+
+def _versions(spark: SparkSession, table: str) -> list[str]:
+    """All finished versions, the oldest first; the catalog knows a version only when it is complete."""
+    *base, name = table.split(".")
+    found = spark.sql(f"SHOW TABLES{f' IN {base[0]}' if base else ''} LIKE '{name}__v*'").collect()
+    return sorted((".".join([*base, r["tableName"]]) for r in found), key=_number)
+
+
+def _current_version(spark: SparkSession, table: str) -> str | None:
+    """The version that readers see; None for a plain table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    text = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'View Text'").first()
+    return text["data_type"].rsplit(" ", 1)[-1] if text else None
+
+
+def _point(spark: SparkSession, table: str, version: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
 
 
 def recover(spark: SparkSession, table: str) -> None:
-    """Undo a swap that was cut off between its renames."""
-    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(f"{table}__old"):
-        spark.sql(f"ALTER TABLE {table}__old RENAME TO {table}")
+    """Point a name that has lost its view to its newest finished version."""
+    known = _versions(spark, table)
+    if known and not spark.catalog.tableExists(table):
+        _point(spark, table, known[-1])
+
+
+def drop_versions(spark: SparkSession, table: str) -> None:
+    """Remove a published table with all its versions."""
+    spark.sql(f"DROP VIEW IF EXISTS {table}")
+    for version in _versions(spark, table):
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
 
 
 def write_slice(df: DataFrame, table: str, column: str, value: str) -> None:
@@ -114,3 +157,42 @@ def publish(jobs: dict[str, Callable[[], DataFrame]], spark: SparkSession) -> Da
                 ("error", category, f"{category} Error", 1, 0, 1, table, repr(error), str(error))
             )
     return spark.createDataFrame(audit, AUDIT_SCHEMA)
+
+
+def ensure_table(spark: SparkSession, table: str, schema: T.StructType | str, partition_by: list[str]) -> None:
+    """An empty partitioned table, unless it is there."""
+    if not spark.catalog.tableExists(table):
+        empty = spark.createDataFrame([], schema)
+        empty.write.format("parquet").partitionBy(*partition_by).saveAsTable(table)
+
+
+def overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions that the rows fall in; others stay. The rows must not come from the table.
+
+    A run that is repeated after a failure overwrites what it left.
+    """
+    spark = df.sparkSession
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    # few files for a small partition, several tasks for a large one
+    rows = df.select(*spark.table(table).columns).hint("rebalance", *parts)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
+
+
+def _partition_spec(values: dict[str, object]) -> str:
+    return ", ".join(
+        f"{name} = " + ("NULL" if value is None else "'" + str(value).replace("'", "\\'") + "'")
+        for name, value in values.items()
+    )
+
+
+def drop_partitions(spark: SparkSession, table: str, partitions: list[dict[str, object]]) -> None:
+    """Clear partitions, such as days of which nothing is left."""
+    if partitions:
+        specs = ", ".join(f"PARTITION ({_partition_spec(p)})" for p in partitions)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")

@@ -2,62 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import berlin_local
 from ..operators.chunked import carried_last
 from ..operators.skew import DEFAULT_RULE, HotKeyRule, hot_keys, per_heat, with_slices
-from ..plans.sessions import sessionize
+from ..plans.incremental import Store, land, map_sessions
+from ..session import written
 from ..sources.warehouse import snapshot, swap_in
 
 TIMEOUT_SECONDS = 1800
 LATENESS = "1 day"
 
 
-def _with_day(events: DataFrame) -> DataFrame:
-    return events.withColumn("berlin_day", F.to_date(berlin_local(F.col("collector_tstamp"))))
-
-
 def sessionize_stream(
-    events: DataFrame, store: str, target: str, checkpoint: str, rule: HotKeyRule = DEFAULT_RULE
+    events: DataFrame, store: Store, checkpoint: str, rule: HotKeyRule = DEFAULT_RULE
 ) -> StreamingQuery:
-    """Keep an event store and its session map up to date, one bounded run over all that is new.
+    """Keep stored events and their session map up to date, one bounded run over all that is new.
 
-    Sessions never cross a Berlin day, so each batch recomputes just the days it touches, late events
-    included, and overwrites those day partitions. Events are stored under their batch number; a
-    batch that is repeated after a failure overwrites itself. `derived_ranking` counts within the
-    recomputed days, as in any incremental run.
+    Each batch is a delivery of `plans.incremental`: it recomputes just the days it touches, late events included, and
+    reads the stored events of those days only. A batch that is repeated after a failure overwrites itself.
+    `derived_ranking` counts within the recomputed days, as in any incremental run.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        arrived = _with_day(batch).withColumn("batch", F.lit(number))
-        arrived.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "berlin_day", "batch"
-        ).parquet(store)
-        stored = spark.read.schema(arrived.schema).parquet(store)
-        written = stored.filter(F.col("batch") == number)
-        # one row per calendar day
-        if written.isEmpty():
-            return
-        # the newest copy of an event decides its day, so days that hold an earlier copy change, too
-        ids = written.select("event_id", "event_fingerprint").distinct()
-        copies = stored.join(ids, ["event_id", "event_fingerprint"], "left_semi")
-        days = [r.berlin_day for r in copies.select("berlin_day").distinct().collect()]
-        again = stored.filter(F.col("berlin_day").isin(days)).drop("batch")
-        # a copy of theirs may lie on a third day; it decides, but that day's rows stay as they are
-        touched = _newest_copies(again, stored.drop("batch"))
-        sessions = _with_day(sessionize(touched, rule=rule))
-        sessions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "berlin_day"
-        ).parquet(target)
-        filled = {r.berlin_day for r in touched.select("berlin_day").distinct().collect()}
-        for day in set(days) - filled:  # nothing of it is left to overwrite it with
-            _remove(spark, f"{target}/berlin_day={day}")
+        land(batch, store, number)
+        map_sessions(batch.sparkSession, store, rule)
 
     return (
         events.writeStream.foreachBatch(load)
@@ -67,24 +38,6 @@ def sessionize_stream(
     )
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def _newest_copies(rows: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows without those that have a newer copy on a later day."""
-    key = ["event_id", "event_fingerprint"]
-    last = (
-        stored.groupBy(*key)
-        .agg(F.max("berlin_day").alias("last_day"), F.min("berlin_day").alias("first_day"))
-        .filter("first_day < last_day")
-        .select(*key, "last_day")
-    )
-    later = rows.join(last, key, "left")
-    return later.filter(F.col("last_day").isNull() | (F.col("berlin_day") == F.col("last_day"))).drop("last_day")
-
-
 def without_copies(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """A stream without repeated events. It keeps the first copy; batch runs keep the newest."""
     return events.withWatermark("collector_tstamp", lateness).dropDuplicatesWithinWatermark(
@@ -129,24 +82,27 @@ def timeout_sessions(events: DataFrame, rule: HotKeyRule = DEFAULT_RULE) -> Data
     )
 
 
-def publish_stream(
-    rows: DataFrame, table: str, store: str, checkpoint: str, query: Callable[[DataFrame], DataFrame]
-) -> StreamingQuery:
-    """Replace a published table by the stamped result of a query over all rows that arrived so far.
+def publish_stream(figures: DataFrame, table: str, keys: list[str], checkpoint: str) -> StreamingQuery:
+    """Keep a published table up to date with the stamped figures of a stream.
 
-    Batches are kept in `store` under their number, so a batch that is repeated overwrites itself.
+    `figures` is a stream grouped by `keys` with its aggregates: their running state is kept by the engine, so a run reads only what is
+    new and gets the groups that changed, with their new figures. These replace the table's rows of the same keys. A batch that is
+    repeated brings the same figures and so the same table.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        arrived = batch.withColumn("batch", F.lit(number))
-        arrived.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "batch"
-        ).parquet(store)
-        stored = batch.sparkSession.read.schema(arrived.schema).parquet(store)
-        swap_in(snapshot(query(stored.drop("batch"))), table)
+        spark = batch.sparkSession
+        changed = written(snapshot(batch), "changed-figures")
+        rows = changed
+        if spark.catalog.tableExists(table):
+            new = changed.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
+            rows = spark.table(table).join(new, same, "left_anti").unionByName(changed)
+        swap_in(rows, table)
 
     return (
-        rows.writeStream.foreachBatch(load)
+        figures.writeStream.outputMode("update")
+        .foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

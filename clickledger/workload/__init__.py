@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..oracle import statement
 from ..session import prepare
-from . import dimensions, loading, marketing, sales, streams  # noqa: F401
+from . import dimensions, incremental, loading, marketing, sales, streams  # noqa: F401
 from .registry import REGISTRY
 
 __all__ = ["REGISTRY", "checks", "queries"]

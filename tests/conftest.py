@@ -7,7 +7,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from clickledger.operators.skew import HotKeyRule  # noqa: E402
-from clickledger.session import local_session  # noqa: E402
+from clickledger.session import clear_steps, local_session  # noqa: E402
 
 # every key with more than two rows is hot
 TINY = HotKeyRule(max_rows=2)
@@ -15,7 +15,9 @@ TINY = HotKeyRule(max_rows=2)
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("tests", "4", shuffle_partitions=4)
+    session = local_session("tests", "4", shuffle_partitions=4)
+    yield session
+    clear_steps(session)
 
 
 def ts(text: str) -> datetime:

@@ -1,12 +1,15 @@
+import random
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from clickledger.plans.incremental import Store
 from clickledger.plans.sessions import sessionize
 from clickledger.session import shared_dir
 from clickledger.sources import warehouse
 from clickledger.streaming.events import publish_stream, sessionize_stream, timeout_windows, without_copies
+from clickledger.streaming.sessions import write_exact_sessions
 
 from .conftest import EVENT_SCHEMA, make_events, rows, same, values
 
@@ -20,10 +23,21 @@ def test_swap_reads_its_own_table(spark):
     warehouse.rebuild(spark.range(3), table)
     warehouse.swap_in(spark.table(table).filter("id > 0").withColumn("x", F.lit("new")), table)
     assert values(spark.table(table), "id", "id") == [1, 2]
-    assert not spark.catalog.tableExists(f"{table}__old") and not spark.catalog.tableExists(f"{table}__new")
     assert warehouse.read_query(spark, f"SELECT count(*) AS n FROM {table}").first().n == 2
 
 
+def test_readers_of_the_version_before_go_on(spark):
+    table = name()
+    for n in range(1, 6):
+        begun = spark.table(table) if n > 1 else None
+        warehouse.swap_in(spark.range(n), table)
+        assert begun is None or begun.count() == n - 1
+        assert spark.table(table).count() == n
+    assert len(warehouse._versions(spark, table)) == 2
+    warehouse.drop_versions(spark, table)
+    assert not spark.catalog.tableExists(table) and warehouse._versions(spark, table) == []
+
+
 def test_slice_overwrites_only_its_partitions(spark):
     table = name()
     facts = spark.createDataFrame([(1, "lead"), (2, "mkt_spend")], "v int, fact_subtype string")
@@ -35,14 +49,55 @@ def test_slice_overwrites_only_its_partitions(spark):
     assert values(spark.table(table), "v", "v") == [1]
 
 
-def test_a_swap_cut_off_between_its_renames_is_undone(spark):
+@pytest.mark.parametrize("plain", [True, False])
+@pytest.mark.parametrize("cut", range(8))
+def test_a_swap_cut_off_at_any_step_shows_old_or_new(spark, monkeypatch, plain, cut):
+    """Each statement of a swap fails once, before it takes effect; a reader always finds all of one content."""
     table = name()
-    warehouse.rebuild(spark.range(2), f"{table}__old")
-    warehouse.recover(spark, table)
-    assert spark.table(table).count() == 2
-    warehouse.rebuild(spark.range(5), f"{table}__old")
-    warehouse.swap_in(spark.table(table).limit(1), table)
-    assert spark.table(table).count() == 1 and not spark.catalog.tableExists(f"{table}__old")
+    if plain:
+        warehouse.rebuild(spark.range(2), table)
+    else:
+        for n in (9, 2):
+            warehouse.swap_in(spark.range(n), table)
+    steps = []
+
+    def dying(step):
+        def run(*args, **kwargs):
+            steps.append(step.__name__)
+            if len(steps) == cut + 1:
+                raise RuntimeError("lost")
+            return step(*args, **kwargs)
+
+        return run
+
+    class Session:
+        catalog = spark.catalog
+        conf = spark.conf
+
+        def sql(self, text, **kwargs):
+            return dying(spark.sql)(text, **kwargs)
+
+        table = staticmethod(spark.table)
+
+    class Rows:
+        sparkSession = Session()
+        write = spark.range(5).write
+
+    monkeypatch.setattr(warehouse, "rebuild", dying(warehouse.rebuild))
+    try:
+        warehouse.swap_in(Rows(), table)
+        died = False
+    except RuntimeError:
+        died = True
+    monkeypatch.undo()
+    assert died == (cut < len(steps))
+    if not spark.catalog.tableExists(table):
+        # only a plain table's first swap leaves its name for a moment
+        assert plain
+        warehouse.recover(spark, table)
+    assert spark.table(table).count() in (2, 5)
+    warehouse.swap_in(spark.range(7), table)
+    assert spark.table(table).count() == 7 and len(warehouse._versions(spark, table)) <= 3
 
 
 def test_publish_audits_each_table(spark):
@@ -78,18 +133,19 @@ LATE = [
 
 
 def test_late_events_in_a_stream_end_like_a_batch(spark, tmp_path):
-    paths = [str(tmp_path / p) for p in ("in", "store", "out", "progress")]
+    store, paths = Store(name(), slots=2), [str(tmp_path / p) for p in ("in", "progress")]
     for delivery in (FIRST, LATE):
         deliver(paths[0], make_events(spark, *delivery))
-        sessionize_stream(stream_of(spark, paths[0]), *paths[1:]).awaitTermination()
+        sessionize_stream(stream_of(spark, paths[0]), store, paths[1]).awaitTermination()
     keep = ["session_id", "event_id", "collector_tstamp", "session_event_index", "is_external"]
-    streamed = spark.read.parquet(paths[2]).select(*keep)
+    spark.catalog.refreshTable(store.table("session_map"))
+    streamed = spark.table(store.table("session_map")).select(*keep)
     assert same(streamed, sessionize(make_events(spark, *FIRST, *LATE)).select(*keep))
     assert dict(zip(values(streamed, "event_id", "event_id"), values(streamed, "session_id", "event_id")))["b"] == "20240110_d"
 
 
 def test_a_copy_on_a_later_day_moves_its_event(spark, tmp_path):
-    paths = [str(tmp_path / p) for p in ("in", "store", "out", "progress")]
+    store, paths = Store(name(), slots=2), [str(tmp_path / p) for p in ("in", "progress")]
     deliveries = [
         [{"at": "2024-01-10 10:00:00", "event_id": "a"}, {"at": "2024-01-10 11:00:00", "event_id": "b"}],
         [{"at": "2024-01-11 10:00:00", "event_id": "a"}, {"at": "2024-01-12 10:00:00", "event_id": "c"}],
@@ -97,9 +153,10 @@ def test_a_copy_on_a_later_day_moves_its_event(spark, tmp_path):
     ]
     for delivery in deliveries:
         deliver(paths[0], make_events(spark, *delivery))
-        sessionize_stream(stream_of(spark, paths[0]), *paths[1:]).awaitTermination()
+        sessionize_stream(stream_of(spark, paths[0]), store, paths[1]).awaitTermination()
     keep = ["session_id", "event_id", "collector_tstamp", "session_event_index", "is_external"]
-    streamed = spark.read.parquet(paths[2]).select(*keep)
+    spark.catalog.refreshTable(store.table("session_map"))
+    streamed = spark.table(store.table("session_map")).select(*keep)
     assert same(streamed, sessionize(make_events(spark, *sum(deliveries, []))).select(*keep))
 
 
@@ -126,15 +183,44 @@ def test_stream_timeout_windows(spark, tmp_path):
 
 def test_published_stream(spark, tmp_path):
     table = name()
-    for delivery, total in ((FIRST, 4), (LATE, 6)):
+    for delivery, total in ((FIRST, {"page_view": 4}), (LATE, {"page_view": 6}), ([{"at": "2024-01-12 09:00:00", "event": None}], {"page_view": 6, None: 1})):
         deliver(str(tmp_path / "in"), make_events(spark, *delivery))
-        publish_stream(
-            stream_of(spark, str(tmp_path / "in")), table, str(tmp_path / "s"), str(tmp_path / "p"),
-            lambda b: b.groupBy("event").count(),
-        ).awaitTermination()
-        spark.catalog.refreshTable(table)  # another session swapped it
+        figures = stream_of(spark, str(tmp_path / "in")).groupBy("event").count()
+        query = publish_stream(figures, table, ["event"], str(tmp_path / "p"))
+        query.awaitTermination()
         got = rows(spark.table(table))
-        assert got[0]["count"] == total and got[0]["loaded_at"] is not None
+        assert {r["event"]: r["count"] for r in got} == total and all(r["loaded_at"] for r in got)
+        # each run reads its own rows only
+        assert sum(p["numInputRows"] for p in query.recentProgress) == len(delivery)
+
+
+def day_events(seed):
+    """Events of few users with tracker sessions, entrances, equal times and copies."""
+    draw, given = random.Random(seed), []
+    for i in range(60):
+        at = f"2024-01-{draw.choice([10, 11, 12])} {draw.choice([8, 9, 22, 23]):02}:{draw.randint(0, 59):02}:00"
+        given.append({
+            "at": at, "event_id": f"e{i}", "domain_userid": draw.choice("uv"), "domain_sessionid": draw.choice(["s", "t", None]),
+            "refr_medium": draw.choice(["internal", "internal", "search", None]), "page_referrer": draw.choice(["r1", "r2", None]),
+        })
+        if i % 9 == 0:
+            given.append(given[-1] | {"at": "2024-01-12 23:59:00"})
+    return given
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_exact_sessions_of_a_stream_end_like_a_batch(spark, tmp_path, seed):
+    given = day_events(seed)
+    closing = [[{"at": f"2024-0{m}-01 00:00:00", "event_id": "end", "domain_userid": "nobody"}] for m in (3, 4)]
+    # out of order within a delivery, and a delivery that comes late but before its day is closed
+    given.sort(key=lambda e: e["at"])
+    for delivery in (given[0::2], given[1::2], *closing):
+        deliver(str(tmp_path / "in"), make_events(spark, *delivery))
+        stream = stream_of(spark, str(tmp_path / "in"))
+        write_exact_sessions(stream, str(tmp_path / "out"), str(tmp_path / "p"), lateness="3 days").awaitTermination()
+    keep = ["session_id", "event_id", "event_fingerprint", "collector_tstamp", "domain_userid", "session_event_index", "is_external"]
+    streamed = spark.read.parquet(str(tmp_path / "out")).filter("domain_userid <> 'nobody'").select(*keep)
+    assert same(streamed, sessionize(make_events(spark, *given)).select(*keep))
 
 
 def test_steps_need_a_shared_folder_off_local_masters(spark, monkeypatch):
