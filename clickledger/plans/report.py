@@ -7,33 +7,29 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import from_did
 from ..operators.skew import lookup
 
 VALUES = ["sessions", "leads", "valid_leads", "cost"]
 
 
-def dates(date_id_column: str, as_of: date) -> dict:
-    """Calendar columns of a day number."""
-    day = from_did(F.col(date_id_column))
-    month = F.trunc(day, "month")
-    ago = (F.year(F.lit(as_of)) - F.year(day)) * 12 + F.month(F.lit(as_of)) - F.month(day)
-    return {"date": day, "month": month, "months_ago": ago}
-
-
 def cumulative_marketing(
-    facts: DataFrame, channels: DataFrame, as_of: date
+    facts: DataFrame, channels: DataFrame, dates: DataFrame, as_of: date
 ) -> DataFrame:
     """Daily values by medium and channel, running sums and previous day within each month.
 
-    Facts shrink to one row per day and channel before any window, so a window never holds more than
+    `dates`: day number, date and month of each calendar day. The months asked for pick the fact's partitions when the job
+    runs. Facts shrink to one row per day and channel before any window, so a window never holds more than
     a month of days.
     """
     today = F.lit(as_of)
-    recent = facts.filter(F.col("event_at") > F.date_sub(today, 65)).withColumns(
-        dates("date_id", as_of)
+    asked = dates.filter(F.col("month") >= F.add_months(today, -2)).select(
+        "date_id",
+        "date",
+        "month",
+        ((F.year(today) - F.year("date")) * 12 + F.month(today) - F.month("date")).alias("months_ago"),
     )
-    recent = recent.filter(F.col("month") >= F.add_months(today, -2))
+    dated = facts.filter(F.col("event_at") > F.date_sub(today, 65)).withColumnRenamed("fact_month", "month")
+    recent = dated.join(asked, ["month", "date_id"])
     names = channels.select("utm_id", "mkt_medium", "mkt_channel")
     daily = (
         lookup(recent, names, ["utm_id"])

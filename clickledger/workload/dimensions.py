@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import dimensions, leads, report, returns
-from .marketing import attributed, channel_dimension, onsite, session_facts
+from ..plans import channels, dimensions, facts, leads, report, returns, spend
+from ..rules.measures import MEASURES
+from .marketing import ad_spend, attributed, channel_dimension, onsite, session_facts, sheet_facts
 from .registry import Tables, query
 
 AS_OF = datetime(2024, 2, 1)
@@ -80,20 +82,44 @@ def _(spark, sf_dir):
     return dimensions.geo_dim(feeds)
 
 
+def feed(t: Tables, table: str) -> None:
+    """All jobs that write the marketing fact."""
+    spend_rows = t.step("ad_spend", ad_spend)
+    facts.load_costs(facts.visit_facts(t.step("session_facts", session_facts)), table, facts.VISITS)
+    facts.load_returns(returns.return_facts(attributed(t), dimension(t)), table)
+    by_spend = channels.channel_classify(spend_rows)
+    facts.load_costs(spend.spend_facts(spend_rows, by_spend), table, facts.SPEND, tail_only=True)
+    facts.load_costs(sheet_facts(t), table, facts.SHEET)
+
+
+@query("marketing_facts", "marketing_fact")
+def _(spark, sf_dir):
+    """The fact after an earlier load with other values, of which no row may be left."""
+    t = Tables(spark, sf_dir)
+    table = f"facts_{uuid.uuid4().hex}"
+    facts.create(spark, table)
+    early = returns.return_facts(attributed(t), dimension(t)).filter("lead_id % 3 > 0")
+    # leads, cost and sheet as they were known before: other values, other days, other keys
+    facts.load_returns(early.withColumns({"cost": F.col("cost") + 1, "date_id": F.col("date_id") + F.col("lead_id") % 5}), table)
+    spend_rows = t.step("ad_spend", ad_spend)
+    before = spend.spend_facts(spend_rows, channels.channel_classify(spend_rows))
+    facts.load_costs(before.withColumn("cost", F.col("cost") * 2), table, facts.SPEND, tail_only=True)
+    later = before.withColumn("date_id", F.col("date_id") + 400)
+    facts.load_costs(later, table, facts.SPEND, tail_only=True)
+    facts.load_costs(sheet_facts(t).withColumn("date_id", F.col("date_id") - 1), table, facts.SHEET)
+    feed(t, table)
+    values = ["cost", *MEASURES, *[f"lc_{m}" for m in MEASURES]]
+    return spark.table(table).drop("fact_month").withColumns({c: F.round(c, 6) for c in values})
+
+
 @query("cumulative_marketing", "cumulative")
 def _(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    visits = t.step("session_facts", session_facts).select(
-        "utm_id",
-        F.col("start_did").alias("date_id"),
-        F.col("start_collector_tstamp").alias("event_at"),
-        F.lit(1).alias("sessions"),
-    )
-    gains = returns.return_facts(attributed(t), dimension(t)).select(
-        "utm_id", "date_id", "event_at", "lead_id", "lc_valid_leads", "cost"
-    )
-    facts = visits.unionByName(gains, allowMissingColumns=True)
-    result = report.cumulative_marketing(facts, dimension(t), date(2024, 2, 1))
+    table = f"facts_{uuid.uuid4().hex}"
+    facts.create(spark, table)
+    feed(t, table)
+    days = t.step("dates", lambda t: facts.date_dimension(spark))
+    result = report.cumulative_marketing(spark.table(table), dimension(t), days, date(2024, 2, 1))
     rounded = ["valid_leads", "cost"] + [
         f"{kind}_{v}" for kind in ("cumulative", "lag") for v in report.VALUES
     ]

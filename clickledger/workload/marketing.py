@@ -274,9 +274,8 @@ def _(spark, sf_dir):
     return _rounded(facts, ["cost"], 4)
 
 
-@query("manual_spend", "sheet_in_facts")
-def _(spark, sf_dir):
-    rows = spend.sheet_spend_prep(Tables(spark, sf_dir).sheet_spend)
+def sheet_facts(t: Tables) -> DataFrame:
+    rows = spend.sheet_spend_prep(t.sheet_spend)
     keys = spend.sheet_channels(rows).select(
         "utm_id",
         F.lit(None).cast("long").alias("vertical_type_id"),
@@ -285,6 +284,11 @@ def _(spark, sf_dir):
     return spend.manual_spend(rows, keys)
 
 
+@query("manual_spend", "sheet_in_facts")
+def _(spark, sf_dir):
+    return sheet_facts(Tables(spark, sf_dir))
+
+
 @query("partial_insert", "channels_with_sheet")
 def _(spark, sf_dir):
     t = Tables(spark, sf_dir)
