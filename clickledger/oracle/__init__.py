@@ -6,10 +6,10 @@ import re
 from functools import cache
 
 from ..sources.shapes import DRIVER_TABLES, SHAPES
-from . import channels, leads, loads, sales, sessions
+from . import channels, leads, loads, models, sales, sessions
 
 CHECKS: dict[str, str] = {}
-for _module in (sessions, channels, leads, loads, sales):
+for _module in (sessions, channels, leads, loads, sales, models):
     CHECKS.update(_module.CHECKS)
 
 

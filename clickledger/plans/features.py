@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.cuts import supervised_cuts
 from ..operators.quantiles import group_quantiles
 from ..operators.skew import lookup
 
@@ -52,7 +53,10 @@ def training_set(
     booking: str,
     edition: str = "notebook"
 ) -> DataFrame:
-    """Predictors and label before ('pre') or after ('post') a partner was booked."""
+    """Predictors and label before ('pre') or after ('post') a partner was booked.
+
+    The notebook's discount is that of the sales rows, the script knows that of the invoices only.
+    """
     rated = cancel_rates(features)
     label = F.col("bin_cancelled")
     if booking == "post":
@@ -61,6 +65,8 @@ def training_set(
         rows = rated.filter("NOT bin_prepared OR bin_completed")
     else:
         rows, label = rated, ~F.col("bin_prepared")
+    if edition == "notebook":
+        rows = rows.withColumn("epd", F.col("sales_epd"))
     return rows.select(
         "opportunity_id", label.cast("int").alias("label"), *SETS[edition, booking]
     )
@@ -71,21 +77,25 @@ def numeric_columns(df: DataFrame, columns: list[str]) -> list[str]:
     return [c for c in columns if kinds[c] not in ("boolean", "string")]
 
 
+def _beside(df: DataFrame, figures: DataFrame) -> DataFrame:
+    """One row of figures as a struct `_f` beside all rows: a single scalar subquery, whatever reads from it."""
+    return df.withColumn("_f", figures.select(F.struct("*")).scalar())
+
+
 def winsorize(df: DataFrame, columns: list[str]) -> DataFrame:
     """Clamp values to the Tukey fences q1 - 1.5 IQR and q3 + 1.5 IQR of their column."""
     spec = {}
     for c in columns:
         spec |= {f"{c}_q1": (F.col(c), 0.25), f"{c}_q3": (F.col(c), 0.75)}
-    quartiles = group_quantiles(df, [], spec)
-    bounds = quartiles.select(F.struct(*spec).alias("b")).scalar()
 
     def clamped(c: str):
-        q1, q3 = bounds[f"{c}_q1"], bounds[f"{c}_q3"]
+        q1, q3 = F.col(f"_f.{c}_q1"), F.col(f"_f.{c}_q3")
         reach = (q3 - q1) * 1.5
         value = F.col(c).cast("double")
         return F.when(value.isNotNull(), F.least(F.greatest(value, q1 - reach), q3 + reach))
 
-    return df.withColumns({c: clamped(c) for c in columns})
+    beside = _beside(df, group_quantiles(df, [], spec))
+    return beside.withColumns({c: clamped(c) for c in columns}).drop("_f")
 
 
 def zscore(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -93,56 +103,63 @@ def zscore(df: DataFrame, columns: list[str]) -> DataFrame:
     whole = df.dropna()
     stats = [F.avg(c).alias(f"{c}_mean") for c in columns]
     stats += [F.stddev_samp(c).alias(f"{c}_sd") for c in columns]
-    of = whole.agg(*stats).select(F.struct("*").alias("s")).scalar()
-    return whole.withColumns(
-        {c: F.try_divide(F.col(c) - of[f"{c}_mean"], of[f"{c}_sd"]) for c in columns}
+    return (
+        _beside(whole, whole.agg(*stats))
+        .withColumns(
+            {c: F.try_divide(F.col(c) - F.col(f"_f.{c}_mean"), F.col(f"_f.{c}_sd")) for c in columns}
+        )
+        .drop("_f")
     )
 
 
 def model_table(
-    features: DataFrame, booking: str, edition: str = "notebook"
+    features: DataFrame, booking: str, edition: str = "notebook", scaled: bool = True
 ) -> DataFrame:
-    """A training set ready for a learner: clamped, complete, scaled, booleans as numbers."""
+    """A training set ready for a learner: clamped, complete, scaled, booleans as numbers.
+
+    Trees may take it without the scaling, which moves no row across a cut.
+    """
     columns = SETS[edition, booking]
     rows = training_set(features, booking, edition)
     rows = winsorize(rows, CLAMPED[booking])
-    # a constant column has no scale; centred it is 0
     numbers = numeric_columns(rows, columns)
-    rows = zscore(rows, numbers).fillna(0.0, subset=numbers)
+    if scaled:
+        # a constant column has no scale; centred it is 0
+        rows = zscore(rows, numbers).fillna(0.0, subset=numbers)
+    else:
+        rows = rows.dropna()
     return rows.withColumns(
         {c: F.col(c).cast("double") for c in columns if dict(rows.dtypes)[c] == "boolean"}
     )
 
 
-def information_gain(
-    df: DataFrame, label: str, columns: list[str], bins: int = 10
-) -> DataFrame:
-    """Information gain (nats) and Cramer's V of each feature about the label.
+def information_gain(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
+    """Information gain (nats) and Cramer's V of each feature about a label of 0 and 1.
 
-    Numbers are cut at their quantiles into `bins` pieces, booleans stay as they are. One pass counts
-    (feature, piece, label); all that follows works on those few counts.
+    Numbers are cut where that tells most about the label, as long as it pays (`operators.cuts`); a number without such a
+    cut has one piece, gains 0 and has no chi-squared. One pass counts (feature, value, label); all that follows works on these
+    counts. Rows with a NULL are left out.
     """
     whole = df.dropna(subset=[label, *columns])
     numbers = numeric_columns(whole, columns)
-    spec = {
-        f"{c}_{i}": (F.col(c), i / bins) for c in numbers for i in range(1, bins)
-    }
-    edges = group_quantiles(whole, [], spec).select(F.struct(*spec).alias("e")).scalar()
-
-    def piece(c: str):
-        if c not in numbers:
-            return F.col(c).cast("int")
-        above = [(F.col(c) > edges[f"{c}_{i}"]).cast("int") for i in range(1, bins)]
-        total = above[0]
-        for one in above[1:]:
-            total = total + one
-        return total
-
+    cuts, counts = supervised_cuts(whole, label, columns)
+    # booleans are two pieces anyway
+    edges = {c: cuts[c] if c in numbers else [0.0] for c in columns}
+    piece = F.lit(0)
+    for c, found in edges.items():
+        if found:
+            at = F.array(*[F.lit(x) for x in found])
+            above = F.size(F.filter(at, lambda x: x < F.col("value")))
+            piece = F.when(F.col("feature") == c, above).otherwise(piece)
+    sides = F.array(
+        F.struct(F.lit(0).alias("label"), (F.col("n") - F.col("positive")).alias("n")),
+        F.struct(F.lit(1).alias("label"), F.col("positive").alias("n")),
+    )
     counts = (
-        whole.select(F.col(label).alias("label"), *[piece(c).alias(c) for c in columns])
-        .unpivot(["label"], columns, "feature", "piece")
+        counts.select("feature", piece.alias("piece"), F.inline(sides))
         .groupBy("feature", "piece", "label")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
+        .filter("n > 0")
     )
     feature, in_piece, in_label = (
         Window.partitionBy("feature"),

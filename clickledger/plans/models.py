@@ -1,30 +1,34 @@
-"""Cancellation models on pyspark.ml."""
+"""Cancellation models: logistic regression and pruned trees, judged on held-out folds."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from dataclasses import dataclass
+from itertools import product
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.chunked import running_count
+from ..operators.quantiles import running_totals
+from ..operators.trees import Growth, grow
+from ..session import written
 
 # Folds, and the ranges the tree is tuned over.
 LOGISTIC_FOLDS = 5
 TREE_FOLDS = 3
-MIN_BUCKETS = [5, 40]
-COMPLEXITIES = [0.0001, 0.1]
+MIN_SPLITS = (40, 120)
+MIN_BUCKETS = (5, 40)
+COMPLEXITIES = (0.0001, 0.1)
 
 
 def with_folds(df: DataFrame, folds: int, label: str = "label", row_id: str = "opportunity_id") -> DataFrame:
-    """Stratified folds: rows of each label are dealt out in the order of a hash of their id.
+    """Stratified folds: rows of each label are dealt out in the order of a digest of their id.
 
     There are only two labels, so positions come from a chunked count rather than one window each.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(row_id)).withColumn(
-        "_chunk", F.shiftright("_hash", 54)
+    hashed = df.withColumn("_hash", F.md5(F.col(row_id).cast("string").cast("binary"))).withColumn(
+        "_chunk", F.substring("_hash", 1, 4)
     )
     placed = running_count(hashed, [label], ["_hash", row_id], ["_chunk"], "_position")
     return placed.withColumn("fold", ((F.col("_position") - 1) % folds).cast("int")).drop(
@@ -32,68 +36,203 @@ def with_folds(df: DataFrame, folds: int, label: str = "label", row_id: str = "o
     )
 
 
-def assembled(df: DataFrame, columns: list[str]) -> DataFrame:
-    rows = VectorAssembler(inputCols=columns, outputCol="features").transform(df)
-    return rows.withColumn("label", F.col("label").cast("double"))
+def evaluate(counts: DataFrame, group: list[str]) -> DataFrame:
+    """Rows, positives, AUC and accuracy of scores: `group`, score, n and positive of each score.
 
+    The area is the share of pairs of a positive and another row that the scores put in order, ties half; ranks are running
+    totals over the distinct scores. NULL where a group has one label only.
+    """
+    counts = counts.groupBy(*group, "score").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
+    placed = running_totals(
+        counts.withColumn("other", F.col("n") - F.col("positive")), group, "score", ["other"]
+    )
+    below = F.col("other_upto") - F.col("other") / 2
+    right = F.when(F.col("score") > 0.5, F.col("positive")).otherwise(F.col("n") - F.col("positive"))
+    rows, positives = F.sum("n"), F.sum("positive")
+    return placed.groupBy(*group).agg(
+        rows.alias("rows"),
+        positives.alias("positives"),
+        F.try_divide(F.sum(F.col("positive") * below), (positives * (rows - positives)).cast("double")).alias("auc"),
+        (F.sum(right) / rows).alias("acc"),
+    )
 
-def _scores(predictions: DataFrame) -> tuple[float, float]:
-    auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(predictions)
-    hits = predictions.agg(
-        F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc")
-    ).first()
-    return auc, hits.acc
 
+# --- logistic regression ------------------------------------------------------------------------
 
-def cross_validate(learner, rows: DataFrame, folds: int) -> DataFrame:
-    """AUC and accuracy of each fold. The loop only starts the fits; each runs on the cluster."""
-    scores = []
-    for fold in range(folds):
-        model = learner.fit(rows.filter(F.col("fold") != fold))
-        scores.append((fold, *_scores(model.transform(rows.filter(F.col("fold") == fold)))))
-    return rows.sparkSession.createDataFrame(scores, "fold int, auc double, acc double")
+
+@dataclass(frozen=True)
+class Fit:
+    """Coefficients, the intercept first, and their standard errors."""
+
+    coefficients: list[float]
+    errors: list[float]
+    rounds: int
+
+
+def fit_logistic(
+    rows: DataFrame, columns: list[str], held_out: list[int | None], most_rounds: int = 25, tolerance: float = 1e-10
+) -> list[Fit]:
+    """Maximum likelihood by reweighted least squares, for several sets of rows at once: all but a fold each, or all (None).
+
+    `rows`: label, the columns and, if folds are held out, fold; none NULL. A round sums the normal equations on the executors, one
+    row for each model; the small system is solved here. A model stops when no coefficient moves by more than the tolerance.
+    Columns that tell nothing new share their coefficient evenly, constant ones get 0.
+    """
+    terms = len(columns) + 1
+    # one row for each model that learns from it
+    learns = F.array(*[F.lit(-1 if f is None else f) for f in held_out])
+    fold = F.col("fold") if "fold" in rows.columns else F.lit(-2)
+    x = [F.lit(1.0), *[F.col(c).cast("double") for c in columns]]
+    spread = rows.select(F.col("label").cast("double").alias("y"), F.array(*x).alias("x"), fold.alias("fold"))
+    spread = spread.select("y", "x", "fold", F.posexplode(learns).alias("model", "held")).filter("fold <> held")
+    b = [np.zeros(terms) for _ in held_out]
+    done: dict[int, Fit] = {}
+    for number in range(1, most_rounds + 1):
+        known = F.array(*[F.array(*[F.lit(float(v)) for v in beta]) for beta in b])
+        score = F.aggregate(
+            F.zip_with("x", F.get(known, F.col("model")), lambda u, v: u * v), F.lit(0.0), lambda s, v: s + v
+        )
+        weighed = (
+            spread.withColumn("p", 1 / (1 + F.exp(-score)))
+            .withColumn("w", F.col("p") * (1 - F.col("p")))
+            .select("model", "w", (F.col("y") - F.col("p")).alias("r"), *[F.get("x", F.lit(i)).alias(f"x{i}") for i in range(terms)])
+        )
+        pairs = [(i, j) for i in range(terms) for j in range(i, terms)]
+        sums = weighed.groupBy("model").agg(
+            *[F.sum(F.col("w") * F.col(f"x{i}") * F.col(f"x{j}")).alias(f"h{i}_{j}") for i, j in pairs],
+            *[F.sum(F.col("r") * F.col(f"x{i}")).alias(f"g{i}") for i in range(terms)],
+        )
+        for row in sums.collect():
+            k = row["model"]
+            if k in done:
+                continue
+            gram = np.zeros((terms, terms))
+            for i, j in pairs:
+                gram[i, j] = gram[j, i] = row[f"h{i}_{j}"]
+            inverse = np.linalg.pinv(gram, rcond=1e-12, hermitian=True)
+            move = inverse @ np.array([row[f"g{i}"] for i in range(terms)])
+            b[k] = b[k] + move
+            if np.abs(move).max() <= tolerance * (1 + np.abs(b[k]).max()) or number == most_rounds:
+                errors = np.sqrt(np.maximum(np.diag(inverse), 0.0))
+                done[k] = Fit(b[k].tolist(), errors.tolist(), number)
+        if len(done) == len(held_out):
+            break
+    none = Fit([0.0] * terms, [0.0] * terms, 0)
+    return [done.get(k, none) for k in range(len(held_out))]
 
 
 def logistic_cv(table: DataFrame, columns: list[str], folds: int = LOGISTIC_FOLDS) -> DataFrame:
-    rows = with_folds(assembled(table, columns), folds)
-    return cross_validate(LogisticRegression(), rows, folds)
+    """Rows, positives, AUC and accuracy of each fold, scored by the model of the others."""
+    rows = written(with_folds(table.select("opportunity_id", "label", *columns), folds), "folds")
+    fits = fit_logistic(rows, columns, list(range(folds)))
+    known = F.array(*[F.array(*[F.lit(v) for v in fit.coefficients]) for fit in fits])
+    x = F.array(F.lit(1.0), *[F.col(c).cast("double") for c in columns])
+    score = F.aggregate(F.zip_with(x, F.get(known, F.col("fold")), lambda u, v: u * v), F.lit(0.0), lambda s, v: s + v)
+    scored = rows.select("fold", "label", (1 / (1 + F.exp(-score))).alias("score"))
+    counts = scored.groupBy("fold", "score").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("positive")
+    )
+    return evaluate(counts, ["fold"])
 
 
 def logistic_model(table: DataFrame, columns: list[str]) -> DataFrame:
-    """Coefficients of the model fitted to all rows."""
-    model = LogisticRegression().fit(assembled(table, columns))
-    terms = [("(intercept)", float(model.intercept))]
-    terms += [(c, float(w)) for c, w in zip(columns, model.coefficients)]
-    return table.sparkSession.createDataFrame(terms, "term string, coefficient double")
+    """Coefficients, standard errors and z values of the model of all rows."""
+    (fit,) = fit_logistic(written(table.select("label", *columns), "model-rows"), columns, [None])
+    terms = [
+        (name, b, e, b / e if e > 1e-9 else None)
+        for name, b, e in zip(["(intercept)", *columns], fit.coefficients, fit.errors)
+    ]
+    return table.sparkSession.createDataFrame(terms, "term string, coefficient double, std_error double, z double")
 
 
-def tuned_tree(
-    table: DataFrame, columns: list[str], folds: int = TREE_FOLDS, parallelism: int = 4
-) -> tuple[DataFrame, DataFrame]:
-    """Cross-validated scores of the best tree and the importance of each feature.
+# --- trees --------------------------------------------------------------------------------------
 
-    Spark's minimum leaf size and minimum gain stand in for the bucket size and the complexity
-    parameter of recursive partitioning; trees agree in quality, not in every split.
-    """
-    rows = with_folds(assembled(table, columns), folds)
-    tree = DecisionTreeClassifier(seed=1)
-    grid = (
-        ParamGridBuilder()
-        .addGrid(tree.minInstancesPerNode, MIN_BUCKETS)
-        .addGrid(tree.minInfoGain, COMPLEXITIES)
-        .build()
+
+@dataclass(frozen=True)
+class Setting:
+    min_split: int
+    min_bucket: int
+    complexity: float
+
+
+def _between(low: float, high: float, resolution: int, whole: bool) -> list:
+    steps = [low + (high - low) * i / max(resolution - 1, 1) for i in range(resolution)]
+    return [round(s) for s in steps] if whole else steps
+
+
+def full_grid(resolution: int = 10) -> list[Setting]:
+    """All combinations of evenly spaced values of the three ranges."""
+    return [
+        Setting(*values)
+        for values in product(
+            _between(*MIN_SPLITS, resolution, True),
+            _between(*MIN_BUCKETS, resolution, True),
+            _between(*COMPLEXITIES, resolution, False),
+        )
+    ]
+
+
+def _rows_of(table: DataFrame, columns: list[str]) -> DataFrame:
+    return table.select(
+        "fold", F.col("label").cast("int").alias("label"), F.array(*[F.col(c).cast("double") for c in columns]).alias("x")
     )
-    search = CrossValidator(
-        estimator=tree,
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    ).fit(rows)
-    best = search.bestModel
-    tuned = tree.copy(grid[max(range(len(grid)), key=lambda i: search.avgMetrics[i])])
-    importance = [(c, float(w)) for c, w in zip(columns, best.featureImportances.toArray())]
-    return cross_validate(tuned, rows, folds), table.sparkSession.createDataFrame(
-        importance, "feature string, importance double"
+
+
+def tree_scores(table: DataFrame, columns: list[str], grid: list[Setting], folds: int = TREE_FOLDS) -> DataFrame:
+    """Each setting and fold with its rows, positives, AUC and accuracy, scored by the tree of the other folds.
+
+    Settings that differ in complexity only share their trees: a row's leaf in a pruned tree is an ancestor of its leaf in the grown
+    one, so counts by grown leaf answer for all of them.
+    """
+    spark = table.sparkSession
+    rows = _rows_of(with_folds(table.select("opportunity_id", "label", *columns), folds), columns)
+    shapes = sorted({(s.min_split, s.min_bucket) for s in grid})
+    growths = [Growth(fold, *shape) for shape in shapes for fold in range(folds)]
+    trees, counts = grow(rows, growths)
+    scores = []
+    for number, (tree, growth) in enumerate(zip(trees, growths)):
+        for place, s in enumerate(grid):
+            if (s.min_split, s.min_bucket) == (growth.min_split, growth.min_bucket):
+                for leaf, end in tree.pruned(s.complexity).items():
+                    node = tree.nodes[end]
+                    scores.append((number, leaf, place, growth.held_out, node.positive / node.n))
+    # one row for each leaf and setting
+    known = spark.createDataFrame(scores, "tree int, node bigint, setting int, fold int, score double")
+    return evaluate(counts.join(F.broadcast(known), ["tree", "node"]), ["setting", "fold"])
+
+
+def tree_search(table: DataFrame, columns: list[str], grid: list[Setting], folds: int = TREE_FOLDS) -> DataFrame:
+    """All settings with their mean AUC and accuracy; `best` marks the highest AUC (the first of several)."""
+    spark = table.sparkSession
+    scores = tree_scores(table, columns, grid, folds).groupBy("setting").agg(F.avg("auc").alias("auc"), F.avg("acc").alias("acc"))
+    found = {r["setting"]: r for r in scores.collect()}
+    rounded = {k: -1.0 if r["auc"] is None else round(r["auc"], 9) for k, r in found.items()}
+    best = min(rounded, key=lambda k: (-rounded[k], k), default=None)
+    rows = [
+        (k, s.min_split, s.min_bucket, float(s.complexity), found[k]["auc"], found[k]["acc"], k == best)
+        for k, s in enumerate(grid)
+        if k in found
+    ]
+    return spark.createDataFrame(
+        rows, "setting int, min_split int, min_bucket int, complexity double, auc double, acc double, best boolean"
     )
+
+
+def tree_cv(table: DataFrame, columns: list[str], grid: list[Setting], folds: int = TREE_FOLDS) -> DataFrame:
+    """Rows, positives, AUC and accuracy of each fold under the setting with the highest mean AUC."""
+    scores = written(tree_scores(table, columns, grid, folds), "tree-scores")
+    mean = scores.groupBy("setting").agg(F.round(F.avg("auc"), 9).alias("auc"))
+    best = mean.agg(F.min_by("setting", F.struct(-F.col("auc"), "setting")).alias("setting"))
+    return scores.join(F.broadcast(best), "setting").select("setting", "fold", "rows", "positives", "auc", "acc")
+
+
+def tree_importance(table: DataFrame, columns: list[str], setting: Setting) -> DataFrame:
+    """Splits and summed Gini gain of each feature in the pruned tree of all rows."""
+    rows = _rows_of(table.withColumn("fold", F.lit(-2)), columns)
+    (tree,), _ = grow(rows, [Growth(None, setting.min_split, setting.min_bucket)])
+    kept = tree.splits(setting.complexity)
+    found = [
+        (name, sum(n.feature == k for n in kept), float(sum(n.gain for n in kept if n.feature == k)))
+        for k, name in enumerate(columns)
+    ]
+    return table.sparkSession.createDataFrame(found, "feature string, splits int, importance double")

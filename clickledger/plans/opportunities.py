@@ -33,6 +33,7 @@ def opportunity_rollup(sales: DataFrame, offers: DataFrame, opportunities: DataF
             F.countDistinct(F.when(F.col("_upsell"), F.col("offer_id"))).alias("n_upsells"),
             F.sum("final_margin").alias("margin"),
             F.sum("nmv").alias("nmv"),
+            F.sum("epd_net").alias("sales_epd"),
         )
     )
     finished = opportunities.filter(
@@ -125,7 +126,7 @@ def opportunity_mart(
         ],
         *["bin_active", "is_urban", "first_sales_agent", "cs_agent", "zip_id", "city_bucket"],
         *["state", "country", "population_bucket_radius", "partner_status", "main_vertical"],
-        *["net_inv_amount", "partner_cost", "additional_cost", "csd", "epd"],
+        *["net_inv_amount", "partner_cost", "additional_cost", "csd", "epd", "sales_epd"],
     )
 
 

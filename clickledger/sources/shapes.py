@@ -317,7 +317,8 @@ SELECT
   l_extendedprice * l_discount AS final_margin,
   l_extendedprice * (1 - l_discount) AS nmv,
   CASE WHEN l_linenumber = 7 THEN 0.04 ELSE l_quantity / 50 END AS opportunity_part_ratio,
-  l_linenumber > 5 AS bin_upsell
+  l_linenumber > 5 AS bin_upsell,
+  CASE WHEN l_linenumber % 3 = 0 THEN l_extendedprice * l_tax ELSE 0 END AS epd_net
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 """
 

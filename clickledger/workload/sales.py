@@ -47,7 +47,7 @@ def feature_step(t: Tables) -> DataFrame:
 
 _DATES = ["first_offer", "last_offer", "wish_start", "booked", "cancelled", "first_rematch", "completed",
           "downp_inv"]
-_MONEY = ["margin", "nmv", "net_inv_amount", "partner_cost", "additional_cost", "csd", "epd"]
+_MONEY = ["margin", "nmv", "net_inv_amount", "partner_cost", "additional_cost", "csd", "epd", "sales_epd"]
 
 
 def _text(df: DataFrame, rounded: dict[str, int]) -> DataFrame:
@@ -64,7 +64,7 @@ def _(spark, sf_dir):
     t = Tables(spark, sf_dir)
     offers = t.sales_revenue.select("offer_id", "bin_upsell").distinct()
     rows = op.opportunity_rollup(t.sales_revenue, offers, t.opportunities)
-    return _text(rows, {"margin": 4, "nmv": 4})
+    return _text(rows, {"margin": 4, "nmv": 4, "sales_epd": 4})
 
 
 @query("opportunity_mart", "mart_text")
@@ -230,11 +230,30 @@ def _(spark, sf_dir):
     return _text(rows.select("opportunity_id", *names), dict.fromkeys(names, 6))
 
 
+def _training(spark, sf_dir, booking: str, edition: str) -> DataFrame:
+    rows = ft.training_set(feature_step(Tables(spark, sf_dir)), booking, edition)
+    return _text(rows, {"nmv": 4, "margin": 6, "epd": 4, **dict.fromkeys(ft.RATE_SUBJECTS.values(), 6)})
+
+
 @query("training_set", "training")
 def _(spark, sf_dir):
-    rows = ft.training_set(feature_step(Tables(spark, sf_dir)), "post")
-    rounded = dict.fromkeys(ft.RATE_SUBJECTS.values(), 6)
-    return _text(rows, {"nmv": 4, "margin": 6, **rounded})
+    return _training(spark, sf_dir, "post", "notebook")
+
+
+@query("training_set_pre", "training_pre")
+def _(spark, sf_dir):
+    return _training(spark, sf_dir, "pre", "notebook")
+
+
+@query("training_set_script", "training_script")
+def _(spark, sf_dir):
+    """Both sets of the script edition."""
+    t = Tables(spark, sf_dir)
+    sets = [
+        ft.training_set(feature_step(t), booking, "script").withColumn("booking", F.lit(booking)) for booking in ("pre", "post")
+    ]
+    rows = sets[1].unionByName(sets[0], allowMissingColumns=True)
+    return _text(rows, {"nmv": 4, "margin": 6, **dict.fromkeys(ft.RATE_SUBJECTS.values(), 6)})
 
 
 def _booked(t: Tables) -> DataFrame:
@@ -254,25 +273,81 @@ def _(spark, sf_dir):
     return _text(ft.zscore(clamped, columns), dict.fromkeys(columns, 6))
 
 
+def _steady(rows: DataFrame) -> DataFrame:
+    """Sums rounded, so that cuts fall between values and not into rounding noise."""
+    return rows.withColumns(
+        {"margin": F.round("margin", 6), "nmv": F.round("nmv", 4), "sales_epd": F.round("sales_epd", 4)}
+    )
+
+
+def _gains(t: Tables) -> DataFrame:
+    rows = ft.training_set(_steady(feature_step(t)), "post")
+    return ft.information_gain(rows, "label", ft.SETS["notebook", "post"])
+
+
 @query("information_gain", "gains")
 def _(spark, sf_dir):
-    # margins rounded, so that cuts fall between values and not into rounding noise
-    rows = feature_step(Tables(spark, sf_dir)).filter("bin_prepared").withColumns(
-        {"label": F.col("bin_cancelled").cast("int"), "margin": F.round("margin", 6)}
-    )
-    gains = ft.information_gain(rows, "label", ["vorlauf", "nmv", "margin", "is_image_uploaded"])
-    return _text(gains, {"information_gain": 8, "chi_squared": 8})
+    return _text(_gains(Tables(spark, sf_dir)), {"information_gain": 8, "chi_squared": 8})
 
 
-@query("logistic_cv")
+@query("informative_features", "informative")
 def _(spark, sf_dir):
+    """The features that pass the threshold, and the training rows reduced to them."""
     t = Tables(spark, sf_dir)
-    table = t.step("model_table", lambda t: ft.model_table(feature_step(t), "post"))
-    return models.logistic_cv(table, ft.SETS["notebook", "post"])
+    kept = ft.keep_informative(_gains(t), threshold=0.002)
+    rows = ft.training_set(_steady(feature_step(t)), "post")
+    return rows.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n_{c}") for c in kept]).unpivot(
+        "rows", [f"n_{c}" for c in kept], "feature", "known"
+    )
+
+
+def _table(t: Tables, booking: str, scaled: bool) -> DataFrame:
+    name = f"model_table_{booking}_{scaled}"
+    return t.step(name, lambda t: ft.model_table(_steady(feature_step(t)), booking, scaled=scaled))
+
+
+def _judged(df: DataFrame) -> DataFrame:
+    return _text(df, {"auc": 6, "acc": 6})
 
 
-@query("tree_cv")
+@query("logistic_cv", "logistic_post")
 def _(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    table = t.step("model_table", lambda t: ft.model_table(feature_step(t), "post"))
-    return models.tuned_tree(table, ft.SETS["notebook", "post"])[0]
+    table = _table(Tables(spark, sf_dir), "post", True)
+    return _judged(models.logistic_cv(table, ft.SETS["notebook", "post"]))
+
+
+@query("logistic_cv_pre", "logistic_pre")
+def _(spark, sf_dir):
+    table = _table(Tables(spark, sf_dir), "pre", True)
+    return _judged(models.logistic_cv(table, ft.SETS["notebook", "pre"]))
+
+
+@query("logistic_model", "logistic_terms")
+def _(spark, sf_dir):
+    table = _table(Tables(spark, sf_dir), "post", True)
+    terms = models.logistic_model(table, ft.SETS["notebook", "post"])
+    return _text(terms, {"coefficient": 6, "std_error": 6, "z": 4})
+
+
+GRID = models.full_grid(3)
+
+
+@query("tree_cv", "tree_folds")
+def _(spark, sf_dir):
+    table = _table(Tables(spark, sf_dir), "post", False)
+    return _judged(models.tree_cv(table, ft.SETS["notebook", "post"], GRID))
+
+
+@query("tree_search", "tree_settings")
+def _(spark, sf_dir):
+    table = _table(Tables(spark, sf_dir), "post", False)
+    return _judged(models.tree_search(table, ft.SETS["notebook", "post"], GRID)).withColumn(
+        "complexity", F.round("complexity", 6)
+    )
+
+
+@query("tree_importance", "tree_gains")
+def _(spark, sf_dir):
+    table = _table(Tables(spark, sf_dir), "post", False)
+    setting = models.Setting(40, 5, 0.0001)
+    return _text(models.tree_importance(table, ft.SETS["notebook", "post"], setting), {"importance": 4})
