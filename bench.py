@@ -6,7 +6,7 @@ import json
 import os
 import time
 
-from clickledger.session import local_session
+from clickledger.session import clear_steps, local_session
 from clickledger.workload import queries
 
 HEADLINES = [
@@ -44,6 +44,7 @@ def main() -> None:
         started = time.perf_counter()
         jobs[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+        clear_steps(spark)
     print(
         json.dumps(
             {
