@@ -17,7 +17,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch_limits, batches, mixed
@@ -58,11 +58,12 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Settings:
-    """`documents`: labelled documents that the model learns from, per language at most. `slots`: entries
-    of the hashed table. `switch`: cost of a change of language, in the same natural-log units as the
+    """`documents`: labelled documents that the model learns from, per language, about. `languages`: the most frequent
+    labels that it knows, which bounds its table of slots x languages. `slots`: entries of the hashed table. `switch`: cost of a change of language, in the same natural-log units as the
     word scores. `rare`: share of a language's words below which a script counts as not used."""
 
     documents: int = 3000
+    languages: int = 300
     slots: int = 1 << 15
     switch: float = 12.0
     rare: float = 0.002
@@ -114,17 +115,26 @@ class Model:
 
 
 def training_rows(labelled: DataFrame, settings: Settings) -> DataFrame:
-    """At most `documents` texts of each language: those whose ids hash lowest."""
-    narrow = labelled.filter("lang IS NOT NULL").select("doc_id", "lang", F.xxhash64("doc_id").alias("place"))
-    sizes = narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # of a language with many documents only those can be picked that hash into its lowest share
-    share = F.col("place") / F.lit(2.0**64) + 0.5
-    likely = narrow.join(sizes, "lang").filter(share * F.col("n") <= 2 * settings.documents)
-    order = Window.partitionBy("lang").orderBy("place", "doc_id")
-    picked = likely.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= settings.documents)
-    # a bounded number of ids per language
-    ids = picked.select("doc_id").distinct()
-    return labelled.join(ids, "doc_id", "left_semi").filter("lang IS NOT NULL").select("lang", "text")
+    """About `documents` texts of each of the most frequent languages: those whose ids and texts hash lowest.
+
+    Which share of a language's rows that is follows from its count, so a row is in or out by itself and no language
+    gathers in one task. Rows that repeat are one.
+    """
+    named = labelled.filter("lang IS NOT NULL")
+    # at most `languages` rows
+    sizes = (
+        named.groupBy("lang")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .orderBy(F.desc("_n"), "lang")
+        .limit(settings.languages)
+    )
+    place = F.xxhash64("doc_id", "text")
+    picked = (
+        named.select("lang", "text", place.alias("_place"))
+        .join(F.broadcast(sizes), "lang")
+        .filter((F.col("_place") / F.lit(2.0**64) + 0.5) * F.col("_n") <= settings.documents)
+    )
+    return picked.dropDuplicates(["lang", "_place"]).select("lang", "text")
 
 
 def learn(labelled: DataFrame, settings: Settings = Settings()) -> Model:
