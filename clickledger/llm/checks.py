@@ -94,7 +94,7 @@ _COMMON = """MAP {
   'en': ['the', 'of', 'and', 'to', 'a', 'in', 'is', 'that', 'for', 'with', 'was', 'on'],
   'es': ['de', 'la', 'que', 'el', 'en', 'y', 'los', 'se', 'del', 'las', 'un', 'por'],
   'fr': ['de', 'la', 'le', 'et', 'les', 'des', 'en', 'un', 'du', 'une', 'que', 'est'],
-  '*': ['der', 'die', 'und', 'the', 'of', 'and', 'de', 'la', 'que', 'de', 'la', 'le']}"""
+  '*': ['der', 'die', 'und', 'the', 'of', 'and', 'de', 'la', 'que', 'le']}"""
 
 
 def _kept(pattern: str) -> str:
@@ -134,7 +134,7 @@ WITH texts AS (
            unnest(list_append(classes, n_chars - list_sum(classes))) AS n, n_chars >= 150 AND n_words >= 100 AS normal
     FROM counted
     UNION ALL
-    SELECT doc_id, language, 'words', unnest(range(13)), n_words, n_words >= 100,
+    SELECT doc_id, language, 'words', unnest(range(len(common) + 1)), n_words, n_words >= 100,
            unnest(list_append(common, n_words - frequent)), n_chars >= 150 AND n_words >= 100
     FROM counted
 ), shares AS (

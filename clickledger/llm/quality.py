@@ -54,9 +54,15 @@ def _left(text: str, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, pattern, "")).cast("long")
 
 
+def _word_lists(rules: Rules) -> dict[str, list[str]]:
+    """Common words by language, each once; for other languages the first three of every listed one."""
+    lists = {name: list(dict.fromkeys(words)) for name, words in rules.common_words.items()}
+    return {ANY: list(dict.fromkeys(w for words in lists.values() for w in words[:3])), **lists}
+
+
 def measured(docs: DataFrame, rules: Rules) -> DataFrame:
     """Counts and histograms, one row per document."""
-    lists = {ANY: [w for words in rules.common_words.values() for w in words[:3]], **rules.common_words}
+    lists = _word_lists(rules)
     common = reduce(
         lambda rest, name: F.when(F.col("language") == name, F.array(*map(F.lit, lists[name]))).otherwise(rest),
         rules.common_words,
@@ -131,7 +137,7 @@ def _shares(counts: str) -> Column:
 def references(counts: DataFrame, rules: Rules) -> DataFrame:
     """Mean histograms by language over all documents long enough, and over all languages as '*'."""
     bins = len(CHARACTER_CLASSES) + 1
-    longest = max(len(w) for w in [*rules.common_words.values(), [0] * 3 * len(rules.common_words)]) + 1
+    longest = max(map(len, _word_lists(rules).values())) + 1
     long_enough = counts.filter(
         (F.col("n_chars") >= rules.min_characters) & (F.col("n_words") >= rules.min_words)
     ).select("language", _shares("characters").alias("characters"), _shares("common_counts").alias("common_counts"))
