@@ -2,14 +2,14 @@ import hashlib
 import random
 from collections import defaultdict
 
+import numpy as np
+
 from clickledger.llm.components import components
 from clickledger.llm.minhash import block_links, near_duplicates
 from clickledger.llm.substrings import drop_repeats, factors
 
 from .conftest import by_id
 
-import numpy as np
-
 
 def shingles(text):
     words = (text or "").encode().lower().split()
@@ -114,6 +114,44 @@ def test_windows_across_factor_boundaries(spark):
         assert got == without_repeats(texts, 6)
 
 
+def greedy_factors(texts, span):
+    """At each place with an earlier window the longest match in the documents that hold first places of the text's windows.
+
+    Within a document the first place of a window counts."""
+    words = {i: (t or "").split() for i, t in texts.items()}
+    first, inside = {}, {i: {} for i in words}
+    for i in sorted(words):
+        for p in range(len(words[i]) - span + 1):
+            first.setdefault(tuple(words[i][p : p + span]), (i, p))
+            inside[i].setdefault(tuple(words[i][p : p + span]), p)
+    out = {}
+    for i, own in words.items():
+        windows = [tuple(own[p : p + span]) for p in range(len(own) - span + 1)]
+        references = sorted({first[w][0] for w in windows if first[w][0] < i})
+        found, p = [], 0
+        while p < len(windows):
+            if first[windows[p]][0] == i:
+                p += 1
+                continue
+            best = None
+            for d in references:
+                for q in range(len(words[d]) - span + 1):
+                    n = 0
+                    while p + n < len(windows) and inside[d].get(windows[p + n]) == q + n:
+                        n += 1
+                    if n and (best is None or n + span - 1 > best[1]):
+                        best = (p, n + span - 1, d, q)
+            found.append(best)
+            # windows that end behind the factor are looked up, too
+            p += best[1] - span + 1
+        out[i] = found
+    return out
+
+
+def parsed(docs, **how):
+    return {r["doc_id"]: [tuple(f) for f in r["factors"]] for r in drop_repeats(docs, **how).collect()}
+
+
 def test_factors_name_their_source(spark):
     one = " ".join(f"a{k}" for k in range(30))
     two = " ".join(f"b{k}" for k in range(20))
@@ -121,7 +159,41 @@ def test_factors_name_their_source(spark):
     row = drop_repeats(docs).filter("doc_id = 3").first()
     assert [tuple(f) for f in row["factors"]] == [(2, 30, 1, 0), (33, 20, 2, 0)]
     assert row["kept_text"] == "x y z end" and row["n_removed"] == 50
-    assert factors(np.array([], int), np.array([], int), np.array([], int), 13) == []
+    assert factors([], {}, 13) == []
+
+
+def test_a_passage_whose_middle_is_older_is_one_factor(spark):
+    words = [f"w{k}" for k in range(100)]
+    texts = {1: " ".join(["x", *words[30:62], "y"]), 5: " ".join(["p", "q", *words, "r"]), 9: " ".join([*words, "end"])}
+    assert parsed(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))[9] == [(0, 100, 5, 2)]
+
+
+def test_factors_as_by_a_greedy_search(spark):
+    draw = random.Random(17)
+    for kinds in ("ab", "abc", "abcdefgh"):
+        # pieces of few words, copied around, with repeats inside a document
+        pieces = [" ".join(draw.choice(kinds) for _ in range(draw.randint(5, 25))) for _ in range(12)]
+        texts = {i: " ".join(draw.choice(pieces) for _ in range(draw.randint(0, 6))) for i in range(30)}
+        texts[31] = f"{texts[3]} {texts[7]} {texts[3]}"
+        docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        got, want = parsed(docs, span=6, gram=3), greedy_factors(texts, 6)
+        for i, text in texts.items():
+            # a copy of a whole earlier text is one factor of the first such
+            same = [j for j in texts if j < i and texts[j] == text]
+            if same and len(text.split()) >= 6:
+                assert got[i] == [(0, len(text.split()), min(same), 0)]
+            else:
+                assert got[i] == want[i], (i, text)
+
+
+def test_texts_of_one_id_are_judged_by_themselves(spark):
+    words = [f"w{k}" for k in range(40)]
+    rows = [(1, " ".join(words[:20])), (2, " ".join(words[5:40])), (2, "other " + " ".join(words[:20])), (2, " ".join(words[5:40]))]
+    rows += [(3, " ".join(words[15:40]))]
+    got = sorted(
+        (r["doc_id"], r["n_words"], r["n_removed"]) for r in drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    )
+    assert got == [(1, 20, 0), (2, 21, 20), (2, 35, 15), (2, 35, 15), (3, 25, 25)]
 
 
 def test_awkward_repeats(awkward, nothing):
