@@ -1,12 +1,13 @@
 """WARC archives in seekable Zstandard bundles.
 
-A bundle is a file of independent Zstandard frames, each of some records, with a seek table in a
-skippable frame at its end, as the public seekable format has it. Any reader of Zstandard reads the
-whole file; with the index (record -> bundle, frame, place in the frame) one record costs one frame.
+A bundle is a file of independent Zstandard frames, each of some records. Two skippable frames end it: a map of its record
+ids to frames and places in them, and a seek table, as the public seekable format has it. Any reader of Zstandard reads the
+whole file; with the map, or the index of all bundles (record -> bundle, frame, place in the frame), one record costs one frame.
 
 Tasks write bundles under names of their own and return the index rows. Only index rows that Spark
 commits belong to the archive, so a task that is lost or run twice leaves at most a file that nobody
-reads.
+reads. Responses are written first, so that a revisit can name the record that it refers to. The index is kept beside the
+bundles.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import steps_dir
@@ -29,7 +31,10 @@ from .common import batch_limits, batches, step
 
 # fixed values of the seekable format
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
+# another skippable frame, for the map of records
+MAPPED = 0x184D2A50
 END = b"\r\n"
+HTTP = "application/http; msgtype=response"
 
 
 @dataclass(frozen=True)
@@ -47,20 +52,24 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
 
 @dataclass
 class BundleWriter:
-    """Writes records to a bundle: `add` gives the frame's number and the record's place in it."""
+    """Writes records to a bundle; `place` is where the next one goes: the frame's number and the place in it."""
 
     out: pa.NativeFile
     layout: Layout
     frames: list[tuple[int, int]] = field(default_factory=list)
     held: bytearray = field(default_factory=bytearray)
+    records: list[str] = field(default_factory=list)
     size: int = 0
 
-    def add(self, record: bytes) -> tuple[int, int]:
-        place = (len(self.frames), len(self.held))
+    def place(self) -> tuple[int, int]:
+        return len(self.frames), len(self.held)
+
+    def add(self, name: str, record: bytes) -> None:
+        frame, place = self.place()
+        self.records.append(f"{frame} {place} {name}")
         self.held += record
         if len(self.held) >= self.layout.frame:
             self.close_frame()
-        return place
 
     def close_frame(self) -> None:
         if self.held:
@@ -71,8 +80,10 @@ class BundleWriter:
             self.held = bytearray()
 
     def close(self) -> list[int]:
-        """Write the seek table; gives each frame's offset."""
+        """Write the map of records and the seek table; gives each frame's offset."""
         self.close_frame()
+        known = zstandard.ZstdCompressor(self.layout.level).compress("\n".join(self.records).encode())
+        self.out.write(struct.pack("<II", MAPPED, len(known)) + known)
         entries = b"".join(struct.pack("<II", *f) for f in self.frames)
         foot = struct.pack("<IBI", len(self.frames), 0, SEEKABLE)
         self.out.write(struct.pack("<II", SKIPPABLE, len(entries) + len(foot)) + entries + foot)
@@ -103,8 +114,21 @@ def read_frame(file: pa.NativeFile, offset: int, packed: int, full: int) -> byte
     return zstandard.ZstdDecompressor().decompress(file.read(packed), max_output_size=full)
 
 
-def record_uri(page_id: int | None) -> str:
-    return f"urn:x-page:{'' if page_id is None else page_id}"
+def read_record_map(file: pa.NativeFile) -> dict[str, tuple[int, int]]:
+    """Frame and place of each record of a bundle, by its id."""
+    at = sum(packed for _, packed, _ in read_seek_table(file))
+    file.seek(at)
+    magic, size = struct.unpack("<II", file.read(8))
+    if magic != MAPPED:
+        raise ValueError("the bundle has no map of its records")
+    lines = zstandard.ZstdDecompressor().decompress(file.read(size)).decode().splitlines()
+    rows = (line.split(" ", 2) for line in lines)
+    return {name: (int(frame), int(place)) for frame, place, name in rows}
+
+
+def record_uri(page_id: int | None, bundle: str, frame: int, place: int) -> str:
+    """Unique, however often a page repeats: the page, its bundle and the place there."""
+    return f"urn:x-page:{'' if page_id is None else page_id}:{bundle}:{frame}:{place}"
 
 
 def _header_value(text: str) -> str:
@@ -112,25 +136,39 @@ def _header_value(text: str) -> str:
     return "".join(f"%{ord(c):02X}" if ord(c) < 32 or ord(c) == 127 else c for c in text)
 
 
-def warc_record(page_id: int | None, url: str | None, payload: bytes, size: int, sha1: bytes, refers_to: int | None) -> bytes:
-    """One record; a revisit has no payload of its own but names the record that has."""
+def warc_record(
+    name: str, url: str | None, payload: bytes, size: int, sha1: bytes, refers_to: str | None, date: str
+) -> bytes:
+    """One record: an HTTP response with the payload, or a revisit, which has no block but names the record that has.
+
+    A page without an address has its own name as target.
+    """
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", f"<{record_uri(page_id)}>"),
+        ("WARC-Record-ID", f"<{name}>"),
+        ("WARC-Date", date),
+        ("WARC-Target-URI", name if url is None else _header_value(url)),
         ("WARC-Payload-Digest", "sha1:" + base64.b32encode(sha1).decode()),
         ("X-Payload-Length", str(size)),
     ]
-    if url is not None:
-        fields.append(("WARC-Target-URI", _header_value(url)))
-    if refers_to is not None:
+    if refers_to is None:
+        fields.append(("Content-Type", HTTP))
+        http = ["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", f"Content-Length: {size}"]
+        block = END.join(x.encode() for x in http) + END + END + payload
+    else:
         fields += [
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-            ("WARC-Refers-To", f"<{record_uri(refers_to)}>"),
+            ("WARC-Refers-To", f"<{refers_to}>"),
         ]
-        payload = b""
-    fields.append(("Content-Length", str(len(payload))))
+        block = b""
+    fields.append(("Content-Length", str(len(block))))
     head = b"WARC/1.1" + END + b"".join(f"{k}: {v}".encode() + END for k, v in fields)
-    return head + END + payload + END + END
+    return head + END + block + END + END
+
+
+def payload_of(block: bytes) -> bytes:
+    """What follows the header of an HTTP message."""
+    return block[block.index(END + END) + 4 :] if block else b""
 
 
 def parse_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -178,60 +216,84 @@ INDEX = (
 )
 
 
-def write_archive(pages: DataFrame, folder: str, layout: Layout = Layout(), least: int = 1000) -> DataFrame:
-    """Write a record per row of `pages` to bundles in `folder`; gives the committed index.
+def write_archive(
+    pages: DataFrame, folder: str, layout: Layout = Layout(), least: int = 1000, written_at: datetime | None = None
+) -> DataFrame:
+    """Write a record per row of `pages` to bundles in `folder`, and the index beside them; gives the index.
 
-    Index columns: record (its URI), page_id, bundle (path), frame (number), frame_offset, frame_bytes
+    Index columns: record (its id), page_id, bundle (path), frame (number), frame_offset, frame_bytes
     (compressed), frame_full, place (of the record in the frame).
 
     Columns page_id, url, html; others are ignored, whatever their names. A NULL html is an empty
-    payload, a NULL url has no target field. A row without page_id is a response of its own. Rows that
-    repeat a page_id each get a record. An empty table writes nothing.
+    payload, a NULL url leaves the record's own id as target. A row without page_id is a response of its own. Rows that
+    repeat a page_id each get a record. An empty table writes an empty index. Records are dated `written_at` (now).
     """
-    batch_limits(pages.sparkSession)
+    spark = pages.sparkSession
+    batch_limits(spark)
+    date = (written_at or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["record", "page_id", "bundle", "frame", "frame_offset", "frame_bytes", "frame_full", "place"]
         types = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
         filesystem, root = _open(folder)
-        writer, path, records = None, "", []
+        writer, bundle, records = None, "", []
 
         def finish() -> pa.RecordBatch:
             offsets = writer.close()
+            path = f"{folder}/{bundle}.warc.zst"
             rows = [
-                (record_uri(page), page, path, frame, offsets[frame], *writer.frames[frame], place)
-                for page, frame, place in records
+                (name, page, path, frame, offsets[frame], *writer.frames[frame], place)
+                for name, page, frame, place in records
             ]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-        columns = ["page_id", "url", "payload", "payload_bytes", "digest", "refers_to"]
+        columns = ["page_id", "url", "payload", "payload_bytes", "digest", "record"]
         for batch in batches(frames, columns):
             for page, url, payload, size, digest, refers_to in zip(*(c.to_pylist() for c in batch)):
                 if writer is None:
-                    name = f"{uuid.uuid4().hex}.warc.zst"
-                    path, records = f"{folder}/{name}", []
+                    bundle, records = uuid.uuid4().hex, []
                     filesystem.create_dir(root, recursive=True)
-                    writer = BundleWriter(filesystem.open_output_stream(f"{root}/{name}", compression=None), layout)
-                record = warc_record(page, url, payload, size, bytes.fromhex(digest), refers_to)
-                records.append((page, *writer.add(record)))
+                    writer = BundleWriter(
+                        filesystem.open_output_stream(f"{root}/{bundle}.warc.zst", compression=None), layout
+                    )
+                place = writer.place()
+                name = record_uri(page, bundle, *place)
+                writer.add(name, warc_record(name, url, payload, size, bytes.fromhex(digest), refers_to, date))
+                records.append((name, page, *place))
                 if writer.size >= layout.bundle:
                     yield finish()
                     writer = None
         if writer is not None:
             yield finish()
 
-    rows = with_revisits(pages, least).select(
-        "page_id", "url", F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload"),
-        "payload_bytes", "digest", "refers_to",
+    marked = with_revisits(pages, least)
+    own = marked.filter("refers_to IS NULL").select(
+        "page_id", "url", "payload", "payload_bytes", "digest", F.lit(None).cast("string").alias("record")
+    )
+    responses = step(own.mapInArrow(write, INDEX), "warc-responses")
+    # of a page that repeats any record will do
+    named = responses.groupBy(F.col("page_id").alias("refers_to")).agg(F.min("record").alias("record"))
+    again = (
+        marked.filter("refers_to IS NOT NULL")
+        .select("page_id", "url", "payload_bytes", "digest", "refers_to")
+        .join(named, "refers_to")
+        .select("page_id", "url", F.lit(None).cast("binary").alias("payload"), "payload_bytes", "digest", "record")
     )
-    return step(rows.mapInArrow(write, INDEX), "warc-index")
+    revisits = step(again.mapInArrow(write, INDEX), "warc-revisits")
+    responses.unionByName(revisits).write.mode("overwrite").parquet(f"{folder}/index")
+    return open_archive(spark, folder)
+
+
+def open_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """The index of an archive that has been written."""
+    return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
 RECORDS = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
 def _page_of(uri: str | None) -> int | None:
-    number = (uri or "").strip("<>").removeprefix("urn:x-page:")
+    number = (uri or "").strip("<>").removeprefix("urn:x-page:").split(":")[0]
     return int(number) if number else None
 
 
@@ -255,12 +317,13 @@ def read_archive(index: DataFrame) -> DataFrame:
                 for _, fields, block in parse_records(read_frame(file, offset, packed, full)):
                     sha1 = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:"))
                     kind = fields["WARC-Type"]
-                    if kind == "response" and hashlib.sha1(block).digest() != sha1:
+                    payload = payload_of(block)
+                    if kind == "response" and hashlib.sha1(payload).digest() != sha1:
                         raise ValueError(f"{fields['WARC-Record-ID']}: payload does not match its digest")
                     rows.append(
                         (
                             _page_of(fields["WARC-Record-ID"]),
-                            len(block) if kind == "response" else int(fields["X-Payload-Length"]),
+                            len(payload) if kind == "response" else int(fields["X-Payload-Length"]),
                             sha1.hex(),
                             kind,
                             _page_of(fields.get("WARC-Refers-To")),

@@ -1,5 +1,6 @@
 import hashlib
 import io
+from datetime import datetime, timezone
 
 import pyarrow.fs as pafs
 import zstandard
@@ -7,11 +8,19 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clickledger.llm.mixing import mix_sources
-from clickledger.llm.warc import Layout, archive_folder, find_record, parse_records, read_archive, read_seek_table, write_archive
+from clickledger.llm.warc import (
+    Layout, archive_folder, find_record, open_archive, parse_records, payload_of, read_archive, read_frame, read_record_map,
+    read_seek_table, write_archive,
+)
 
 SMALL = Layout(frame=3000, bundle=4000)
 
 
+def opened(bundle):
+    filesystem, path = pafs.FileSystem.from_uri(bundle) if "://" in bundle else (pafs.LocalFileSystem(), bundle)
+    return filesystem.open_input_file(path)
+
+
 def pages_of(spark):
     big = "<p>" + "ä long page " * 200
     rows = [(i, f"http://x/{i}", f"<p>page {i}" + "text " * (i % 7) * 60) for i in range(60)]
@@ -38,20 +47,45 @@ def test_one_record_from_one_frame(spark):
     pages = pages_of(spark)
     index = write_archive(pages, archive_folder(pages), SMALL)
     (fields, block), = find_record(index, 107)
-    assert block == b"y" * 200_000 and fields["WARC-Target-URI"] == "u"
+    assert payload_of(block) == b"y" * 200_000 and fields["WARC-Target-URI"] == "u"
     (fields, block), = find_record(index, 101)
-    assert block == b"" and fields["WARC-Type"] == "revisit" and fields["WARC-Refers-To"] == "<urn:x-page:102>"
+    named = index.filter("page_id = 102").first()["record"]
+    assert block == b"" and fields["WARC-Type"] == "revisit" and fields["WARC-Refers-To"] == f"<{named}>"
     assert "Evil" not in fields and fields["WARC-Target-URI"] == "http://x/b%0D%0AEvil: 1"
 
 
+def test_records_have_what_the_format_asks_for(spark):
+    pages = pages_of(spark)
+    folder = archive_folder(pages)
+    index = write_archive(pages, folder, SMALL, written_at=datetime(2024, 5, 6, 7, 8, 9, tzinfo=timezone.utc))
+    names, targets = set(), []
+    for bundle, in index.select("bundle").distinct().collect():
+        file = opened(bundle)
+        known = read_record_map(file)
+        for number, (offset, packed, full) in enumerate(read_seek_table(file)):
+            for place, fields, block in parse_records(read_frame(file, offset, packed, full)):
+                name = fields["WARC-Record-ID"].strip("<>")
+                assert name not in names and known[name] == (number, place)
+                names.add(name)
+                assert fields["WARC-Date"] == "2024-05-06T07:08:09Z" and fields["WARC-Target-URI"]
+                assert int(fields["Content-Length"]) == len(block)
+                if fields["WARC-Type"] == "response":
+                    assert fields["Content-Type"] == "application/http; msgtype=response"
+                    assert block.startswith(b"HTTP/1.1 200 OK\r\n")
+                else:
+                    targets.append(fields["WARC-Refers-To"].strip("<>"))
+    assert len(names) == pages.count() and targets and set(targets) <= names
+    # the index lies beside the bundles
+    assert sorted(open_archive(spark, folder).select("record").collect()) == sorted((n,) for n in names)
+
+
 def test_bundles_are_plain_zstandard_with_a_seek_table(spark):
     pages = pages_of(spark)
     index = write_archive(pages, archive_folder(pages), SMALL)
     for bundle, in index.select("bundle").distinct().collect():
-        filesystem, path = pafs.FileSystem.from_uri(bundle) if "://" in bundle else (pafs.LocalFileSystem(), bundle)
-        data = filesystem.open_input_file(path).readall()
+        data = opened(bundle).readall()
         whole = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read()
-        table = read_seek_table(filesystem.open_input_file(path))
+        table = read_seek_table(opened(bundle))
         assert sum(full for _, _, full in table) == len(whole)
         assert len(list(parse_records(whole))) == index.filter(F.col("bundle") == bundle).count()
 
