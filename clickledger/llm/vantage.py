@@ -307,8 +307,10 @@ def links(points: DataFrame, radius: int, how: Shards) -> DataFrame:
     placed = step(points.mapInArrow(scatter, "point bigint, shard int"), "shards")
     sizes = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
     large = step(sizes.filter(F.col("n") > how.most), "large")
+    # shards are small in bytes, not in work, so adaptive execution must not put many into one task
     ordinary = (
         placed.join(large.select("shard"), "shard", "left_anti")
+        .repartition(max(tree.shards, 1), "shard")
         .groupBy("shard")
         .agg(F.collect_list("point").alias("points"))
         .select("points")
