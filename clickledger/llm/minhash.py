@@ -171,46 +171,67 @@ def block_links(sets: list[np.ndarray], groups: list[int], sides: list[int], per
     return found
 
 
+def bucket_pieces(placed: DataFrame, block: int) -> DataFrame:
+    """Buckets of more than one component: band, largest (component), pieces, stray_pieces."""
+    weights = placed.groupBy("band", "component").agg(F.sum("n_shingles").alias("weight"))
+    return (
+        weights.groupBy("band")
+        .agg(
+            F.count(F.lit(1)).alias("components"),
+            F.max_by("component", F.struct("weight", "component")).alias("largest"),
+            F.sum("weight").alias("all"),
+            F.max("weight").alias("most"),
+        )
+        .filter("components > 1")
+        .select(
+            "band",
+            "largest",
+            F.ceil(F.col("all") / block).cast("int").alias("pieces"),
+            F.greatest(F.ceil((F.col("all") - F.col("most")) / block), F.lit(1)).cast("int").alias("stray_pieces"),
+        )
+    )
+
+
+def deal(placed: DataFrame, split: DataFrame) -> DataFrame:
+    """Rows of band, piece, stray_piece, side (1 for strays that visit), doc_id and component."""
+    known = placed.join(split, "band")
+    held = known.select(
+        "band",
+        F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int").alias("piece"),
+        F.explode(F.sequence(F.lit(0), F.col("stray_pieces") - 1)).alias("stray_piece"),
+        F.lit(0).alias("side"),
+        "doc_id",
+        "component",
+    )
+    visiting = known.filter("component <> largest").select(
+        "band",
+        F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"),
+        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("stray_pieces")).cast("int").alias("stray_piece"),
+        F.lit(1).alias("side"),
+        "doc_id",
+        "component",
+    )
+    return held.unionByName(visiting)
+
+
 def links_within(
     members: DataFrame, labels: DataFrame, docs: DataFrame, percent: int, block: int, width: int
 ) -> DataFrame:
     """Links (a, b) between members of a bucket that are still in different components.
 
-    A bucket is cut in pieces of about `block` shingles; each two pieces meet in one row, and each
-    piece with itself.
+    A bucket is cut in pieces of about `block` shingles. Only its strays, the members outside its largest component, meet
+    all of them, as strays of about `block` shingles at a time; all others stay in their piece.
     """
     placed = (
         members.filter("doc_id <> center")
         .join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select("band", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
     )
-    split = (
-        placed.groupBy("band")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.ceil(F.sum("n_shingles") / block).cast("int").alias("pieces"),
-        )
-        .filter("low < high")
-        .select("band", "pieces")
-    )
-    piece, other = F.col("piece"), F.col("other")
-    dealt = (
-        placed.join(split, "band")
-        .withColumn("piece", F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-        .select(
-            "band",
-            F.least(piece, other).alias("i"),
-            F.greatest(piece, other).alias("j"),
-            F.when(piece > other, 1).otherwise(0).alias("side"),
-            "doc_id",
-            "component",
-        )
-    )
+    split = bucket_pieces(placed, block)
+    dealt = deal(placed, split)
     blocks = (
         dealt.join(docs.select("doc_id", "text"), "doc_id")
-        .groupBy("band", "i", "j")
+        .groupBy("band", "piece", "stray_piece")
         .agg(F.collect_list(F.struct("doc_id", "component", "side", "text")).alias("members"))
         .select("members")
     )

@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 
 from clickledger.llm.components import components
-from clickledger.llm.minhash import block_links, near_duplicates
+from clickledger.llm.minhash import block_links, bucket_pieces, deal, near_duplicates
 from clickledger.llm.substrings import drop_repeats, factors
 
 from .conftest import by_id
@@ -60,6 +60,16 @@ def test_groups_around_a_text_that_is_not_the_first(spark):
     assert by_id(near_duplicates(docs, block=2000), "n_shingles", "component_id", "kept") == want
 
 
+def test_a_bucket_with_one_stray_sends_each_text_once(spark):
+    """1,000 members in 50 pieces: only the stray goes to all of them."""
+    rows = [(7, i, 100, 0) for i in range(1000)] + [(7, 5000, 100, 5000)] + [(8, i, 100, 0) for i in range(40)]
+    placed = spark.createDataFrame(rows, "band long, doc_id long, n_shingles long, component long")
+    split = bucket_pieces(placed, 2000)
+    assert [tuple(r) for r in split.collect()] == [(7, 0, 51, 1)]
+    sent = deal(placed, split).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in sent} == {i: 1 for i in range(1000)} | {5000: 52}
+
+
 def test_block_links_join_groups_once():
     sets = [np.arange(10), np.arange(10), np.arange(1, 11), np.arange(50, 60)]
     assert len(block_links(sets, [1, 2, 3, 4], [0] * 4, 80)) == 2
