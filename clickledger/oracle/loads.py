@@ -38,8 +38,8 @@ WHERE collector_tstamp >= (
 CHECKS["changed"] = """
 WITH since AS (SELECT max(etl_at) - INTERVAL '3' HOUR AS cut_at FROM (SELECT TIMESTAMP '2024-01-20' AS etl_at))
 SELECT DISTINCT lead_id FROM (
-  SELECT CAST(substr(legacy_lead_id, 2) AS BIGINT) AS lead_id FROM {crm_opportunities}, since
-    WHERE last_modified_date > cut_at
+  SELECT CAST(backend_opportunity_id AS BIGINT) AS lead_id FROM {crm_leads}
+    WHERE id IN (SELECT legacy_lead_id FROM {crm_opportunities}, since WHERE last_modified_date > cut_at)
   UNION ALL
   SELECT CAST(tr_orderid AS BIGINT) FROM {conversions}, since WHERE collector_tstamp > cut_at
   UNION ALL

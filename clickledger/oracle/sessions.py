@@ -77,6 +77,11 @@ UNION ALL SELECT * REPLACE (CASE event WHEN 'page_view' THEN 'transaction' ELSE
 FROM {web_events} WHERE CAST(event_id AS INT) % 20 = 7
 """
 
+# fixed values: columns of the first event that a session keeps
+_DETAILS = """page_urlhost geo_zipcode geo_latitude geo_longitude geo_region_name useragent br_name br_family br_version br_type
+  br_lang br_features_pdf br_viewwidth br_viewheight os_name os_family dvce_type dvce_ismobile dvce_screenwidth
+  dvce_screenheight""".split()
+
 # What a session shows is looked up value by value from its first event.
 CHECKS["facts_of_sessions"] = f"""
 WITH firsts AS (
@@ -87,7 +92,9 @@ WITH firsts AS (
     (SELECT min(utm_id) FROM {{tv_peaks}} t
       WHERE t.minute = date_trunc('minute', b.start_collector_tstamp)) AS spot,
     (SELECT lower(min(iso_code)) FROM {{iso_country_codes}} i
-      WHERE lower(i.country) = lower(a.geo_country)) AS code
+      WHERE lower(i.country) = lower(a.geo_country)) AS code,
+    (SELECT min(struct_pack(l := login_user_id, o := onsite_user_id)) FROM {{user_map}} m
+      WHERE m.domain_userid = b.domain_userid) AS login
   FROM {{bounds}} b SEMI JOIN (SELECT session_id, min(domain_userid) AS domain_userid FROM {{bounds}}
     GROUP BY session_id) one USING (session_id, domain_userid)
   LEFT JOIN {{web_events}} a ON (a.event_id, a.event_fingerprint, a.collector_tstamp)
@@ -102,8 +109,10 @@ SELECT session_id, start_collector_tstamp, start_event_id, start_event_fingerpri
   end_collector_tstamp, end_event_id, end_event_fingerprint, domain_userid,
   begun AS start_locale_tstamp, datediff('day', DATE '1970-01-01', begun) AS start_did, utm_id,
   trim(nation || town) AS geo_id, hit.page_url AS landing_page_url, hit.page_title AS landing_page_title,
-  hit.page_urlpath AS landing_pagepath, hit.page_urlhost AS page_urlhost, nation AS country,
-  town AS city, hit.dvce_type AS dvce_type,
+  hit.page_urlpath AS landing_pagepath, nation AS country,
+  town AS city, login.l AS login_user_id, login.o AS onsite_user_id,
+  (SELECT min(id) FROM {{utm_ids}} i WHERE i.utm_id = named.utm_id) AS pbi_utm_id,
+  {", ".join(f"hit.{c} AS {c}" for c in _DETAILS)},
   datediff('microsecond', start_collector_tstamp, end_collector_tstamp) / 1e6 AS duration_seconds,
   events = 1 AS is_bounce, if(events = 1, 1, 0) AS bin_bounce, events, transactions, page_views
 FROM named

@@ -50,6 +50,8 @@ class Inputs:
     adgroup_map: DataFrame
     tv_peaks: DataFrame
     iso_codes: DataFrame
+    users: DataFrame
+    utm_ids: DataFrame
 
 
 def with_day(rows: DataFrame) -> DataFrame:
@@ -199,7 +201,7 @@ def load_sessions(spark: SparkSession, store: Store, inputs: Inputs, at: datetim
     events = spark.table(store.table("events")).filter(on_days(days)).drop("berlin_day", "delivery")
     bounds = session_bounds(mapped, events, landing=LANDING)
     prepared = channel_prep(events, inputs.clicks, inputs.adgroup_map)
-    facts = session_facts(bounds, prepared, inputs.tv_peaks, inputs.iso_codes)
+    facts = session_facts(bounds, prepared, inputs.tv_peaks, inputs.iso_codes, inputs.users, inputs.utm_ids)
     day = F.to_date(berlin_local(F.col("start_collector_tstamp")))
     _replace_days(facts.withColumn("berlin_day", day), store.table("sessions"), days)
     commit(spark, store, SESSIONS, deliveries[-1], days, at or datetime.now())

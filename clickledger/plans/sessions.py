@@ -151,9 +151,12 @@ def sessionize(
     )
 
 
-# what a session takes over from its first event
-LANDING = ["refr_medium", "page_url", "page_title", "page_urlpath", "page_urlhost", "page_referrer",
-           "mkt_medium", "geo_country", "geo_city", "dvce_type"]
+# what a session takes over from its first event as it is
+DETAILS = ["page_urlhost", "geo_zipcode", "geo_latitude", "geo_longitude", "geo_region_name", "useragent", "br_name",
+           "br_family", "br_version", "br_type", "br_lang", "br_features_pdf", "br_viewwidth", "br_viewheight", "os_name",
+           "os_family", "dvce_type", "dvce_ismobile", "dvce_screenwidth", "dvce_screenheight"]
+# all that a session needs of it
+LANDING = ["refr_medium", "page_url", "page_title", "page_urlpath", "geo_country", "geo_city", *DETAILS]
 
 
 def session_bounds(
@@ -230,12 +233,15 @@ def session_facts(
     channel_rows: DataFrame,
     tv_peaks: DataFrame,
     iso_codes: DataFrame,
+    users: DataFrame,
+    utm_ids: DataFrame,
     loaded: DataFrame | None = None
 ) -> DataFrame:
-    """One row per session with landing page, place, device, channel key, duration and bounce.
+    """One row per session with landing page, place, device, user, channel key and number, duration and bounce.
 
     `bounds` must bring the LANDING columns. Channel key: the marketing channel of the first event,
-    else a TV spot in the same minute, else 'timeout' after an internal referrer, else direct.
+    else a TV spot in the same minute, else 'timeout' after an internal referrer, else direct. `users` names the logins of a
+    user (the first by name counts), `utm_ids` numbers channel keys.
     """
     fresh = bounds
     if loaded is not None:
@@ -256,6 +262,14 @@ def session_facts(
     rows = lookup(
         rows, one_per_key(codes, ["_country"], [F.col("iso_code").asc()]), ["_country"]
     )
+    logins = users.filter(F.col("domain_userid").isNotNull()).select("domain_userid", "login_user_id", "onsite_user_id")
+    by_name = [F.col("login_user_id").asc_nulls_last(), F.col("onsite_user_id").asc_nulls_last()]
+    rows = lookup(rows, one_per_key(logins, ["domain_userid"], by_name), ["domain_userid"])
+    own_key = F.coalesce(
+        "_utm", "_tv", F.when(F.col("refr_medium") == "internal", F.lit(TIMEOUT)).otherwise(F.lit(DIRECT))
+    )
+    numbers = utm_ids.groupBy(F.col("utm_id").alias("_key")).agg(F.min("id").alias("_number"))
+    rows = lookup(rows.withColumn("_key", own_key), numbers, ["_key"])
     rows = one_per_key(
         rows, ["session_id"], [F.col("domain_userid").asc(), F.col("_utm").asc_nulls_last()]
     )
@@ -267,19 +281,18 @@ def session_facts(
         *start,
         *[f"end_{c}" for c in IDENTITY],
         "domain_userid",
+        "login_user_id",
+        "onsite_user_id",
         local.alias("start_locale_tstamp"),
         to_did(local).alias("start_did"),
-        F.coalesce(
-            "_utm", "_tv", F.when(F.col("refr_medium") == "internal", F.lit(TIMEOUT)).otherwise(F.lit(DIRECT))
-        ).alias("utm_id"),
+        F.col("_key").alias("utm_id"),
         F.trim(F.lower(F.concat(country, city))).alias("geo_id"),
         F.col("page_url").alias("landing_page_url"),
         F.col("page_title").alias("landing_page_title"),
         F.col("page_urlpath").alias("landing_pagepath"),
-        "page_urlhost",
         country.alias("country"),
         city.alias("city"),
-        "dvce_type",
+        *DETAILS,
         ((F.unix_micros("end_collector_tstamp") - F.unix_micros("start_collector_tstamp")) / 1e6).alias(
             "duration_seconds"
         ),
@@ -288,4 +301,5 @@ def session_facts(
         "events",
         "transactions",
         "page_views",
+        F.col("_number").alias("pbi_utm_id"),
     )

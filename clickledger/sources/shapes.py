@@ -123,6 +123,24 @@ SELECT
   {_pick("u", ["Germany", "NETHERLANDS", "Austria", "belgium", "Atlantis", None])} AS geo_country,
   CASE WHEN u % 9 = 0 THEN NULL ELSE ' City' || CAST(u % 13 AS STRING) END AS geo_city,
   {_pick("u", ["desktop", "phone", "tablet"])} AS dvce_type,
+  'z' || CAST(u % 50 AS STRING) AS geo_zipcode,
+  CAST(u % 90 AS DOUBLE) / 8 AS geo_latitude,
+  CAST(u % 170 AS DOUBLE) / -4 AS geo_longitude,
+  {_pick("u", ["Hessen", None, "Utrecht"])} AS geo_region_name,
+  'agent/' || CAST(k % 9 AS STRING) AS useragent,
+  {_pick("u", ["Firefox 50", "Chrome 60", None])} AS br_name,
+  {_pick("u", ["Firefox", "Chrome", None])} AS br_family,
+  {_pick("u + k", ["50.0", "60.1", "9"])} AS br_version,
+  {_pick("k", ["Browser", "Browser (mobile)"])} AS br_type,
+  {_pick("u", ["de", "nl-NL", None, "en"])} AS br_lang,
+  k % 2 = 0 AS br_features_pdf,
+  CASE WHEN k % 7 = 0 THEN NULL ELSE 800 + k END AS br_viewwidth,
+  600 + k AS br_viewheight,
+  {_pick("u", ["Windows 10", "iOS 9", "Android 6"])} AS os_name,
+  {_pick("u", ["Windows", "iOS", "Android"])} AS os_family,
+  u % 3 > 0 AS dvce_ismobile,
+  1000 + k AS dvce_screenwidth,
+  700 + k AS dvce_screenheight,
   value,
   props
 FROM {{web_hits}}
@@ -140,6 +158,21 @@ SELECT DISTINCT date_trunc('minute', CAST(ts AS TIMESTAMP)) AS minute,
 FROM {events} WHERE event_type = 'signup'
 """
 
+# Some users have logged in; one of them twice, under two names.
+SHAPES["user_map"] = """
+SELECT CAST(user_id AS STRING) AS domain_userid, 'login' || CAST(user_id * 7 AS STRING) AS login_user_id,
+  'onsite' || CAST(user_id AS STRING) AS onsite_user_id
+FROM {events} WHERE user_id % 3 > 0 GROUP BY user_id
+UNION ALL
+SELECT CAST(min(user_id) AS STRING), 'a second login', 'a second one' FROM {events} WHERE user_id % 3 > 0
+"""
+
+SHAPES["utm_ids"] = """
+SELECT md5('') AS utm_id, CAST(2 AS BIGINT) AS id
+UNION ALL SELECT md5('timeout'), CAST(3 AS BIGINT)
+UNION ALL SELECT DISTINCT utm_id, CAST(100 AS BIGINT) + extract(hour FROM minute) FROM {tv_peaks}
+"""
+
 SHAPES["iso_country_codes"] = """
 SELECT * FROM (VALUES ('germany', 'DE'), ('Netherlands', 'NL'), ('AUSTRIA', 'AT'), ('Belgium', 'BE'))
   AS t(country, iso_code)

@@ -31,7 +31,7 @@ def loaded(t: Tables, *jobs: Callable[[inc.Store], None]) -> inc.Store:
 
 
 def _inputs(t: Tables) -> inc.Inputs:
-    return inc.Inputs(t.click_report, adgroup_map(t), t.tv_peaks, t.iso_country_codes)
+    return inc.Inputs(t.click_report, adgroup_map(t), t.tv_peaks, t.iso_country_codes, t.user_map, t.utm_ids)
 
 
 @query("incremental_equals_rebuild", "facts_of_sessions")

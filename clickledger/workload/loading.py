@@ -61,7 +61,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     t = Tables(spark, sf_dir)
     loaded = t.load_log.select(F.lit(CUT).alias("etl_at"))
-    opportunities = t.crm_opportunities.withColumn("lead", F.substring("legacy_lead_id", 2, 20))
+    known = t.crm_leads.select(F.col("id").alias("legacy_lead_id"), F.col("backend_opportunity_id").alias("lead"))
+    # an opportunity names its lead by the id it has in the CRM; the lead tells its number
+    opportunities = t.crm_opportunities.join(known.dropna().distinct(), "legacy_lead_id")
     feeds = [
         (opportunities, "lead", "last_modified_date"),
         (onsite(t), "tr_orderid", "collector_tstamp"),

@@ -32,7 +32,7 @@ def prepared(t: Tables) -> DataFrame:
 
 def session_facts(t: Tables) -> DataFrame:
     return sessions.session_facts(
-        bounds(t, sessions.LANDING), t.step("prepared", prepared), t.tv_peaks, t.iso_country_codes
+        bounds(t, sessions.LANDING), t.step("prepared", prepared), t.tv_peaks, t.iso_country_codes, t.user_map, t.utm_ids
     )
 
 

@@ -49,7 +49,11 @@ EVENT_SCHEMA = (
     "br_renderengine string, refr_medium string, refr_urlhost string, page_referrer string, "
     "page_url string, page_urlhost string, page_urlpath string, page_title string, mkt_source string, "
     "mkt_medium string, mkt_campaign string, mkt_term string, mkt_content string, mkt_clickid string, "
-    "geo_country string, geo_city string, dvce_type string"
+    "geo_country string, geo_city string, dvce_type string, geo_zipcode string, geo_latitude double, "
+    "geo_longitude double, geo_region_name string, useragent string, br_name string, br_family string, "
+    "br_version string, br_type string, br_lang string, br_features_pdf boolean, br_viewwidth int, "
+    "br_viewheight int, os_name string, os_family string, dvce_ismobile boolean, dvce_screenwidth int, "
+    "dvce_screenheight int"
 )
 
 

@@ -30,7 +30,9 @@ def inputs(spark):
         "ad_group_id string, campaign string",
     )
     peaks = spark.createDataFrame([], "minute timestamp, utm_id string")
-    return inc.Inputs(clicks, adgroups, peaks, spark.createDataFrame([("Germany", "DE")], "country string, iso_code string"))
+    codes = spark.createDataFrame([("Germany", "DE")], "country string, iso_code string")
+    users = spark.createDataFrame([("u", "b", "2"), ("u", "a", "1")], "domain_userid string, login_user_id string, onsite_user_id string")
+    return inc.Inputs(clicks, adgroups, peaks, codes, users, spark.createDataFrame([], "utm_id string, id long"))
 
 
 FIRST = [
@@ -58,7 +60,7 @@ def assert_rebuilt(spark, at, inputs, events):
     assert same(table.select(*KEEP), mapped.select(*KEEP))
     bounds = session_bounds(mapped, events, landing=LANDING)
     prepared = channels.channel_prep(events, inputs.clicks, inputs.adgroup_map)
-    whole = session_facts(bounds, prepared, inputs.tv_peaks, inputs.iso_codes)
+    whole = session_facts(bounds, prepared, inputs.tv_peaks, inputs.iso_codes, inputs.users, inputs.utm_ids)
     assert same(spark.table(at.table("sessions")).drop("berlin_day"), whole)
     stored = spark.table(at.table("channel_prep")).drop("slot")
     assert same(channels.channel_classify(stored), channels.channel_classify(prepared))
