@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -21,7 +20,8 @@ SESSIONS = (
     "session_id string, event_id string, event_fingerprint string, collector_micros bigint, domain_userid string, "
     "session_event_index bigint, is_external boolean"
 )
-_FIELDS = [part.split()[0] for part in EVENT.split(", ")]
+_FIELDS = [part.split()[0] for part in f"{KEY}, {EVENT}".split(", ")]
+_DAY_END = _FIELDS.index("day_end")
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -46,48 +46,61 @@ def sessions_of_day(events: list[tuple]) -> list[tuple]:
     return out
 
 
+def newest_copies(events: Iterable[tuple]) -> dict[tuple, tuple]:
+    """The newest copy of each event, of equally new ones the last to arrive. `events`: EVENT after KEY, as they arrived."""
+    newest: dict[tuple, tuple] = {}
+    for event in events:
+        name, fields = tuple(event[:2]), tuple(event[2:])
+        held = newest.get(name)
+        if held is None or (held[0], held[1] or 0) <= (fields[0], fields[1] or 0):
+            newest[name] = fields
+    return newest
+
+
 class DaySessions(StatefulProcessor):
-    """Holds a user's events, the newest copy of each, until the watermark passes their Berlin day."""
+    """Holds a user's events until the watermark passes the Berlin day of their newest copy.
+
+    Arrivals are appended in one call for each user and batch. A timer at the first open day's end closes all days that the watermark
+    has passed by then, so a user's state is read once for each batch that closes some day, however many days or events it holds.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getMapState("events", KEY, EVENT)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        ends = set()
-        for frame in rows:
-            for row in frame.itertuples(index=False):
-                event = tuple(_plain(getattr(row, f)) for f in _FIELDS)
-                name = (row.event_id, row.event_fingerprint)
-                held = tuple(self.events.getValue(name)) if self.events.containsKey(name) else None
-                if held is None or (held[0], held[1] or 0) <= (event[0], event[1] or 0):
-                    self.events.updateValue(name, event)
-                    ends.add(event[4])
-        for end in ends:
-            self.handle.registerTimer(end)
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        end = expiredTimerInfo.getExpiryTimeInMs()
-        day = [(tuple(k), tuple(v)) for k, v in self.events.iterator() if tuple(v)[4] == end]
-        for name, _ in day:
-            self.events.removeKey(name)
-        if day:
-            columns = ["session_id", "event_id", "event_fingerprint", "collector_micros", "session_event_index", "is_external"]
-            frame = pd.DataFrame(sessions_of_day(day), columns=columns)
-            frame["domain_userid"] = key[0]
-            yield frame[[part.split()[0] for part in SESSIONS.split(", ")]]
+        self.events = handle.getListState("events", f"{KEY}, {EVENT}")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        arrived = [tuple(row[f] for f in _FIELDS) for row in rows]
+        self.events.appendList(arrived)
+        self.handle.registerTimer(min(event[_DAY_END] for event in arrived))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        closed: dict[int, list[tuple]] = {}
+        held = []
+        # another timer of the batch may have emptied the state
+        for name, fields in newest_copies(self.events.get() if self.events.exists() else ()).items():
+            end = fields[_DAY_END - 2]
+            if end <= passed:
+                closed.setdefault(end, []).append((name, fields))
+            else:
+                held.append((*name, *fields))
+        if held:
+            self.events.put(held)
+            self.handle.registerTimer(min(event[_DAY_END] for event in held))
+        else:
+            self.events.clear()
+        for end in sorted(closed):
+            for session, event, fingerprint, micros, position, external in sessions_of_day(closed[end]):
+                yield Row(
+                    session_id=session, event_id=event, event_fingerprint=fingerprint, collector_micros=micros,
+                    domain_userid=key[0], session_event_index=position, is_external=external,
+                )
 
     def close(self) -> None:
         pass
 
 
-def _plain(value):
-    if value is None or value != value:
-        return None
-    return value if isinstance(value, str) else int(value)
-
-
 def exact_sessions(events: DataFrame, lateness: str = "1 day") -> DataFrame:
     """The event -> session map of a stream. A day's sessions come when the watermark has passed its end.
 
@@ -113,7 +126,7 @@ def exact_sessions(events: DataFrame, lateness: str = "1 day") -> DataFrame:
     found = (
         hits.withWatermark("collector_tstamp", lateness)
         .groupBy("domain_userid")
-        .transformWithStateInPandas(DaySessions(), SESSIONS, "Append", "EventTime")
+        .transformWithState(DaySessions(), SESSIONS, "Append", "EventTime")
     )
     return found.select(
         "session_id",
@@ -130,7 +143,7 @@ def write_exact_sessions(events: DataFrame, target: str, checkpoint: str, latene
     """Append the closed days' sessions to a folder, one bounded run over all that is new."""
     conf, key = events.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
     before = conf.get(key)
-    # timers and map state need this store; a query keeps the setting it was started with
+    # timers and list state need this store; a query keeps the setting it was started with
     conf.set(key, _ROCKSDB)
     try:
         return (

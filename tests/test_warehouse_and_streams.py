@@ -2,6 +2,7 @@ import random
 import uuid
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from clickledger.plans.incremental import Store
@@ -9,7 +10,7 @@ from clickledger.plans.sessions import sessionize
 from clickledger.session import shared_dir
 from clickledger.sources import warehouse
 from clickledger.streaming.events import publish_stream, sessionize_stream, timeout_windows, without_copies
-from clickledger.streaming.sessions import write_exact_sessions
+from clickledger.streaming.sessions import DaySessions, write_exact_sessions
 
 from .conftest import EVENT_SCHEMA, make_events, rows, same, values
 
@@ -230,3 +231,46 @@ def test_steps_need_a_shared_folder_off_local_masters(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Far)
+
+
+class CountedState:
+    """A user's list state, timers and the calls that reach them."""
+
+    def __init__(self):
+        self.held, self.timers, self.calls = [], set(), 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def __getattr__(self, name):
+        def call(*values):
+            self.calls += 1
+            if name == "appendList":
+                self.held += values[0]
+            elif name in ("put", "clear"):
+                self.held = list(values[0]) if values else []
+            elif name == "registerTimer":
+                self.timers.add(values[0])
+            return {"get": iter(list(self.held)), "exists": bool(self.held)}.get(name)
+
+        return call
+
+
+def test_calls_to_the_stream_state_do_not_grow_with_events_and_days():
+    def arrival(i, micros, day):
+        return Row(event_id=f"e{i}", event_fingerprint="f", collector_micros=micros, derived_micros=None, domain_sessionid="s",
+                   locale_date=f"d{day}", day_end=day * 1000, entrance_id=None)
+
+    state, job = CountedState(), DaySessions()
+    job.init(state)
+    # 40 days of 10 events; the first event of a day has a newer copy on the next day
+    given = [arrival(day * 10 + i, day * 1000 + i, day) for day in range(1, 41) for i in range(10)]
+    given += [arrival(day * 10, (day + 1) * 1000 - 1, day + 1) for day in range(1, 40)]
+    list(job.handleInputRows(("u",), iter(given), None))
+    now = type("Timers", (), {"getCurrentWatermarkInMs": lambda self: 20_000})()
+    out = list(job.handleExpiredTimer(("u",), now, None))
+    assert state.calls < 10
+    assert len(out) == 199 and len({r["event_id"] for r in out}) == 199
+    # the copies of day 20 lie on day 21, which is open
+    assert {e[0] for e in state.held} == {"e200"} | {f"e{i}" for i in range(210, 410)}
+    assert state.timers == {1000, 21_000}
