@@ -24,7 +24,7 @@ from ..operators.skew import DEFAULT_RULE, HotKeyRule
 from ..session import written
 from ..sources.warehouse import drop_partitions, ensure_table, overwrite_partitions
 from .channels import channel_prep, latest_per_utm
-from .sessions import LANDING, session_bounds, session_facts, sessionize
+from .sessions import session_bounds, session_facts, sessionize
 
 LAND, MAP, SESSIONS, CHANNELS = "events_start", "event_session_map", "sessions", "channels"
 KEY = ["event_id", "event_fingerprint"]
@@ -199,9 +199,11 @@ def load_sessions(spark: SparkSession, store: Store, inputs: Inputs, at: datetim
         return commit(spark, store, SESSIONS, deliveries[-1], [], at or datetime.now())
     mapped = spark.table(store.table("session_map")).filter(on_days(days)).drop("berlin_day")
     events = spark.table(store.table("events")).filter(on_days(days)).drop("berlin_day", "delivery")
-    bounds = session_bounds(mapped, events, landing=LANDING)
+    bounds = session_bounds(mapped, events)
     prepared = channel_prep(events, inputs.clicks, inputs.adgroup_map)
-    facts = session_facts(bounds, prepared, inputs.tv_peaks, inputs.iso_codes, inputs.users, inputs.utm_ids)
+    facts = session_facts(
+        bounds, prepared, inputs.tv_peaks, inputs.iso_codes, inputs.users, inputs.utm_ids, events=events
+    )
     day = F.to_date(berlin_local(F.col("start_collector_tstamp")))
     _replace_days(facts.withColumn("berlin_day", day), store.table("sessions"), days)
     commit(spark, store, SESSIONS, deliveries[-1], days, at or datetime.now())

@@ -121,3 +121,17 @@ def test_returns_with_and_without_path(spark):
     assert first["cost"] == 10.0 * first["n"] and first["n"] == 16
     alone = rows(out.filter("lead_id = 2"))[0]
     assert (alone["utm_id"], alone["session_id"], alone["nmv"]) == ("own", "na", 100.0)
+
+
+def test_landing_pages_looked_up_last_are_those_of_the_bounds(spark):
+    from clickledger.plans import sessions
+    from clickledger.workload import marketing
+    from clickledger.workload.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    # the same rows as with bounds that bring the columns along
+    inputs = [t.step("prepared", marketing.prepared), t.tv_peaks, t.iso_country_codes, t.user_map, t.utm_ids]
+    mapped = t.step("session_map", marketing.session_map)
+    brought = sessions.session_facts(sessions.session_bounds(mapped, t.web_events, landing=sessions.LANDING), *inputs)
+    looked_up = marketing.session_facts(t)
+    assert brought.exceptAll(looked_up).isEmpty() and looked_up.exceptAll(brought).isEmpty()
