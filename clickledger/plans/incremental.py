@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import berlin_local
@@ -108,7 +108,7 @@ def land(rows: DataFrame, store: Store, delivery: int, at: datetime | None = Non
     table = store.table("events")
     arrived = with_day(rows.filter(F.col("collector_tstamp").isNotNull())).withColumn("delivery", F.lit(delivery).cast("long"))
     ensure_table(spark, table, arrived.schema, ["berlin_day", "delivery"])
-    overwrite_partitions(arrived, table)
+    overwrite_partitions(arrived, table, gather=False)
     spark.catalog.refreshTable(table)
     landed = spark.table(table).filter(F.col("delivery") == delivery)
     # a partition column: no more than one row per calendar day
@@ -132,6 +132,7 @@ def touched_days(spark: SparkSession, store: Store, deliveries: list[int], arriv
         .agg(F.collect_set("berlin_day").alias("days"))
         .select(*KEY, "days", _slot(store).alias("slot"), F.lit(last).cast("long").alias("delivery")),
         "arrived-keys",
+        "zstd",
     )
     ensure_table(spark, index, arrived.schema, ["slot", "delivery"])
     schema = "event_id string, event_fingerprint string, last_day date, delivery long"
@@ -149,7 +150,7 @@ def touched_days(spark: SparkSession, store: Store, deliveries: list[int], arriv
         .filter(F.size("all") > 1),
         "copied-keys",
     )
-    overwrite_partitions(arrived, index)
+    overwrite_partitions(arrived, index, gather=False)
     overwrite_partitions(
         copies.select(*KEY, F.array_max("all").alias("last_day"), F.lit(last).cast("long").alias("delivery")), moved
     )
@@ -161,17 +162,20 @@ def touched_days(spark: SparkSession, store: Store, deliveries: list[int], arriv
 def current_events(spark: SparkSession, store: Store, days: list[date]) -> DataFrame:
     """Stored events of some days without those that have a newer copy on a later day."""
     rows = spark.table(store.table("events")).filter(on_days(days)).drop("delivery")
-    last = spark.table(store.table("moved")).groupBy(*KEY).agg(F.max("last_day").alias("last_day"))
+    # written, so that its size is known: where few events have moved, the stored ones are not shuffled to find them
+    last = written(spark.table(store.table("moved")).groupBy(*KEY).agg(F.max("last_day").alias("last_day")), "moved")
     rows = rows.join(last, KEY, "left")
     return rows.filter(F.col("last_day").isNull() | (F.col("berlin_day") == F.col("last_day"))).drop("last_day")
 
 
 def _replace_days(rows: DataFrame, table: str, days: list[date]) -> None:
+    """Replace days by the rows, which are written once and as they lie: a day gets a file from each task that has rows of it."""
     spark = rows.sparkSession
-    rows = written(rows, "days")
     ensure_table(spark, table, rows.schema, ["berlin_day"])
-    overwrite_partitions(rows, table)
-    filled = {r["berlin_day"] for r in rows.select("berlin_day").distinct().collect()}
+    seen = Observation()
+    # no more than one value per calendar day
+    overwrite_partitions(rows.observe(seen, F.collect_set("berlin_day").alias("days")), table, gather=False)
+    filled = set(seen.get["days"])
     drop_partitions(spark, table, [{"berlin_day": d} for d in days if d not in filled])
     spark.catalog.refreshTable(table)
 
@@ -224,12 +228,13 @@ def load_channels(spark: SparkSession, store: Store, inputs: Inputs, at: datetim
     )
     slot = F.pmod(F.xxhash64("utm_id"), F.lit(store.slots)).cast("int")
     stage = written(
-        latest_per_utm(channel_prep(events, inputs.clicks, inputs.adgroup_map)).withColumn("slot", slot), "channels"
+        latest_per_utm(channel_prep(events, inputs.clicks, inputs.adgroup_map)).withColumn("slot", slot), "channels", "zstd"
     )
     ensure_table(spark, table, stage.schema, ["slot"])
     slots = [r["slot"] for r in stage.select("slot").distinct().collect()]
     known = spark.table(table).filter(F.col("slot").isin(slots))
-    overwrite_partitions(written(latest_per_utm(known.unionByName(stage)), "channels"), table)
+    # the known rows are read from the partitions that are replaced, which stay in place until all rows are written
+    overwrite_partitions(latest_per_utm(known.unionByName(stage)), table, gather=False)
     spark.catalog.refreshTable(table)
     commit(spark, store, CHANNELS, deliveries[-1], days, at or datetime.now())
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickledger.plans import channels, facts
 from clickledger.plans import incremental as inc
-from clickledger.plans.sessions import LANDING, session_bounds, session_facts, sessionize
+from clickledger.plans.sessions import DETAILS, LANDING, session_bounds, session_facts, sessionize
 
 from .conftest import make_events, rows, same, ts, values
 
@@ -209,3 +209,24 @@ def test_the_report_reads_the_days_it_asks_for(spark):
     assert sorted(values(report, "date", "date"))[0] == date(2023, 12, 3) and report.count() == 3
     scan = next(line for line in plan(report).splitlines() if "PartitionFilters" in line)
     assert "dynamicpruning" in scan.split("PartitionFilters:")[1]
+
+
+def test_days_are_written_once_and_channels_replace_themselves(spark, inputs, monkeypatch):
+    at, aside = store(), []
+    monkeypatch.setattr(inc, "written", lambda df, name, *rest, kept=inc.written: aside.append(name) or kept(df, name, *rest))
+    for number, delivery in enumerate((FIRST, LATE, MORE)):
+        inc.land(make_events(spark, *delivery), at, number)
+        inc.run(spark, at, inputs)
+    assert "days" not in aside and aside.count("channels") == 3
+    assert_rebuilt(spark, at, inputs, make_events(spark, *FIRST, *LATE, *MORE))
+
+
+def test_facts_without_details_are_the_same_otherwise(spark, inputs):
+    # a second row of the first event differs in what is compared first and last
+    events = make_events(spark, *FIRST, *LATE, {**FIRST[0], "page_url": "https://a.com/", "useragent": "z"}, {**FIRST[1], "useragent": "a"})
+    bounds = session_bounds(sessionize(events), events)
+    prepared = channels.channel_prep(events, inputs.clicks, inputs.adgroup_map)
+    tables = (inputs.tv_peaks, inputs.iso_codes, inputs.users, inputs.utm_ids)
+    whole = session_facts(bounds, prepared, *tables, events=events)
+    short = session_facts(bounds, prepared, *tables, events=events, details=False)
+    assert same(whole.drop(*DETAILS), short)

@@ -129,3 +129,28 @@ def test_bounds(spark):
         sessionize(events), events, F.lit("2024-01-10 10:00:00").cast("timestamp"), F.lit("2024-01-10 11:00:00").cast("timestamp")
     )
     assert [r["events"] for r in rows(cut)] == [2]
+
+
+def test_copies_of_several_users_and_days(spark):
+    def copy(time, user, **fields):
+        return {"at": f"2024-01-{time}", "event_id": "x", "domain_userid": user, **fields}
+
+    events = make_events(
+        spark,
+        # one time, two users: the one for whom it comes later among all events has it
+        {"at": "2024-01-09 08:00", "domain_userid": "a"},
+        {"at": "2024-01-09 08:01", "domain_userid": "a"},
+        *[copy("10 10:00", user) for user in "aab"],
+        {"at": "2024-01-10 10:01", "domain_userid": "b"},
+        # one user, two days
+        *[{"at": f"2024-01-{day} 09:00", "event_id": "y", "domain_userid": "c"} for day in (11, 12, 12)],
+    )
+    got = sessionize(events)
+    assert same(got, sessionize(events, rule=TINY))
+    kept = {r["event_id"]: (r["domain_userid"], r["derived_ranking"]) for r in rows(got)}
+    assert kept["x"] == ("a", 4) and kept["y"] == ("c", 3) and len(kept) == 5
+
+
+def test_rows_are_not_sent_by_event(spark):
+    plan = sessionize(busy_events(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(domain_userid" in plan and "hashpartitioning(event_id" not in plan
