@@ -135,3 +135,19 @@ def test_landing_pages_looked_up_last_are_those_of_the_bounds(spark):
     brought = sessions.session_facts(sessions.session_bounds(mapped, t.web_events, landing=sessions.LANDING), *inputs)
     looked_up = marketing.session_facts(t)
     assert brought.exceptAll(looked_up).isEmpty() and looked_up.exceptAll(brought).isEmpty()
+
+
+def test_returns_find_their_conversions_once(spark, tmp_path, monkeypatch):
+    from clickledger.workload import marketing
+    from clickledger.workload.registry import Tables
+
+    kinds = ["view", "purchase", "click", "signup"]
+    given = [(i, ts(f"2024-01-1{i % 5} 10:{i:02d}:00"), i % 3, kinds[i % 4], float(i), f'{{"k": {i}}}') for i in range(40)]
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(given, schema).write.parquet(f"{tmp_path}/events.parquet")
+    calls, onsite = [], marketing.onsite
+    monkeypatch.setattr(marketing, "onsite", lambda t: calls.append(t) or onsite(t))
+    t = Tables(spark, str(tmp_path))
+    assert marketing.attributed(t).count() > 0
+    assert len(calls) == 1
+    assert not {"useragent", "landing_page_url"} & set(marketing.visits(t).columns)
