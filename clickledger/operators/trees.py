@@ -1,21 +1,31 @@
-"""Classification trees grown level by level on counts, and cost-complexity pruning.
+"""Classification trees grown on counts, and cost-complexity pruning.
 
-All trees of a search grow at once: a row stands once for each tree, with the node it has come to. A level counts
-(tree, node, feature, value), finds the best split of every node from running totals over the values, and sends the rows of split
-nodes on to their children. Splits are exact: every value is a candidate, as many as there are. What is gathered is one row for
-each node that is split.
+All trees of a search grow at once, a row standing once for each tree that learns from it, with the node it has come to. Splits are
+exact: every value is a candidate, as many as there are. Large nodes are split level by level. A level counts (tree, node, feature, bin)
+over bins of about equal size; between two bins the gain is known, within a bin it is bounded, and only bins that may hold the best split
+are counted by value. A node of few rows meets in one task, which splits it to its end, so neither levels nor shuffles grow with the
+depth of the tree. What is gathered is one row for each node that is split.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
 from .quantiles import running_totals
 
+# A node of up to SMALL rows is split to its end in one task; bins of a feature.
+SMALL = 20_000
+BINS = 256
+
+_SPLIT = "tree int, node bigint, feature int, cut double, gain double, n_upto bigint, positive_upto bigint"
+
 
 @dataclass(frozen=True)
 class Growth:
@@ -77,99 +87,271 @@ class Tree:
 
 
 def _purity(positive: Column, n: Column) -> Column:
-    """Falls as the Gini impurity of n rows rises."""
-    return (positive * positive + (n - positive) * (n - positive)) / n
+    """Falls as the Gini impurity of n rows rises; 0 without rows."""
+    return (positive * positive + (n - positive) * (n - positive)) / F.greatest(n, F.lit(1))
+
 
+def _gain(left_positive: Column, left: Column, positive: Column, n: Column) -> Column:
+    return _purity(left_positive, left) + _purity(positive - left_positive, n - left) - _purity(positive, n)
 
-def grow(rows: DataFrame, trees: list[Growth], max_depth: int = 30) -> tuple[list[Tree], DataFrame | None]:
+
+def grow(
+    rows: DataFrame, trees: list[Growth], max_depth: int = 30, small: int = SMALL, bins: int = BINS
+) -> tuple[list[Tree], DataFrame]:
     """The trees, and rows of tree, node, n, positive: counts of the held-out rows by the leaf they come to.
 
-    `rows`: fold, label (0 or 1), x (array of doubles). The best split has the largest Gini gain; ties go to the first feature, then
-    to the smallest value. A cut lies halfway to the next value.
+    `rows`: fold, label (0 or 1), x (array of doubles); they are read several times. The best split has the largest Gini gain; ties go
+    to the first feature, then to the smallest value. A cut lies halfway to the next value. How many rows are `small`, and how many
+    `bins` there are, never changes a tree.
     """
     spark = rows.sparkSession
     grown = [Tree() for _ in trees]
-    held = F.array(*[F.lit(-1 if t.held_out is None else t.held_out) for t in trees])
-    every = F.posexplode(held).alias("tree", "_held")
-    here = rows.select("fold", "label", "x", every).select(
-        "tree", F.lit(1).cast("long").alias("node"), (F.col("fold") != F.col("_held")).alias("learns"), "label", "x"
+    folds = rows.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive"), F.max(F.size("x")).alias("width")
     )
-    here = written(here, "tree-rows")
-    roots = here.filter("learns").groupBy("tree").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive"))
-    for r in roots.collect():
-        grown[r["tree"]].nodes[1] = Node(r["n"], r["positive"])
-    buckets = F.array(*[F.lit(t.min_bucket) for t in trees])
-    reached = []
+    folds = [r for r in folds.collect() if r["fold"] is not None]
+    for tree, growth in zip(grown, trees):
+        learned = [r for r in folds if r["fold"] != _held(growth)]
+        if learned:
+            tree.nodes[1] = Node(sum(r["n"] for r in learned), sum(r["positive"] for r in learned))
     open_nodes = {(k, 1) for k, tree in enumerate(grown) if tree.nodes}
-    for _ in range(max_depth):
+    if any(tree.nodes[1].n > small for tree in grown if tree.nodes):
+        source = _with_bins(rows, max(r["width"] for r in folds), bins)
+    else:
+        source = rows.withColumn("bins", F.lit(None).cast("array<int>"))
+    learns = F.posexplode(F.array(*[F.lit(_held(t)) for t in trees])).alias("tree", "_held")
+    here = (
+        source.select("fold", "label", "x", "bins", learns)
+        .filter("fold != _held")
+        .select("tree", F.lit(1).cast("long").alias("node"), "label", "x", "bins")
+    )
+    buckets = F.array(*[F.lit(t.min_bucket) for t in trees])
+    aside = []
+    for depth in range(max_depth):
         open_nodes = {
             (k, i)
             for k, i in open_nodes
             if (node := grown[k].nodes[i]).n >= max(trees[k].min_split, 2) and 0 < node.positive < node.n
         }
-        found = _best_splits(here, sorted(open_nodes), buckets) if open_nodes else []
-        for k, i, feature, cut, gain, left, left_positive in found:
-            node = grown[k].nodes[i]
-            node.feature, node.cut, node.gain = feature, cut, gain
-            grown[k].nodes[2 * i] = Node(left, left_positive)
-            grown[k].nodes[2 * i + 1] = Node(node.n - left, node.positive - left_positive)
+        few = [(k, i) for k, i in open_nodes if grown[k].nodes[i].n <= small]
+        many = sorted(open_nodes - set(few))
+        if few:
+            # their rows stay where they lie until all are split
+            asked = spark.createDataFrame(sorted(few), "tree int, node bigint")
+            aside.append(here.join(F.broadcast(asked), ["tree", "node"], "left_semi").select("tree", "node", "label", "x"))
+        found = _best_splits(here, many, buckets) if many else []
+        _split(grown, found)
         open_nodes = {(k, child) for k, i, *_ in found for child in (2 * i, 2 * i + 1)}
-        splits = spark.createDataFrame([f[:4] for f in found], "tree int, node bigint, feature int, cut double")
-        moved = here.join(F.broadcast(splits), ["tree", "node"], "left")
-        stopped = moved.filter(F.col("feature").isNull() & ~F.col("learns"))
-        reached.append(_leaf_counts(stopped))
-        if not found:
-            here = None
+        if not found or depth == max_depth - 1:
             break
+        splits = spark.createDataFrame([f[:4] for f in found], "tree int, node bigint, feature int, cut double")
         child = F.col("node") * 2 + (F.get("x", "feature") > F.col("cut")).cast("long")
-        here = written(
-            moved.filter(F.col("feature").isNotNull()).select("tree", child.alias("node"), "learns", "label", "x"),
-            "tree-rows",
-        )
-    if here is not None:
-        reached.append(_leaf_counts(here.filter(~F.col("learns"))))
-    counts = reached[0]
-    for part in reached[1:]:
-        counts = counts.unionByName(part)
-    return grown, counts
+        moved = here.join(F.broadcast(splits), ["tree", "node"])
+        here = written(moved.select("tree", child.alias("node"), "label", "x", "bins"), "tree-rows")
+    if aside:
+        few_rows = aside[0]
+        for part in aside[1:]:
+            few_rows = few_rows.unionByName(part)
+        split = _splitter(trees, max_depth)
+        _split(grown, [tuple(r) for r in few_rows.groupBy("tree", "node").applyInArrow(split, _SPLIT).collect()])
+    return grown, _leaf_counts(rows, trees, grown)
 
 
-def _leaf_counts(rows: DataFrame) -> DataFrame:
-    return written(
-        rows.groupBy("tree", "node").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("positive")
-        ),
-        "leaf-counts",
+def _held(growth: Growth) -> int:
+    return -1 if growth.held_out is None else growth.held_out
+
+
+def _split(grown: list[Tree], found: list[tuple]) -> None:
+    """Enter splits and the nodes they make; a node comes before its children."""
+    for k, i, feature, cut, gain, left, left_positive in sorted(found, key=lambda f: f[:2]):
+        node = grown[k].nodes[i]
+        node.feature, node.cut, node.gain = feature, cut, gain
+        grown[k].nodes[2 * i] = Node(left, left_positive)
+        grown[k].nodes[2 * i + 1] = Node(node.n - left, node.positive - left_positive)
+
+
+def _matrix(x: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Arrays of one length as the rows of a matrix; there is at least one."""
+    if isinstance(x, pa.ChunkedArray):
+        x = x.combine_chunks()
+    return x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+
+
+def _with_bins(rows: DataFrame, width: int, bins: int) -> DataFrame:
+    """Rows with the bin of each value, a number that never falls when the value rises."""
+    shares = [i / bins for i in range(1, bins)]
+    quantiles = [F.percentile_approx(F.get("x", F.lit(i)), shares, 10 * bins).alias(f"q{i}") for i in range(width)]
+    edges = [np.unique(np.array(q, dtype=float)) for q in rows.agg(*quantiles).first()]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filter(len, batches):
+            x = _matrix(batch["x"])
+            found = np.stack([np.searchsorted(e, x[:, i]) for i, e in enumerate(edges)], axis=1).astype(np.int32)
+            offsets = np.arange(len(x) + 1, dtype=np.int32) * width
+            placed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, placed], names=[*batch.schema.names, "bins"])
+
+    kinds = dict(rows.dtypes)
+    binned = rows.select("fold", "label", "x").mapInArrow(
+        place, f"fold {kinds['fold']}, label {kinds['label']}, x array<double>, bins array<int>"
     )
+    return written(binned, "tree-rows")
 
 
 def _best_splits(rows: DataFrame, nodes: list[tuple[int, int]], buckets: Column) -> list[tuple]:
     spark = rows.sparkSession
     asked = spark.createDataFrame(nodes, "tree int, node bigint")
-    counts = (
-        rows.filter("learns")
-        .join(F.broadcast(asked), ["tree", "node"], "left_semi")
-        .select("tree", "node", "label", F.posexplode("x").alias("feature", "value"))
-        .groupBy("tree", "node", "feature", "value")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("positive"))
+    cells = (
+        rows.join(F.broadcast(asked), ["tree", "node"], "left_semi")
+        .select("tree", "node", "label", "x", F.posexplode("bins").alias("feature", "bin"))
+        .select("tree", "node", "label", "feature", "bin", F.get("x", "feature").alias("value"))
     )
-    group = ["tree", "node", "feature"]
-    placed = running_totals(counts, group, "value", ["n", "positive"], following="next")
-    left, left_positive, n, positive = (F.col(c) for c in ("n_upto", "positive_upto", "n_all", "positive_all"))
+    totals = [F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("positive")]
+    node, group = ["tree", "node"], ["tree", "node", "feature"]
+    counts = cells.groupBy(*group, "bin").agg(*totals, F.min("value").alias("least"), F.max("value").alias("most"))
+    # a window holds the bins of one feature
+    whole = Window.partitionBy(*group)
+    in_order = whole.orderBy("bin")
+    upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.select(
+        *counts.columns,
+        *[F.sum(t).over(upto).alias(f"{t}_upto") for t in ("n", "positive")],
+        *[F.sum(t).over(whole).alias(f"{t}_all") for t in ("n", "positive")],
+        F.lead("least").over(in_order).alias("next"),
+    )
+    placed = written(placed, "tree-bins")
     bucket = F.get(buckets, F.col("tree"))
-    gain = _purity(left_positive, left) + _purity(positive - left_positive, n - left) - _purity(positive, n)
+
+    def splits(at: DataFrame) -> DataFrame:
+        left, left_positive, n, positive = (F.col(c) for c in ("n_upto", "positive_upto", "n_all", "positive_all"))
+        return (
+            at.filter(F.col("next").isNotNull() & (left >= bucket) & (n - left >= bucket))
+            # rounded, so that equal splits tie
+            .withColumn("gain", F.round(_gain(left_positive, left, positive, n), 9))
+            .filter("gain > 0")
+            .withColumn("cut", (F.col("value") + F.col("next")) / 2)
+            .select(*group, "value", "cut", "gain", "n_upto", "positive_upto")
+        )
+
+    between = splits(placed.withColumn("value", F.col("most")))
+    known = between.groupBy(*node).agg(F.max("gain").alias("_known"))
+    n, positive, before = F.col("n_all"), F.col("positive_all"), F.col("n_upto") - F.col("n")
+    # the gain is convex in the two counts on the left, so within a bin it is at most that of a corner
+    positive_before, ones = F.col("positive_upto") - F.col("positive"), F.col("positive")
+    zeros = F.col("n") - ones
+    corners = [
+        _gain(positive_before + p, before + p + q, positive, n)
+        for p in (F.lit(0), ones)
+        for q in (F.lit(0), zeros)
+    ]
+    # what the sums of doubles may lose
+    most = F.greatest(*corners) + 1e-6 + n * 1e-12
+    hopeful = (
+        placed.filter((F.col("least") < F.col("most")) & (F.col("n_upto") > bucket) & (n - before > bucket))
+        .withColumn("_most", most)
+        .join(F.broadcast(known), node, "left")
+        .filter(F.col("_known").isNull() | (F.col("_most") >= F.col("_known")))
+        .select(*group, "bin", "n_all", "positive_all", before.alias("_before"), positive_before.alias("_positive_before"))
+    )
+    # written for its true size, by which it is sent to all tasks or not
+    hopeful = written(hopeful, "tree-bins")
+    keys = [*group, "bin"]
+    values = cells.join(hopeful.select(*keys), keys, "left_semi").groupBy(*keys, "value").agg(*totals)
+    inside = running_totals(values, keys, "value", ["n", "positive"], following="next").drop("n_all", "positive_all")
+    inside = inside.join(hopeful, keys).withColumns(
+        {"n_upto": F.col("n_upto") + F.col("_before"), "positive_upto": F.col("positive_upto") + F.col("_positive_before")}
+    )
     best = (
-        placed.filter((left < n) & (left >= bucket) & (n - left >= bucket))
-        # rounded, so that equal splits tie
-        .withColumn("gain", F.round(gain, 9))
-        .filter("gain > 0")
-        .withColumn("cut", (F.col("value") + F.col("next")) / 2)
-        .groupBy("tree", "node")
+        between.unionByName(splits(inside))
+        .groupBy(*node)
         .agg(
             F.min_by(
                 F.struct("feature", "cut", "gain", "n_upto", "positive_upto"), F.struct(-F.col("gain"), "feature", "value")
             ).alias("b")
         )
-        .select("tree", "node", "b.*")
+        .select(*node, "b.*")
     )
     return [tuple(r) for r in best.collect()]
+
+
+def _splitter(trees: list[Growth], max_depth: int):
+    """A function that splits the rows of one small node to their end."""
+
+    def purity(positive: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return (positive * positive + (n - positive) * (n - positive)) / n
+
+    def best(x: np.ndarray, y: np.ndarray, min_bucket: int) -> tuple | None:
+        n, positive = len(y), int(y.sum())
+        order = np.argsort(x, axis=0, kind="stable")
+        value = np.take_along_axis(x, order, axis=0)
+        left = np.arange(1, n, dtype=np.int64)[:, None]
+        left_positive = np.cumsum(y[order], axis=0)[:-1]
+        gain = np.round(purity(left_positive, left) + purity(positive - left_positive, n - left) - purity(positive, n), 9)
+        gain[(value[1:] <= value[:-1]) | (left < min_bucket) | (n - left < min_bucket)] = 0.0
+        # by feature, then by value: the first of the largest
+        feature, row = divmod(int(np.argmax(gain.T)), n - 1)
+        if not gain[row, feature] > 0:
+            return None
+        cut = (value[row, feature] + value[row + 1, feature]) / 2
+        return feature, float(cut), float(gain[row, feature]), row + 1, int(left_positive[row, feature])
+
+    def split(table: pa.Table) -> pa.Table:
+        tree, root = table["tree"][0].as_py(), table["node"][0].as_py()
+        growth = trees[tree]
+        found = []
+        waiting = [(root, _matrix(table["x"]), table["label"].to_numpy().astype(np.int64))]
+        while waiting:
+            i, x, y = waiting.pop()
+            if len(y) < max(growth.min_split, 2) or i >= 2**max_depth or not 0 < y.sum() < len(y):
+                continue
+            if at := best(x, y, growth.min_bucket):
+                found.append((tree, i, *at))
+                over = x[:, at[0]] > at[1]
+                waiting += [(2 * i, x[~over], y[~over]), (2 * i + 1, x[over], y[over])]
+        names = [part.split()[0] for part in _SPLIT.split(", ")]
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
+        columns = list(zip(*found)) or [()] * len(names)
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return split
+
+
+def _leaf_counts(rows: DataFrame, trees: list[Growth], grown: list[Tree]) -> DataFrame:
+    """Held-out rows by tree and leaf; a row finds its leaf on its way down from the root."""
+    spark = rows.sparkSession
+    judged = [k for k, t in enumerate(trees) if t.held_out is not None]
+    if not judged:
+        return spark.createDataFrame([], "tree int, node bigint, n bigint, positive bigint")
+    ways = {}
+    for k in judged:
+        nodes = sorted((i, n.feature, n.cut) for i, n in grown[k].nodes.items() if n.feature is not None)
+        ways[k] = tuple(np.array(c, kind) for c, kind in zip(zip(*nodes), (np.int64, np.int64, float)))
+    shared = spark.sparkContext.broadcast(ways)
+
+    def leaves(x: np.ndarray, way: tuple) -> np.ndarray:
+        node = np.ones(len(x), np.int64)
+        at = np.arange(len(x)) if way else np.arange(0)
+        while len(at):
+            numbers, features, cuts = way
+            place = np.minimum(np.searchsorted(numbers, node[at]), len(numbers) - 1)
+            split = numbers[place] == node[at]
+            at, place = at[split], place[split]
+            node[at] = 2 * node[at] + (x[at, features[place]] > cuts[place])
+        return node
+
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filter(len, batches):
+            x, tree = _matrix(batch["x"]), batch["tree"].to_numpy()
+            node = np.ones(len(x), np.int64)
+            for k in np.unique(tree).tolist():
+                node[tree == k] = leaves(x[tree == k], shared.value[k])
+            yield pa.RecordBatch.from_arrays([batch["tree"], pa.array(node), batch["label"]], names=["tree", "node", "label"])
+
+    held = F.inline(F.array(*[F.struct(F.lit(k).alias("tree"), F.lit(trees[k].held_out).alias("_held")) for k in judged]))
+    met = rows.select("fold", "label", "x", held).filter("fold = _held").select("tree", F.col("label").cast("long").alias("label"), "x")
+    return written(
+        met.mapInArrow(descend, "tree int, node bigint, label bigint")
+        .groupBy("tree", "node")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive")),
+        "leaf-counts",
+    )

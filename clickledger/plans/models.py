@@ -185,7 +185,7 @@ def tree_scores(table: DataFrame, columns: list[str], grid: list[Setting], folds
     one, so counts by grown leaf answer for all of them.
     """
     spark = table.sparkSession
-    rows = _rows_of(with_folds(table.select("opportunity_id", "label", *columns), folds), columns)
+    rows = written(_rows_of(with_folds(table.select("opportunity_id", "label", *columns), folds), columns), "folds")
     shapes = sorted({(s.min_split, s.min_bucket) for s in grid})
     growths = [Growth(fold, *shape) for shape in shapes for fold in range(folds)]
     trees, counts = grow(rows, growths)

@@ -206,3 +206,40 @@ def test_tree_search_marks_the_best(spark):
     assert [r["setting"] for r in judged] == [best[0]["setting"]] * 3 and sum(r["rows"] for r in judged) == 240
     kept = rows(models.tree_importance(df, ["a", "b", "c"], models.Setting(20, 5, 0.02)), "feature")
     assert kept[0]["importance"] > 0 and sum(r["splits"] for r in kept) >= 1
+
+
+def test_large_nodes_grow_as_by_plain_code(spark):
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(400, 4))
+    x[:, 1], x[:, 2], x[:, 3] = np.round(x[:, 1], 1), np.where(x[:, 2] < 0.8, 0.0, x[:, 2]), 1.0
+    y = (draw.random(400) < np.where((x[:, 0] > 0.3) ^ (x[:, 1] > 0), 0.8, 0.2)).astype(int)
+    fold = np.arange(400) % 3
+    df = spark.createDataFrame([(int(f), int(v), row.tolist()) for f, v, row in zip(fold, y, x)], "fold int, label int, x array<double>")
+    growths = [Growth(None, 20, 5), Growth(1, 10, 1)]
+    # bins that hold several values, nodes above and below `small`, and an end before the last split
+    for small, bins, depth in ((130, 7, 30), (0, 3, 3)):
+        trees, counts = grow(df, growths, depth, small, bins)
+        for k, (tree, g) in enumerate(zip(trees, growths)):
+            learned = np.full(400, True) if g.held_out is None else fold != g.held_out
+            want = plain_tree(x[learned], y[learned], g.min_split, g.min_bucket)
+            assert len(want) > 30 and any(i >= 2 ** (depth + 1) for i in want) == (depth == 3)
+            want = {
+                i: node if i < 2**depth else Node(node.n, node.positive) for i, node in want.items() if i < 2 ** (depth + 1)
+            }
+            assert tree.nodes == want
+            leaves = [(leaf_of(want, row), v) for row, v in zip(x[~learned], y[~learned])]
+            got = {r["node"]: (r["n"], r["positive"]) for r in counts.filter(F.col("tree") == k).collect()}
+            assert got == {e: (sum(a == e for a, _ in leaves), sum(v for a, v in leaves if a == e)) for e, _ in leaves}
+
+
+def test_jobs_of_a_tree_do_not_grow_with_its_depth(spark):
+    """A chain of splits: each takes the next twelve rows off."""
+    made = [(str(i), i // 12 % 2, float(i)) for i in range(360)]
+    df = spark.createDataFrame(made, "opportunity_id string, label int, a double")
+    spark.sparkContext.setJobGroup("tree", "tree")
+    try:
+        (kept,) = rows(models.tree_importance(df, ["a"], models.Setting(2, 1, 0.0)))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert kept["splits"] == 29
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("tree")) < 12
