@@ -1,15 +1,19 @@
-"""Near duplicates by SimHash fingerprints, found exactly with vantage-point trees.
+"""Near duplicates by SimHash fingerprints, found exactly by parts of their bits and with vantage-point trees.
 
 A fingerprint bit is set where more than half of the hashes of a text's shingles have it. Two documents are
 linked where their fingerprints differ in few bits; linked documents form components.
 
-Equal fingerprints are one point first. A tree fitted on a bounded sample of points cuts all of them into
-shards: a node parts points by their distance to a vantage point. Two points that are at most `radius`
+Equal fingerprints are one point first. The bits are cut into one part more than `radius`: two points at most `radius` apart
+agree on all bits of some part, so the points that agree on a part are a shard. Points without near ones lie anywhere, at nearly the same
+distance from each other, so no distance parts them, but few of them share a shard, and a shard of many is parted again by the bits in
+which it differs.
+
+Dense points, which agree on most parts, are parted by their distance to a vantage point. Two points that are at most `radius`
 apart and fall on different sides are, by the triangle inequality, within `radius` of the cut, so it is enough that
-points just inside the cut go to the outer side too; then some shard holds both. Within a shard the same cuts go
-on in memory until few points are left, which are compared by blocks. Shards and blocks give spanning links only, never
-all pairs of a dense group. A shard that stays too large (points so dense that no cut parts them) is linked to some of its points
-first; then only points outside its largest component meet the pieces of the shard.
+points just inside the cut go to the outer side too; then some side holds both. Shards too large for one task are cut so by a tree fitted
+on a bounded sample of their points; within a shard the cuts go on in memory until few points are left, which are compared by blocks.
+Shards and blocks give spanning links only, never all pairs of a dense group. A shard that stays too large (points so dense that no
+cut parts them) is linked to some of its points first; then only points outside its largest component meet the pieces of the shard.
 """
 
 from __future__ import annotations
@@ -27,14 +31,16 @@ from .common import batch_limits, batches, raw_texts, step
 from .components import components
 
 _SEED = 42
+# points compared by block; points that agree on a part and are compared in place
 _LEAF = 512
+_FEW = 64
 
 
 @dataclass(frozen=True)
 class Shards:
-    """`sample`: points that the tree is fitted on, at most; `leaf`: points of the sample in a shard, at most, also where
-    the sample is the whole table; `most`: points that one task takes at once; `centers`: points of a larger shard that all
-    its points are compared with first."""
+    """`most`: points that one task takes at once; `sample`: points of larger shards that a tree is fitted on, at most; `leaf`: points
+    of the sample in a shard of the tree, at most, also where the sample is the whole table; `centers`: points of a shard that stays too
+    large that all its points are compared with first."""
 
     sample: int = 4096
     leaf: int = 64
@@ -186,6 +192,44 @@ def _dense(points: np.ndarray, some: np.ndarray, radius: int) -> list[tuple[int,
     return out
 
 
+def masks(bits: list[int], radius: int) -> list[int]:
+    """`radius` + 1 parts of the bits: points that differ in at most `radius` of them agree on all bits of a part."""
+    edges = [len(bits) * i // (radius + 1) for i in range(radius + 2)]
+    return [sum(1 << b for b in bits[low:high]) for low, high in zip(edges, edges[1:])]
+
+
+def agreeing(points: np.ndarray, some: np.ndarray, radius: int) -> list[np.ndarray] | None:
+    """Groups of `some` that hold every pair at most `radius` apart, or None where they are not far less work than all.
+
+    A group agrees on a part of the bits in which the points differ. Groups of few points are left out unless some pair is near.
+    """
+    mine = points[some]
+    differ = int(np.bitwise_or.reduce(mine ^ mine[0]))
+    parts = []
+    work = 0.0
+    for mask in masks([b for b in range(64) if differ >> b & 1], radius):
+        key = mine & np.uint64(mask)
+        order = np.argsort(key)
+        starts = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
+        sizes = np.diff(np.r_[starts, len(some)])
+        work += float((sizes.astype(float) ** 2).sum())
+        parts.append((order, starts, sizes))
+    if work > len(some) ** 2 / 32:
+        return None
+    out = []
+    for order, starts, sizes in parts:
+        ends, of = np.repeat(starts + sizes, sizes), np.repeat(np.arange(len(starts)), sizes)
+        met = sizes > _FEW
+        at, line = np.flatnonzero(~met[of]), mine[order]
+        for ahead in range(1, _FEW):
+            at = at[at + ahead < ends[at]]
+            if not len(at):
+                break
+            met[of[at[apart(line[at], line[at + ahead]) <= radius]]] = True
+        out += [some[order[starts[k] : starts[k] + sizes[k]]] for k in np.flatnonzero(met)]
+    return out
+
+
 def links_among(points: np.ndarray, radius: int, seed: int = 0) -> list[tuple[int, int]]:
     """Links, as places, that join all points at most `radius` apart into their components."""
     draw, out = np.random.default_rng(seed), []
@@ -195,6 +239,10 @@ def links_among(points: np.ndarray, radius: int, seed: int = 0) -> list[tuple[in
         if len(some) <= _LEAF:
             out += _block(points, some, radius)
             continue
+        groups = agreeing(points, some, radius)
+        if groups is not None:
+            waiting += groups
+            continue
         found = best_cut(points[some], radius, draw)
         if found is None:
             out += _dense(points, some, radius)
@@ -294,40 +342,63 @@ def large_shard_links(placed: DataFrame, sizes: DataFrame, radius: int, how: Sha
 
 def links(points: DataFrame, radius: int, how: Shards) -> DataFrame:
     """Links (a, b) that join all points (distinct 64-bit numbers) at most `radius` bits apart."""
-    rows = points.orderBy(F.xxhash64("point", F.lit(how.seed))).limit(how.sample).toArrow()
-    sample = _points(rows.column("point").combine_chunks()) if len(rows) else np.zeros(0, np.uint64)
-    tree = Tree.fit(sample, radius, how.leaf, how.seed)
-
-    def scatter(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (column,) in batches(frames, ["point"]):
-            mine = _points(column)
-            who, where = tree.place(mine, radius)
-            yield pa.RecordBatch.from_arrays([_signed(mine[who]), pa.array(where.astype(np.int32))], ["point", "shard"])
-
-    placed = step(points.mapInArrow(scatter, "point bigint, shard int"), "shards")
-    sizes = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-    large = step(sizes.filter(F.col("n") > how.most), "large")
-    # shards are small in bytes, not in work, so adaptive execution must not put many into one task
-    ordinary = (
-        placed.join(large.select("shard"), "shard", "left_anti")
-        .repartition(max(tree.shards, 1), "shard")
-        .groupBy("shard")
-        .agg(F.collect_list("point").alias("points"))
-        .select("points")
-    )
+    parts = [m - (1 << 64) if m >> 63 else m for m in masks(list(range(64)), radius)]
+    shards = F.array(*[F.xxhash64(F.lit(k), F.col("point").bitwiseAND(F.lit(m))) for k, m in enumerate(parts)])
+    placed = step(points.select("point", F.explode(shards).alias("shard")), "shards")
+
+    def too_large(rows: DataFrame) -> DataFrame:
+        sizes = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+        return step(sizes.filter(F.col("n") > how.most), "large")
+
+    def inside(rows: DataFrame) -> DataFrame:
+        # shards are small in bytes, not in work, so adaptive execution must not put many into one task
+        tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+        return (
+            rows.repartition(tasks, "shard")
+            .groupBy("shard")
+            .agg(F.collect_list("point").alias("points"))
+            .filter(F.size("points") > 1)
+            .select("points")
+            .mapInArrow(within, "a bigint, b bigint")
+        )
 
     def within(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lists,) in batches(frames, ["points"]):
             for some in lists:
                 mine = _points(some.values)
-                yield _links(links_among(mine, radius), mine, mine)
-
-    found = ordinary.mapInArrow(within, "a bigint, b bigint")
-    if large.limit(1).count():
-        found = found.unionByName(large_shard_links(placed, large, radius, how))
+                if near := links_among(mine, radius):
+                    yield _links(near, mine, mine)
+
+    large = too_large(placed)
+    if not large.limit(1).count():
+        return inside(placed)
+    found = inside(placed.join(large.select("shard"), "shard", "left_anti"))
+    cut = cut_by_distance(placed.join(large.select("shard"), "shard"), radius, how)
+    larger = too_large(cut)
+    found = found.unionByName(inside(cut.join(larger.select("shard"), "shard", "left_anti")))
+    if larger.limit(1).count():
+        found = found.unionByName(large_shard_links(cut, larger, radius, how))
     return found
 
 
+def cut_by_distance(placed: DataFrame, radius: int, how: Shards) -> DataFrame:
+    """Shards (point, shard), each cut into the shards of a tree."""
+    points = placed.select("point").distinct()
+    rows = points.orderBy(F.xxhash64("point", F.lit(how.seed))).limit(how.sample).toArrow()
+    tree = Tree.fit(_points(rows.column("point").combine_chunks()), radius, how.leaf, how.seed)
+
+    def scatter(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for column, shard in batches(frames, ["point", "shard"]):
+            mine = _points(column)
+            who, where = tree.place(mine, radius)
+            yield pa.RecordBatch.from_arrays(
+                [_signed(mine[who]), shard.take(pa.array(who)), pa.array(where.astype(np.int32))], ["point", "shard", "side"]
+            )
+
+    cut = placed.select("point", "shard").mapInArrow(scatter, "point bigint, shard bigint, side int")
+    return step(cut.select("point", F.xxhash64("shard", "side").alias("shard")), "cut-shards")
+
+
 def near_fingerprints(docs: DataFrame, radius: int = 4, width: int = 4, how: Shards = Shards()) -> DataFrame:
     """Component of each document: doc_id, fingerprint (64-bit number), component_id (smallest linked doc_id).
 

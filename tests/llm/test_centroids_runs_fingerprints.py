@@ -303,6 +303,21 @@ def test_large_shards_are_linked_by_pieces(spark):
     assert [top(p) for p in points] == plain_components(points, points, 4)
 
 
+def test_points_anywhere_meet_few_others(spark, monkeypatch):
+    """Points without near ones: no shard grows with the table, and few pairs are compared."""
+    points = np.random.default_rng(8).integers(0, 1 << 64, 20_000, dtype=np.uint64)
+    points = np.unique(np.r_[points, points[:50] ^ np.uint64(0b10110000000001)])
+    kept = {}
+    monkeypatch.setattr(vantage, "step", lambda df, name, keep=vantage.step: kept.setdefault(name, keep(df, name)))
+    table = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "point long").repartition(3)
+    found = {tuple(sorted((r["a"], r["b"]))) for r in vantage.links(table, 4, Shards()).collect()}
+    assert len(found) == 50
+    assert kept["shards"].groupBy("shard").count().agg({"count": "max"}).first()[0] < 100
+    compared = []
+    monkeypatch.setattr(vantage, "apart", lambda a, b: compared.append(np.broadcast(a, b).size) or np.bitwise_count(a ^ b))
+    assert len(vantage.links_among(points, 4)) >= 50 and sum(compared) < 100 * len(points)
+
+
 def test_awkward_fingerprints(spark, awkward, nothing):
     found = near_fingerprints(awkward)
     assert found.count() == awkward.count()
