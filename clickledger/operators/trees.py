@@ -1,16 +1,17 @@
 """Classification trees grown on counts, and cost-complexity pruning.
 
-All trees of a search grow at once, a row standing once for each tree that learns from it, with the node it has come to. Splits are
-exact: every value is a candidate, as many as there are. Large nodes are split level by level. A level counts (tree, node, feature, bin)
-over bins of about equal size; between two bins the gain is known, within a bin it is bounded, and only bins that may hold the best split
-are counted by value. A node of few rows meets in one task, which splits it to its end, so neither levels nor shuffles grow with the
-depth of the tree. What is gathered is one row for each node that is split.
+All trees of a search grow at once. Trees that learn from the same rows and have made the same splits so far share them: their rows stand
+once, with the part they have come to, until a smallest side makes one of them split otherwise. Splits are exact: every value is a
+candidate, as many as there are. Large nodes are split level by level. A level counts (part, feature, bin) over bins of about equal size;
+between two bins the gain is known, within a bin it is bounded, and only bins that may hold the best split are counted by value. A node of
+few rows meets in one task, which splits it to its end, so neither levels nor shuffles grow with the depth of the tree. What is gathered
+is one row for each node that is split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,10 @@ from ..session import written
 from .quantiles import running_totals
 
 # A node of up to SMALL rows is split to its end in one task; bins of a feature.
-SMALL = 20_000
+SMALL = 100_000
 BINS = 256
 
-_SPLIT = "tree int, node bigint, feature int, cut double, gain double, n_upto bigint, positive_upto bigint"
+_SPLIT = "tree int, node bigint, feature int, cut double, gain double, n bigint, positive bigint, n_upto bigint, positive_upto bigint"
 
 
 @dataclass(frozen=True)
@@ -49,41 +50,118 @@ class Node:
         return min(self.positive, self.n - self.positive)
 
 
-@dataclass
 class Tree:
-    """Nodes by number: the children of node i are 2i (up to the cut) and 2i + 1."""
+    """Nodes by number: the children of node i are 2i (up to the cut) and 2i + 1.
+
+    They are kept as arrays in the order of their numbers, so children lie side by side; `feature` is -1 and `left` (the place of the first
+    child) 0 where a node is not split.
+    """
 
-    nodes: dict[int, Node] = field(default_factory=dict)
+    def __init__(self, nodes: dict[int, Node] | None = None):
+        kept = sorted((nodes or {}).items())
+        self._fill(
+            [i for i, _ in kept],
+            [x.n for _, x in kept],
+            [x.positive for _, x in kept],
+            [-1 if x.feature is None else x.feature for _, x in kept],
+            [0.0 if x.cut is None else x.cut for _, x in kept],
+            [x.gain for _, x in kept],
+        )
+
+    def _fill(self, number, n, positive, feature, cut, gain) -> None:
+        self.number, self.n, self.positive = (np.asarray(c, np.int64) for c in (number, n, positive))
+        self.feature = np.asarray(feature, np.int32)
+        self.cut, self.gain = np.asarray(cut, float), np.asarray(gain, float)
+        split = self.feature >= 0
+        self.left = np.where(split, np.searchsorted(self.number, 2 * self.number), 0)
+        self.errors = np.minimum(self.positive, self.n - self.positive)
+        depth = np.frexp(self.number.astype(float))[1]
+        self.levels = [np.flatnonzero(depth == d) for d in range(1, int(depth.max(initial=0)) + 1)]
+
+    @staticmethod
+    def of(n: int, positive: int, splits: dict[str, np.ndarray]) -> Tree:
+        """The tree of a root and its splits, in any order."""
+        tree, at = Tree(), splits["node"]
+        number = np.r_[1, 2 * at, 2 * at + 1]
+        order = np.argsort(number)
+        counts = [
+            np.r_[whole, splits[f"{c}_upto"], splits[c] - splits[f"{c}_upto"]][order] for c, whole in (("n", n), ("positive", positive))
+        ]
+        number = number[order]
+        place = np.searchsorted(number, at)
+        columns = [np.full(len(number), -1, np.int32), np.zeros(len(number)), np.zeros(len(number))]
+        for column, c in zip(columns, ("feature", "cut", "gain")):
+            column[place] = splits[c]
+        tree._fill(number, *counts, *columns)
+        return tree
+
+    def _node(self, k: int) -> Node:
+        counts = int(self.n[k]), int(self.positive[k])
+        return Node(*counts) if self.feature[k] < 0 else Node(*counts, int(self.feature[k]), float(self.cut[k]), float(self.gain[k]))
+
+    @property
+    def nodes(self) -> dict[int, Node]:
+        return {i: self._node(k) for k, i in enumerate(self.number.tolist())}
+
+    def ends(self, complexity: float) -> np.ndarray:
+        """For each place that of the leaf at or above it in the smallest subtree of least errors + complexity * errors of the root *
+        leaves; -1 above the leaves."""
+        alone = self.errors + (complexity * self.errors[0] if len(self.number) else 0.0)
+        cost, ending = alone.copy(), self.feature < 0
+        for level in reversed(self.levels):
+            split = level[self.feature[level] >= 0]
+            below = cost[self.left[split]] + cost[self.left[split] + 1]
+            ending[split] = alone[split] <= below + 1e-9
+            cost[split] = np.minimum(alone[split], below)
+        ends = np.where(ending, np.arange(len(ending)), -1)
+        for level in self.levels:
+            split = level[self.feature[level] >= 0]
+            split = split[ends[split] >= 0]
+            for child in (self.left[split], self.left[split] + 1):
+                ends[child] = ends[split]
+        return ends
 
     def pruned(self, complexity: float) -> dict[int, int]:
-        """Each leaf's node in the smallest subtree of least errors + complexity * errors of the root * leaves."""
-        price = complexity * self.nodes[1].errors() if self.nodes else 0.0
-        cost: dict[int, float] = {}
-        cut_off: set[int] = set()
-        # children have larger numbers than their parent
-        for i in sorted(self.nodes, reverse=True):
-            node = self.nodes[i]
-            alone = node.errors() + price
-            below = None if node.feature is None else cost[2 * i] + cost[2 * i + 1]
-            if below is not None and alone <= below + 1e-9:
-                cut_off.add(i)
-            cost[i] = alone if below is None else min(alone, below)
-        ends = {}
-        for i in sorted(self.nodes):
-            above = ends.get(i // 2) if i > 1 else None
-            ends[i] = above if above is not None else i if i in cut_off or self.nodes[i].feature is None else None
-        return {i: end for i, end in ends.items() if self.nodes[i].feature is None}
+        """Each leaf's node in the pruned tree."""
+        leaf = self.feature < 0
+        return dict(zip(self.number[leaf].tolist(), self.number[self.ends(complexity)[leaf]].tolist()))
 
     def splits(self, complexity: float) -> list[Node]:
         """The split nodes that pruning leaves."""
-        ends = set(self.pruned(complexity).values())
-        kept, waiting = [], [1] if self.nodes else []
-        while waiting:
-            i = waiting.pop()
-            if i not in ends and self.nodes[i].feature is not None:
-                kept.append(self.nodes[i])
-                waiting += [2 * i, 2 * i + 1]
-        return kept
+        return [self._node(k) for k in np.flatnonzero(self.ends(complexity) < 0)]
+
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        """Places of the leaves that the rows of a matrix come to."""
+        place = np.zeros(len(x), np.int64)
+        at = np.flatnonzero(self.feature[place] >= 0)
+        while len(at):
+            here = place[at]
+            place[at] = self.left[here] + (x[at, self.feature[here]] > self.cut[here])
+            at = at[self.feature[place[at]] >= 0]
+        return place
+
+
+@dataclass(frozen=True)
+class _Part:
+    """The rows of a node that some trees, all with the same splits above it, have in common."""
+
+    node: int
+    n: int
+    positive: int
+    trees: tuple[int, ...]
+
+    def still_split(self, growths: list[Growth], max_depth: int) -> _Part:
+        """The same rows for the trees that may split them."""
+        if self.node >= 2**max_depth or not 0 < self.positive < self.n:
+            return _Part(self.node, self.n, self.positive, ())
+        kept = tuple(k for k in self.trees if self.n >= max(growths[k].min_split, 2))
+        return _Part(self.node, self.n, self.positive, kept)
+
+    def sides(self, trees: list[int], n_upto: int, positive_upto: int) -> tuple[_Part, _Part]:
+        return (
+            _Part(2 * self.node, n_upto, positive_upto, tuple(trees)),
+            _Part(2 * self.node + 1, self.n - n_upto, self.positive - positive_upto, tuple(trees)),
+        )
 
 
 def _purity(positive: Column, n: Column) -> Column:
@@ -105,55 +183,68 @@ def grow(
     `bins` there are, never changes a tree.
     """
     spark = rows.sparkSession
-    grown = [Tree() for _ in trees]
     folds = rows.groupBy("fold").agg(
         F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive"), F.max(F.size("x")).alias("width")
     )
     folds = [r for r in folds.collect() if r["fold"] is not None]
-    for tree, growth in zip(grown, trees):
-        learned = [r for r in folds if r["fold"] != _held(growth)]
+    roots, parts, held_by = {}, {}, []
+    for held in sorted({_held(t) for t in trees}):
+        learned = [r for r in folds if r["fold"] != held]
         if learned:
-            tree.nodes[1] = Node(sum(r["n"] for r in learned), sum(r["positive"] for r in learned))
-    open_nodes = {(k, 1) for k, tree in enumerate(grown) if tree.nodes}
-    if any(tree.nodes[1].n > small for tree in grown if tree.nodes):
+            ks = tuple(k for k, t in enumerate(trees) if _held(t) == held)
+            root = _Part(1, sum(r["n"] for r in learned), sum(r["positive"] for r in learned), ks)
+            roots |= {k: root for k in ks}
+            held_by.append((len(held_by), held))
+            parts[len(parts)] = root.still_split(trees, max_depth)
+    if any(part.n > small for part in parts.values()):
         source = _with_bins(rows, max(r["width"] for r in folds), bins)
     else:
         source = rows.withColumn("bins", F.lit(None).cast("array<int>"))
-    learns = F.posexplode(F.array(*[F.lit(_held(t)) for t in trees])).alias("tree", "_held")
-    here = (
-        source.select("fold", "label", "x", "bins", learns)
-        .filter("fold != _held")
-        .select("tree", F.lit(1).cast("long").alias("node"), "label", "x", "bins")
-    )
-    buckets = F.array(*[F.lit(t.min_bucket) for t in trees])
-    aside = []
-    for depth in range(max_depth):
-        open_nodes = {
-            (k, i)
-            for k, i in open_nodes
-            if (node := grown[k].nodes[i]).n >= max(trees[k].min_split, 2) and 0 < node.positive < node.n
-        }
-        few = [(k, i) for k, i in open_nodes if grown[k].nodes[i].n <= small]
-        many = sorted(open_nodes - set(few))
-        if few:
+    learns = F.inline(F.array(*[F.struct(F.lit(p).alias("part"), F.lit(h).alias("_held")) for p, h in held_by or [(0, 0)]]))
+    here = source.select("fold", "label", "x", "bins", learns).filter("fold != _held").select("part", "label", "x", "bins")
+    splits, aside, few, number = [], [], {}, len(parts)
+    while True:
+        parts = {p: part for p, part in parts.items() if part.trees}
+        now = {p: part for p, part in parts.items() if part.n <= small}
+        if now:
             # their rows stay where they lie until all are split
-            asked = spark.createDataFrame(sorted(few), "tree int, node bigint")
-            aside.append(here.join(F.broadcast(asked), ["tree", "node"], "left_semi").select("tree", "node", "label", "x"))
-        found = _best_splits(here, many, buckets) if many else []
-        _split(grown, found)
-        open_nodes = {(k, child) for k, i, *_ in found for child in (2 * i, 2 * i + 1)}
-        if not found or depth == max_depth - 1:
+            few |= now
+            asked = spark.createDataFrame([(p,) for p in sorted(now)], "part int")
+            aside.append(here.join(F.broadcast(asked), "part", "left_semi").select("part", "label", "x"))
+        many = {p: part for p, part in parts.items() if p not in now}
+        if not many:
+            break
+        # trees that find the same split go on together
+        alike: dict[tuple, list[int]] = {}
+        asked = sorted({(p, trees[k].min_bucket) for p, part in many.items() for k in part.trees})
+        for p, bucket, *split in _best_splits(here, asked):
+            alike.setdefault((p, *split), []).extend(k for k in many[p].trees if trees[k].min_bucket == bucket)
+        moves, parts = [], {}
+        for (p, feature, cut, gain, *upto), ks in alike.items():
+            splits += [(k, many[p].node, feature, cut, gain, many[p].n, many[p].positive, *upto) for k in ks]
+            places = []
+            for side in many[p].sides(ks, *upto):
+                side = side.still_split(trees, max_depth)
+                places.append(number if side.trees else None)
+                parts[number] = side
+                number += 1
+            moves.append((p, feature, cut, *places))
+        if not any(part.trees for part in parts.values()):
             break
-        splits = spark.createDataFrame([f[:4] for f in found], "tree int, node bigint, feature int, cut double")
-        child = F.col("node") * 2 + (F.get("x", "feature") > F.col("cut")).cast("long")
-        moved = here.join(F.broadcast(splits), ["tree", "node"])
-        here = written(moved.select("tree", child.alias("node"), "label", "x", "bins"), "tree-rows")
+        moves = spark.createDataFrame(moves, "part int, feature int, cut double, low int, high int")
+        side = F.when(F.get("x", "feature") > F.col("cut"), F.col("high")).otherwise(F.col("low"))
+        moved = here.join(F.broadcast(moves), "part").select(side.alias("part"), "label", "x", "bins")
+        here = written(moved.filter("part IS NOT NULL"), "tree-rows")
+    found = pa.Table.from_pylist([], _kinds()) if not splits else _table(splits)
     if aside:
         few_rows = aside[0]
-        for part in aside[1:]:
-            few_rows = few_rows.unionByName(part)
-        split = _splitter(trees, max_depth)
-        _split(grown, [tuple(r) for r in few_rows.groupBy("tree", "node").applyInArrow(split, _SPLIT).collect()])
+        for rest in aside[1:]:
+            few_rows = few_rows.unionByName(rest)
+        # parts are small in bytes, not in work, so adaptive execution must not put many into one task
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+        ended = few_rows.repartition(tasks, "part").groupBy("part").applyInArrow(_splitter(trees, few, max_depth), _SPLIT).toArrow()
+        found = pa.concat_tables([found, ended.cast(_kinds())])
+    grown = _trees(roots, len(trees), found)
     return grown, _leaf_counts(rows, trees, grown)
 
 
@@ -161,13 +252,26 @@ def _held(growth: Growth) -> int:
     return -1 if growth.held_out is None else growth.held_out
 
 
-def _split(grown: list[Tree], found: list[tuple]) -> None:
-    """Enter splits and the nodes they make; a node comes before its children."""
-    for k, i, feature, cut, gain, left, left_positive in sorted(found, key=lambda f: f[:2]):
-        node = grown[k].nodes[i]
-        node.feature, node.cut, node.gain = feature, cut, gain
-        grown[k].nodes[2 * i] = Node(left, left_positive)
-        grown[k].nodes[2 * i + 1] = Node(node.n - left, node.positive - left_positive)
+def _kinds() -> pa.Schema:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in _SPLIT.split(", "))])
+
+
+def _table(splits: list[tuple]) -> pa.Table:
+    columns = list(zip(*splits)) or [()] * len(_kinds())
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, _kinds().types)], schema=_kinds())
+
+
+def _trees(roots: dict[int, _Part], count: int, found: pa.Table) -> list[Tree]:
+    columns = {c: found[c].to_numpy() for c in found.column_names}
+    order = np.argsort(columns["tree"], kind="stable")
+    edges = np.searchsorted(columns["tree"][order], np.arange(count + 1))
+    return [
+        Tree.of(roots[k].n, roots[k].positive, {c: v[order[edges[k] : edges[k + 1]]] for c, v in columns.items()})
+        if k in roots
+        else Tree()
+        for k in range(count)
+    ]
 
 
 def _matrix(x: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -198,16 +302,18 @@ def _with_bins(rows: DataFrame, width: int, bins: int) -> DataFrame:
     return written(binned, "tree-rows")
 
 
-def _best_splits(rows: DataFrame, nodes: list[tuple[int, int]], buckets: Column) -> list[tuple]:
+def _best_splits(rows: DataFrame, asked: list[tuple[int, int]]) -> list[tuple]:
+    """The best split (part, bucket, feature, cut, gain, n_upto, positive_upto) for each (part, smallest side) that has one."""
     spark = rows.sparkSession
-    asked = spark.createDataFrame(nodes, "tree int, node bigint")
+    parts = spark.createDataFrame([(p,) for p in sorted({p for p, _ in asked})], "part int")
+    asked = spark.createDataFrame(asked, "part int, bucket int")
     cells = (
-        rows.join(F.broadcast(asked), ["tree", "node"], "left_semi")
-        .select("tree", "node", "label", "x", F.posexplode("bins").alias("feature", "bin"))
-        .select("tree", "node", "label", "feature", "bin", F.get("x", "feature").alias("value"))
+        rows.join(F.broadcast(parts), "part", "left_semi")
+        .select("part", "label", "x", F.posexplode("bins").alias("feature", "bin"))
+        .select("part", "label", "feature", "bin", F.get("x", "feature").alias("value"))
     )
     totals = [F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("positive")]
-    node, group = ["tree", "node"], ["tree", "node", "feature"]
+    node, group = ["part", "bucket"], ["part", "feature"]
     counts = cells.groupBy(*group, "bin").agg(*totals, F.min("value").alias("least"), F.max("value").alias("most"))
     # a window holds the bins of one feature
     whole = Window.partitionBy(*group)
@@ -219,8 +325,8 @@ def _best_splits(rows: DataFrame, nodes: list[tuple[int, int]], buckets: Column)
         *[F.sum(t).over(whole).alias(f"{t}_all") for t in ("n", "positive")],
         F.lead("least").over(in_order).alias("next"),
     )
-    placed = written(placed, "tree-bins")
-    bucket = F.get(buckets, F.col("tree"))
+    placed = written(placed, "tree-bins").join(F.broadcast(asked), "part")
+    bucket = F.col("bucket")
 
     def splits(at: DataFrame) -> DataFrame:
         left, left_positive, n, positive = (F.col(c) for c in ("n_upto", "positive_upto", "n_all", "positive_all"))
@@ -230,7 +336,7 @@ def _best_splits(rows: DataFrame, nodes: list[tuple[int, int]], buckets: Column)
             .withColumn("gain", F.round(_gain(left_positive, left, positive, n), 9))
             .filter("gain > 0")
             .withColumn("cut", (F.col("value") + F.col("next")) / 2)
-            .select(*group, "value", "cut", "gain", "n_upto", "positive_upto")
+            .select(*group, "bucket", "value", "cut", "gain", "n_upto", "positive_upto")
         )
 
     between = splits(placed.withColumn("value", F.col("most")))
@@ -251,12 +357,12 @@ def _best_splits(rows: DataFrame, nodes: list[tuple[int, int]], buckets: Column)
         .withColumn("_most", most)
         .join(F.broadcast(known), node, "left")
         .filter(F.col("_known").isNull() | (F.col("_most") >= F.col("_known")))
-        .select(*group, "bin", "n_all", "positive_all", before.alias("_before"), positive_before.alias("_positive_before"))
+        .select(*group, "bin", "bucket", "n_all", "positive_all", before.alias("_before"), positive_before.alias("_positive_before"))
     )
     # written for its true size, by which it is sent to all tasks or not
     hopeful = written(hopeful, "tree-bins")
     keys = [*group, "bin"]
-    values = cells.join(hopeful.select(*keys), keys, "left_semi").groupBy(*keys, "value").agg(*totals)
+    values = cells.join(hopeful.select(*keys).distinct(), keys, "left_semi").groupBy(*keys, "value").agg(*totals)
     inside = running_totals(values, keys, "value", ["n", "positive"], following="next").drop("n_all", "positive_all")
     inside = inside.join(hopeful, keys).withColumns(
         {"n_upto": F.col("n_upto") + F.col("_before"), "positive_upto": F.col("positive_upto") + F.col("_positive_before")}
@@ -274,44 +380,52 @@ def _best_splits(rows: DataFrame, nodes: list[tuple[int, int]], buckets: Column)
     return [tuple(r) for r in best.collect()]
 
 
-def _splitter(trees: list[Growth], max_depth: int):
-    """A function that splits the rows of one small node to their end."""
+def _splitter(trees: list[Growth], parts: dict[int, _Part], max_depth: int):
+    """A function that splits the rows of a small part to their end, for all its trees."""
 
     def purity(positive: np.ndarray, n: np.ndarray) -> np.ndarray:
         return (positive * positive + (n - positive) * (n - positive)) / n
 
-    def best(x: np.ndarray, y: np.ndarray, min_bucket: int) -> tuple | None:
+    def best(x: np.ndarray, y: np.ndarray, buckets: list[int]) -> dict[int, tuple]:
+        """The best split for each smallest side, in rising order, that has one."""
         n, positive = len(y), int(y.sum())
         order = np.argsort(x, axis=0, kind="stable")
         value = np.take_along_axis(x, order, axis=0)
         left = np.arange(1, n, dtype=np.int64)[:, None]
         left_positive = np.cumsum(y[order], axis=0)[:-1]
         gain = np.round(purity(left_positive, left) + purity(positive - left_positive, n - left) - purity(positive, n), 9)
-        gain[(value[1:] <= value[:-1]) | (left < min_bucket) | (n - left < min_bucket)] = 0.0
-        # by feature, then by value: the first of the largest
-        feature, row = divmod(int(np.argmax(gain.T)), n - 1)
-        if not gain[row, feature] > 0:
-            return None
-        cut = (value[row, feature] + value[row + 1, feature]) / 2
-        return feature, float(cut), float(gain[row, feature]), row + 1, int(left_positive[row, feature])
+        gain[value[1:] <= value[:-1]] = 0.0
+        out, row = {}, -1
+        for bucket in buckets:
+            # the best of all is the best of fewer, too, if it is among them
+            if not out or not bucket <= row + 1 <= n - bucket:
+                gain[: max(bucket - 1, 0)] = gain[max(n - bucket, 0) :] = 0.0
+                # by feature, then by value: the first of the largest
+                feature, row = divmod(int(np.argmax(gain.T)), n - 1)
+                if not gain[row, feature] > 0:
+                    break
+                cut = (value[row, feature] + value[row + 1, feature]) / 2
+            out[bucket] = feature, float(cut), float(gain[row, feature]), row + 1, int(left_positive[row, feature])
+        return out
 
     def split(table: pa.Table) -> pa.Table:
-        tree, root = table["tree"][0].as_py(), table["node"][0].as_py()
-        growth = trees[tree]
         found = []
-        waiting = [(root, _matrix(table["x"]), table["label"].to_numpy().astype(np.int64))]
+        waiting = [(parts[table["part"][0].as_py()], _matrix(table["x"]), table["label"].to_numpy().astype(np.int64))]
         while waiting:
-            i, x, y = waiting.pop()
-            if len(y) < max(growth.min_split, 2) or i >= 2**max_depth or not 0 < y.sum() < len(y):
-                continue
-            if at := best(x, y, growth.min_bucket):
-                found.append((tree, i, *at))
-                over = x[:, at[0]] > at[1]
-                waiting += [(2 * i, x[~over], y[~over]), (2 * i + 1, x[over], y[over])]
-        names = [part.split()[0] for part in _SPLIT.split(", ")]
-        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
-        columns = list(zip(*found)) or [()] * len(names)
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+            part, x, y = waiting.pop()
+            alike: dict[tuple, list[int]] = {}
+            at = best(x, y, sorted({trees[k].min_bucket for k in part.trees}))
+            for k in part.trees:
+                if trees[k].min_bucket in at:
+                    alike.setdefault(at[trees[k].min_bucket], []).append(k)
+            for (feature, cut, gain, *upto), ks in alike.items():
+                found += [(k, part.node, feature, cut, gain, part.n, part.positive, *upto) for k in ks]
+                over = x[:, feature] > cut
+                for side, some in zip(part.sides(ks, *upto), (~over, over)):
+                    side = side.still_split(trees, max_depth)
+                    if side.trees:
+                        waiting.append((side, x[some], y[some]))
+        return _table(found)
 
     return split
 
@@ -319,39 +433,31 @@ def _splitter(trees: list[Growth], max_depth: int):
 def _leaf_counts(rows: DataFrame, trees: list[Growth], grown: list[Tree]) -> DataFrame:
     """Held-out rows by tree and leaf; a row finds its leaf on its way down from the root."""
     spark = rows.sparkSession
-    judged = [k for k, t in enumerate(trees) if t.held_out is not None]
+    judged = {k: t.held_out for k, t in enumerate(trees) if t.held_out is not None}
     if not judged:
         return spark.createDataFrame([], "tree int, node bigint, n bigint, positive bigint")
-    ways = {}
-    for k in judged:
-        nodes = sorted((i, n.feature, n.cut) for i, n in grown[k].nodes.items() if n.feature is not None)
-        ways[k] = tuple(np.array(c, kind) for c, kind in zip(zip(*nodes), (np.int64, np.int64, float)))
-    shared = spark.sparkContext.broadcast(ways)
-
-    def leaves(x: np.ndarray, way: tuple) -> np.ndarray:
-        node = np.ones(len(x), np.int64)
-        at = np.arange(len(x)) if way else np.arange(0)
-        while len(at):
-            numbers, features, cuts = way
-            place = np.minimum(np.searchsorted(numbers, node[at]), len(numbers) - 1)
-            split = numbers[place] == node[at]
-            at, place = at[split], place[split]
-            node[at] = 2 * node[at] + (x[at, features[place]] > cuts[place])
-        return node
+    shared = spark.sparkContext.broadcast({k: grown[k] if len(grown[k].number) else Tree({1: Node(0, 0)}) for k in judged})
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {k: np.zeros((2, len(tree.number)), np.int64) for k, tree in shared.value.items()}
         for batch in filter(len, batches):
-            x, tree = _matrix(batch["x"]), batch["tree"].to_numpy()
-            node = np.ones(len(x), np.int64)
-            for k in np.unique(tree).tolist():
-                node[tree == k] = leaves(x[tree == k], shared.value[k])
-            yield pa.RecordBatch.from_arrays([batch["tree"], pa.array(node), batch["label"]], names=["tree", "node", "label"])
-
-    held = F.inline(F.array(*[F.struct(F.lit(k).alias("tree"), F.lit(trees[k].held_out).alias("_held")) for k in judged]))
-    met = rows.select("fold", "label", "x", held).filter("fold = _held").select("tree", F.col("label").cast("long").alias("label"), "x")
+            x, fold = _matrix(batch["x"]), batch["fold"].to_numpy()
+            label = batch["label"].to_numpy().astype(bool)
+            for held in np.unique(fold).tolist():
+                mine = fold == held
+                for k in (k for k, h in judged.items() if h == held):
+                    place = shared.value[k].leaves(x[mine])
+                    for total, some in zip(counts[k], (place, place[label[mine]])):
+                        total += np.bincount(some, minlength=len(total))
+        for k, (n, positive) in counts.items():
+            at = np.flatnonzero(n)
+            columns = [np.full(len(at), k, np.int32), shared.value[k].number[at], n[at], positive[at]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["tree", "node", "n", "positive"])
+
+    met = rows.filter(F.col("fold").isin(sorted(set(judged.values())))).select("fold", "label", "x")
     return written(
-        met.mapInArrow(descend, "tree int, node bigint, label bigint")
+        met.mapInArrow(descend, "tree int, node bigint, n bigint, positive bigint")
         .groupBy("tree", "node")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive")),
+        .agg(F.sum("n").alias("n"), F.sum("positive").alias("positive")),
         "leaf-counts",
     )

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -189,16 +190,20 @@ def tree_scores(table: DataFrame, columns: list[str], grid: list[Setting], folds
     shapes = sorted({(s.min_split, s.min_bucket) for s in grid})
     growths = [Growth(fold, *shape) for shape in shapes for fold in range(folds)]
     trees, counts = grow(rows, growths)
-    scores = []
+    # one row for each leaf and setting
+    kinds = pa.schema([("tree", pa.int32()), ("node", pa.int64()), ("setting", pa.int32()), ("fold", pa.int32()), ("score", pa.float64())])
+    scores = [kinds.empty_table()]
     for number, (tree, growth) in enumerate(zip(trees, growths)):
+        leaf = tree.feature < 0
+        node = tree.number[leaf]
         for place, s in enumerate(grid):
             if (s.min_split, s.min_bucket) == (growth.min_split, growth.min_bucket):
-                for leaf, end in tree.pruned(s.complexity).items():
-                    node = tree.nodes[end]
-                    scores.append((number, leaf, place, growth.held_out, node.positive / node.n))
-    # one row for each leaf and setting
-    known = spark.createDataFrame(scores, "tree int, node bigint, setting int, fold int, score double")
-    return evaluate(counts.join(F.broadcast(known), ["tree", "node"]), ["setting", "fold"])
+                ends = tree.ends(s.complexity)[leaf]
+                same = [np.full(len(node), v, np.int32) for v in (number, place, growth.held_out)]
+                columns = [same[0], node, *same[1:], tree.positive[ends] / tree.n[ends]]
+                scores.append(pa.Table.from_arrays([pa.array(c) for c in columns], schema=kinds))
+    known = spark.createDataFrame(pa.concat_tables(scores))
+    return evaluate(counts.join(known, ["tree", "node"]), ["setting", "fold"])
 
 
 def tree_search(table: DataFrame, columns: list[str], grid: list[Setting], folds: int = TREE_FOLDS) -> DataFrame:

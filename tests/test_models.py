@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from clickledger.operators import cuts
+from clickledger.operators import trees as tree_code
 from clickledger.operators.trees import Growth, Node, Tree, grow
 from clickledger.plans import features, models
 
@@ -232,6 +233,35 @@ def test_large_nodes_grow_as_by_plain_code(spark):
             assert got == {e: (sum(a == e for a, _ in leaves), sum(v for a, v in leaves if a == e)) for e, _ in leaves}
 
 
+def test_trees_of_one_search_share_their_rows(spark, monkeypatch):
+    """Trees that hold out the same fold stand on the same rows until their smallest sides part them."""
+    draw = np.random.default_rng(6)
+    x = np.round(draw.normal(size=(600, 3)), 1)
+    x[:, 2] = np.where(draw.random(600) < 0.02, 1.0, 0.0)
+    y = np.where(x[:, 2] > 0, 1, draw.random(600) < np.where(x[:, 0] > 0.3, 0.7, 0.3)).astype(int)
+    fold = np.arange(600) % 3
+    df = spark.createDataFrame([(int(f), int(v), row.tolist()) for f, v, row in zip(fold, y, x)], "fold int, label int, x array<double>")
+    growths = [Growth(held, split, bucket) for split in (10, 60) for bucket in (0, 8, 25) for held in (2, None)]
+    moved = []
+    keep = tree_code.written
+    monkeypatch.setattr(tree_code, "written", lambda df, name: moved.append((name, keep(df, name))) or moved[-1][1])
+    for small, bins in ((150, 9), (10**6, 256)):
+        moved.clear()
+        trees, counts = grow(df, growths, 30, small, bins)
+        for k, (tree, g) in enumerate(zip(trees, growths)):
+            learned = np.full(600, True) if g.held_out is None else fold != g.held_out
+            assert tree.nodes == plain_tree(x[learned], y[learned], g.min_split, max(g.min_bucket, 1))
+        assert len({len(tree.nodes) for tree in trees}) > 4
+        got = {(r["tree"], r["node"]): (r["n"], r["positive"]) for r in counts.collect()}
+        judged = [k for k, g in enumerate(growths) if g.held_out is not None]
+        leaves = [(k, leaf_of(trees[k].nodes, row), v) for k in judged[::2] for row, v, f in zip(x, y, fold) if f == growths[k].held_out]
+        for k, e in {(k, e) for k, e, _ in leaves}:
+            assert got[k, e] == (sum((a, b) == (k, e) for a, b, _ in leaves), sum(v for a, b, v in leaves if (a, b) == (k, e)))
+        # 600 + 400 rows learn, and few splits differ
+        levels = [df.count() for name, df in moved if name == "tree-rows"]
+        assert all(n <= 2 * 1000 for n in levels) and bool(levels) == (small < 10**6)
+
+
 def test_jobs_of_a_tree_do_not_grow_with_its_depth(spark):
     """A chain of splits: each takes the next twelve rows off."""
     made = [(str(i), i // 12 % 2, float(i)) for i in range(360)]
