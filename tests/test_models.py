@@ -245,7 +245,7 @@ def test_trees_of_one_search_share_their_rows(spark, monkeypatch):
     moved = []
     keep = tree_code.written
     monkeypatch.setattr(tree_code, "written", lambda df, name: moved.append((name, keep(df, name))) or moved[-1][1])
-    for small, bins in ((150, 9), (10**6, 256)):
+    for small, bins in ((300, 9), (10**6, 256)):
         moved.clear()
         trees, counts = grow(df, growths, 30, small, bins)
         for k, (tree, g) in enumerate(zip(trees, growths)):
